@@ -1,56 +1,53 @@
-"""Statistics across the columns of one row.
+"""Statistics across the columns of one row, as SQL expressions.
 
 The values of a family sit in one row (one column per service), so nothing is
-shuffled. Every helper takes cleaned numeric columns (see ``finite``) and
-avoids lambda functions, which would drop the stage out of code generation.
+shuffled. The expressions avoid lambda functions, which would drop the stage
+out of code generation. They are text because hundreds of them are built per
+plan and one parsed expression is much cheaper than a tree of column objects.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+def quoted(names: list[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
 
 
-def row_count(cols: list[Column]) -> Column:
-    return reduce(add, [F.when(c.isNotNull(), F.lit(1)).otherwise(F.lit(0)) for c in cols])
+def row_count(names: list[str]) -> str:
+    return " + ".join(f"int({c} IS NOT NULL)" for c in quoted(names))
 
 
-def row_sum(cols: list[Column]) -> Column:
-    return reduce(add, [F.coalesce(c, F.lit(0.0)) for c in cols])
+def row_sum(names: list[str]) -> str:
+    return " + ".join(f"coalesce({c}, 0D)" for c in quoted(names))
 
 
-def row_max(cols: list[Column]) -> Column:
-    return F.greatest(*cols) if len(cols) > 1 else cols[0]
+def row_max(names: list[str]) -> str:
+    return f"greatest({', '.join(quoted(names))})" if len(names) > 1 else f"`{names[0]}`"
 
 
-def row_min(cols: list[Column]) -> Column:
-    return F.least(*cols) if len(cols) > 1 else cols[0]
+def row_min(names: list[str]) -> str:
+    return f"least({', '.join(quoted(names))})" if len(names) > 1 else f"`{names[0]}`"
 
 
-def row_mean(total: Column, count: Column) -> Column:
-    return F.try_divide(total, F.nullif(count, F.lit(0)))
+def row_mean(total: str, count: str) -> str:
+    return f"try_divide({total}, nullif({count}, 0))"
 
 
-def row_std(cols: list[Column], mean: Column, count: Column) -> Column:
+def row_std(names: list[str], mean: str, count: str) -> str:
     """Sample standard deviation; fewer than two values give 0."""
-    squares = reduce(add, [F.coalesce((c - mean) * (c - mean), F.lit(0.0)) for c in cols])
-    return F.when(count > 1, F.sqrt(F.try_divide(squares, F.nullif(count - 1, F.lit(0))))).otherwise(F.lit(0.0))
+    squares = " + ".join(f"coalesce(({c} - {mean}) * ({c} - {mean}), 0D)" for c in quoted(names))
+    return f"CASE WHEN {count} > 1 THEN sqrt(try_divide({squares}, nullif({count} - 1, 0))) ELSE 0D END"
 
 
-def row_sorted(cols: list[Column]) -> Column:
+def row_sorted(names: list[str]) -> str:
     """Ascending array with the NULLs in front."""
-    return F.sort_array(F.array(*cols))
+    return f"sort_array(array({', '.join(quoted(names))}))"
 
 
-def row_quantile(ordered: Column, count: Column, width: int, p: float) -> Column:
+def row_quantile(ordered: str, count: str, width: int, p: float) -> str:
     """Linear interpolation over the non-NULL tail of ``row_sorted``."""
-    place = (count - 1).cast("double") * F.lit(p)
-    low = F.floor(place)
-    skipped = F.lit(width) - count
-    at_low = F.get(ordered, (skipped + low).cast("int"))
-    at_high = F.get(ordered, (skipped + F.ceil(place)).cast("int"))
-    value = at_low + (place - low.cast("double")) * (at_high - at_low)
-    return F.when(count > 0, value)
+    place = f"(({count} - 1) * {p}D)"
+    skipped = f"({width} - {count})"
+    low = f"get({ordered}, int({skipped} + floor({place})))"
+    high = f"get({ordered}, int({skipped} + ceil({place})))"
+    return f"CASE WHEN {count} > 0 THEN {low} + ({place} - floor({place})) * ({high} - {low}) END"

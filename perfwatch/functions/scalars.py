@@ -14,6 +14,12 @@ def finite(value: Column) -> Column:
     return F.when(F.isnan(number) | (F.abs(number) == F.lit(float("inf"))), F.lit(None)).otherwise(number)
 
 
+def finite_sql(name: str) -> str:
+    """``finite`` of a column as SQL text."""
+    number = f"try_cast(`{name}` AS DOUBLE)"
+    return f"CASE WHEN isnan({number}) OR abs({number}) = double('Infinity') THEN NULL ELSE {number} END"
+
+
 def zero_if_null(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
@@ -23,6 +29,11 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return zero_if_null(F.try_divide(num, F.nullif(den, F.lit(0.0)) + F.lit(RATIO_EPS)))
 
 
+def safe_ratio_sql(num: str, den: str) -> str:
+    """``safe_ratio`` as SQL text."""
+    return f"coalesce(try_divide({num}, nullif({den}, 0D) + {RATIO_EPS!r}D), 0D)"
+
+
 def part_of(rows: Column, fraction: float) -> Column:
     """``int(rows * fraction)`` in double arithmetic (a bare literal would be a decimal)."""
     return F.floor(rows.cast("double") * F.lit(float(fraction)))

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from perfwatch.functions.scalars import zero_if_null
 from perfwatch.operators.ordering import Layout, in_order
-from perfwatch.operators.state import families_of, present
+from perfwatch.operators.state import families_of, when_present
 
 # The state columns that get dynamics.
 DYNAMIC_SOURCES = [
@@ -16,24 +15,6 @@ DYNAMIC_SOURCES = [
 ]
 
 
-def difference(value: Column, window: WindowSpec) -> Column:
-    return zero_if_null(value - F.lag(value, 1).over(window))
-
-
-def percent_change(value: Column, window: WindowSpec) -> Column:
-    """Change against the row before; a zero or missing base gives 0."""
-    return zero_if_null(F.try_divide(value, F.lag(value, 1).over(window)) - F.lit(1.0))
-
-
-def rolling_mean(value: Column, window: WindowSpec, rows: int) -> Column:
-    return F.avg(value).over(window.rowsBetween(1 - rows, 0))
-
-
-def rolling_std(value: Column, window: WindowSpec, rows: int) -> Column:
-    """Sample deviation of the trailing rows; fewer than two values give 0."""
-    return zero_if_null(F.stddev_samp(value).over(window.rowsBetween(1 - rows, 0)))
-
-
 def dynamic_columns(columns: list[str], rolling_window: int = 3) -> dict[str, str]:
     """Name of each dynamic column and the state column it comes from."""
     suffixes = ["diff_1", "pct_change_1", f"rolling_mean_{rolling_window}", f"rolling_std_{rolling_window}"]
@@ -41,17 +22,31 @@ def dynamic_columns(columns: list[str], rolling_window: int = 3) -> dict[str, st
 
 
 def add_dynamics(df: DataFrame, layout: Layout, rolling_window: int = 3, pos: str = "seq") -> DataFrame:
-    """All dynamics of all present sources over one window (one exchange, one sort)."""
+    """All dynamics of all present sources over one window (one exchange, one sort).
+
+    A missing value or base, a zero base, and a deviation of fewer than two
+    values give 0. The rolling mean stays missing over an empty frame until
+    the final fill.
+    """
     sources = [c for c in DYNAMIC_SOURCES if c in df.columns]
 
     def columns(window: WindowSpec) -> dict[str, Column]:
-        out = {}
+        frame = window.rowsBetween(1 - rolling_window, 0)
+        out = {"_prev": F.lag(F.struct(*sources), 1).over(window)}
         for name in sources:
-            value, here = F.col(name), present(*families_of(name))
-            out[f"{name}_diff_1"] = F.when(here, difference(value, window))
-            out[f"{name}_pct_change_1"] = F.when(here, percent_change(value, window))
-            out[f"{name}_rolling_mean_{rolling_window}"] = rolling_mean(value, window, rolling_window)
-            out[f"{name}_rolling_std_{rolling_window}"] = F.when(here, rolling_std(value, window, rolling_window))
+            out[f"{name}_rolling_mean_{rolling_window}"] = F.avg(name).over(frame)
+            out[f"{name}_rolling_std_{rolling_window}"] = F.stddev_samp(name).over(frame)
         return out
 
-    return in_order(df, layout, pos, max(1, rolling_window - 1), 0, columns)
+    windowed = in_order(df, layout, pos, max(1, rolling_window - 1), 0, columns)
+    out = {}
+    for name in sources:
+        std = f"{name}_rolling_std_{rolling_window}"
+        zeroed = {
+            f"{name}_diff_1": f"{name} - _prev.{name}",
+            f"{name}_pct_change_1": f"try_divide({name}, _prev.{name}) - 1D",
+            std: std,
+        }
+        out |= {c: when_present(families_of(name), f"coalesce({value}, 0D)") for c, value in zeroed.items()}
+        out[f"{name}_rolling_mean_{rolling_window}"] = f"{name}_rolling_mean_{rolling_window}"
+    return windowed.selectExpr(*df.columns, *[f"{out[c]} AS {c}" for c in dynamic_columns(sources, rolling_window)])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfwatch.functions import rowstats as rs
-from perfwatch.functions.scalars import finite, safe_ratio, zero_if_null
+from perfwatch.functions.scalars import finite_sql, safe_ratio_sql, zero_if_null
 from perfwatch.operators.families import PASSTHROUGH, RESOURCE_FAMILIES, family_columns
 
 QUANTILES = {"p50_latency": 0.50, "p90_latency": 0.90, "p95_latency": 0.95}
@@ -21,12 +21,13 @@ SUM_COLUMNS = {"resource_pressure": ("cpu", "memory"), "net_total": ("net_rx", "
 SOURCE_COLUMNS = ["source_file", "source_relpath", "source_level_1", "source_level_2", "source_level_3"]
 
 
-def present(*families: str) -> Column:
-    """True where the header of the sample had a column of each family."""
-    test = F.col(f"{families[0]}_available") == 1
-    for family in families[1:]:
-        test = test & (F.col(f"{family}_available") == 1)
-    return test
+def present(*families: str) -> str:
+    """SQL test: the header of the sample had a column of each family."""
+    return " AND ".join(f"{family}_available = 1" for family in families)
+
+
+def when_present(families: tuple[str, ...], value: str) -> str:
+    return f"CASE WHEN {present(*families)} THEN {value} END"
 
 
 def families_of(column: str) -> tuple[str, ...]:
@@ -59,93 +60,82 @@ def system_state(df: DataFrame, keys: tuple[str, ...] = ("sample_key", "seq")) -
     Columns of a family that the header lacks stay NULL; values are not yet
     zero-filled, because the dynamics need the gaps (see ``fill_state``).
     """
+    have = df.columns
     found = family_columns(df)
-    ids = [k for k in keys if k in df.columns]
-    window_id = F.col("window_id") if "window_id" in df.columns else F.col("seq")
-    carried = [c for c in (*PASSTHROUGH, *SOURCE_COLUMNS) if c in df.columns]
-    flags = {
-        family: F.col(f"{family}_available") if f"{family}_available" in df.columns
-        else F.lit(1 if cols else 0)
-        for family, cols in found.items()
-    }
-    clean = df.select(
-        *ids,
-        window_id.alias("window_id"),
-        *carried,
-        *[flags[f].cast("int").alias(f"{f}_available") for f in found],
-        *[finite(F.col(c)).alias(c) for cols in found.values() for c in cols],
+    ids = [k for k in keys if k in have]
+    carried = [c for c in (*PASSTHROUGH, *SOURCE_COLUMNS) if c in have]
+    flags = [
+        f"int({f}_available) AS {f}_available" if f"{f}_available" in have
+        else f"{1 if names else 0} AS {f}_available"
+        for f, names in found.items()
+    ]
+    window_id = "window_id" if "window_id" in have else "seq"
+    clean = df.selectExpr(
+        *ids, f"{window_id} AS window_id", *carried, *flags,
+        *[f"{finite_sql(c)} AS `{c}`" for names in found.values() for c in names],
     )
-    base = [*ids, "window_id", *carried, *[f"{f}_available" for f in found]]
 
     # counts, sums and extremes first: the later stages refer to them by name
     firsts = []
     for family, names in found.items():
-        cols = [F.col(c) for c in names]
-        if not cols:
+        if not names:
             continue
         firsts += [
-            rs.row_count(cols).alias(f"{family}__n"),
-            rs.row_sum(cols).alias(f"{family}__sum"),
-            rs.row_max(cols).alias(f"{family}__max"),
+            f"{rs.row_count(names)} AS {family}__n",
+            f"{rs.row_sum(names)} AS {family}__sum",
+            f"{rs.row_max(names)} AS {family}__max",
         ]
         if family in ("latency", "start"):
-            firsts.append(rs.row_min(cols).alias(f"{family}__min"))
+            firsts.append(f"{rs.row_min(names)} AS {family}__min")
         if family == "latency":
-            firsts.append(rs.row_sorted(cols).alias("latency__sorted"))
-    one = clean.select("*", *firsts)
-    means = [
-        rs.row_mean(F.col(f"{f}__sum"), F.col(f"{f}__n")).alias(f"{f}__mean") for f, c in found.items() if c
-    ]
-    two = one.select("*", *means)
+            firsts.append(f"{rs.row_sorted(names)} AS latency__sorted")
+    one = clean.selectExpr("*", *firsts)
+    means = [f"{rs.row_mean(f'{f}__sum', f'{f}__n')} AS {f}__mean" for f, names in found.items() if names]
+    two = one.selectExpr("*", *means)
 
-    out: dict[str, Column] = {}
+    values: dict[str, str] = {}
     for family, names in found.items():
-        cols = [F.col(c) for c in names]
-        here = present(family)
-
-        def put(name: str, value: Column | None, here=here, empty=not cols, kind="double") -> None:
-            out[name] = F.lit(None).cast(kind) if empty else F.when(here, value)
-
-        std = None if not cols else rs.row_std(cols, F.col(f"{family}__mean"), F.col(f"{family}__n"))
+        n, mean = f"{family}__n", f"{family}__mean"
+        out = {"max": f"{family}__max", "min": f"{family}__min", "mean": mean}
+        out["std"] = rs.row_std(names, mean, n) if names else ""
         if family == "latency":
             for name, p in QUANTILES.items():
-                put(name, rs.row_quantile(F.col("latency__sorted"), F.col("latency__n"), len(cols), p))
-            put("mean_latency", F.col("latency__mean") if cols else None)
-            put("max_latency", F.col("latency__max") if cols else None)
-            put("min_latency", F.col("latency__min") if cols else None)
-            put("std_latency", std)
-            put("latency_service_count", F.col("latency__n") if cols else None, kind="int")
+                values[name] = rs.row_quantile("latency__sorted", n, len(names), p)
+            values |= {f"{stat}_latency": out[stat] for stat in ("mean", "max", "min", "std")}
+            values["latency_service_count"] = n
         elif family == "start":
-            put("mean_start", F.col("start__mean") if cols else None)
-            put("max_start", F.col("start__max") if cols else None)
-            put("min_start", F.col("start__min") if cols else None)
-            put("std_start", std)
-            put("span_start", F.col("start__max") - F.col("start__min") if cols else None)
+            values |= {f"{stat}_start": out[stat] for stat in ("mean", "max", "min", "std")}
+            values["span_start"] = "start__max - start__min"
         else:
-            put(f"{family}_total", F.col(f"{family}__sum") if cols else None)
-            put(f"{family}_max", F.col(f"{family}__max") if cols else None)
-            put(f"{family}_mean", F.col(f"{family}__mean") if cols else None)
-            put(f"{family}_std", std)
-            put(f"{family}_service_count", F.col(f"{family}__n") if cols else None, kind="int")
-    three = two.select(*base, *[value.alias(name) for name, value in out.items()])
+            values |= {f"{family}_{stat}": out[stat] for stat in ("max", "mean", "std")}
+            values |= {f"{family}_total": f"{family}__sum", f"{family}_service_count": n}
+    available = [f"{f}_available" for f in found]
+    three = two.selectExpr(
+        *ids, "window_id", *carried, *available,
+        *[
+            f"{_guarded(name, value, bool(found[families_of(name)[0]]))} AS {name}"
+            for name, value in values.items()
+        ],
+    )
     return with_ratios(three)
 
 
+def _guarded(name: str, value: str, has_columns: bool) -> str:
+    kind = "INT" if name.endswith("_count") else "DOUBLE"
+    return when_present(families_of(name), value) if has_columns else f"CAST(NULL AS {kind})"
+
+
 def with_ratios(state: DataFrame) -> DataFrame:
     """Latency-to-resource ratios and the two mixed sums."""
-    ratios = {
-        f"latency_to_{family}_ratio": F.when(
-            present("latency", family), safe_ratio(F.col("p95_latency"), F.col(f"{family}_total"))
-        )
-        for family in RESOURCE_FAMILIES
-    }
-    sums = {
-        name: F.when(
-            present(*pair), zero_if_null(F.col(f"{pair[0]}_total")) + zero_if_null(F.col(f"{pair[1]}_total"))
-        )
+    ratios = [
+        f"{when_present(('latency', f), safe_ratio_sql('p95_latency', f'{f}_total'))} AS latency_to_{f}_ratio"
+        for f in RESOURCE_FAMILIES
+    ]
+    sums = [
+        f"{when_present(pair, f'coalesce({pair[0]}_total, 0D) + coalesce({pair[1]}_total, 0D)')} AS {name}"
         for name, pair in SUM_COLUMNS.items()
-    }
-    return state.withColumns({**ratios, **sums})
+    ]
+    return state.selectExpr("*", *ratios, *sums)
 
 
 def state_from_long(long: DataFrame, keys: list[str], available: DataFrame | None = None) -> DataFrame:
@@ -186,8 +176,8 @@ def state_from_long(long: DataFrame, keys: list[str], available: DataFrame | Non
     joined = grouped.join(available, keys[0])
     own = [c for c in (*LATENCY_COLUMNS, *START_COLUMNS)]
     own += [f"{f}_{s}" for f in RESOURCE_FAMILIES for s in RESOURCE_STATS]
-    masked = joined.withColumns({c: F.when(present(*families_of(c)), F.col(c)) for c in own})
-    return with_ratios(masked)
+    rest = [c for c in joined.columns if c not in own]
+    return with_ratios(joined.selectExpr(*rest, *[f"{when_present(families_of(c), c)} AS {c}" for c in own]))
 
 
 def fill_state(df: DataFrame, dynamics: dict[str, str] | None = None) -> DataFrame:
@@ -196,15 +186,14 @@ def fill_state(df: DataFrame, dynamics: dict[str, str] | None = None) -> DataFra
     ``dynamics`` maps each dynamic column to the state column it comes from.
     The helper flags of latency and start, which are no state columns, go.
     """
-    names = [c for c in state_columns() if not c.endswith("_available")]
-    source = {**{c: c for c in names}, **(dynamics or {})}
-    filled = {}
-    for column, origin in source.items():
-        if column in df.columns:
-            zero = F.lit(0).cast(df.schema[column].dataType)
-            filled[column] = F.when(present(*families_of(origin)), F.coalesce(F.col(column), zero))
-    for column in ("window_id", *PASSTHROUGH):
-        if column in df.columns and isinstance(df.schema[column].dataType, T.NumericType):
-            zero = F.lit(0).cast(df.schema[column].dataType)
-            filled[column] = F.coalesce(F.col(column), zero)
-    return df.withColumns(filled).drop("latency_available", "start_available")
+    source = {c: c for c in state_columns() if not c.endswith("_available")} | (dynamics or {})
+    out = []
+    for field in df.schema.fields:
+        name, numeric = field.name, isinstance(field.dataType, T.NumericType)
+        if name in source:
+            out.append(f"{when_present(families_of(source[name]), f'coalesce({name}, 0)')} AS {name}")
+        elif name in ("window_id", *PASSTHROUGH) and numeric:
+            out.append(f"coalesce({name}, 0) AS {name}")
+        elif name not in ("latency_available", "start_available"):
+            out.append(f"`{name}`")
+    return df.selectExpr(*out)

@@ -74,7 +74,7 @@ def _(spark, sf):
     return snapped(unite({"other.csv": wide.where("sample_key <> 'signup'"), "signup.csv": own}))
 
 
-@query("s9_row_cap", with_ctes("SELECT sample_key, seq, window_id FROM state WHERE seq < 50", "state"))
+@query("s9_row_cap", with_ctes("SELECT sample_key, seq, window_id FROM state WHERE seq BETWEEN 0 AND 49", "state"))
 def _(spark, sf):
     return capped(_state(spark, sf), 50).select(*IDS)
 

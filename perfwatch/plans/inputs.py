@@ -40,6 +40,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def window_of(window: int) -> Column:
+    return F.expr(f"us div {window}")
+
+
 def by_type() -> Column:
     return F.col("event_type")
 
@@ -75,7 +79,7 @@ def telemetry_wide(
         ]
     aggs.append(F.when(F.max("value") >= SLOW, 1).otherwise(0).alias("label_trace"))
     wide = data.groupBy(
-        (by_type() if sample is None else sample).alias("sample_key"), F.floor(F.col("us") / window).alias("window_id")
+        (by_type() if sample is None else sample).alias("sample_key"), window_of(window).alias("window_id")
     ).agg(*aggs)
     flags = {f"{f}_available": F.lit(1) for f in ("latency", "start", *RESOURCE_FAMILIES)}
     flags["net_tx_available"] = F.when(F.col("sample_key").startswith("signup"), 0).otherwise(1)
@@ -98,7 +102,7 @@ def telemetry_long(spark: SparkSession, sf_dir: str, window: int = WINDOW_MICROS
     """(sample_key, window_id, service_id, family, value) rows without NULLs."""
     grouped = events(spark, sf_dir).groupBy(
         F.col("event_type").alias("sample_key"),
-        F.floor(F.col("us") / window).alias("window_id"),
+        window_of(window).alias("window_id"),
         (F.col("user_id") % SERVICES).cast("int").alias("service_id"),
     ).agg(
         F.avg("value").alias("latency"),
@@ -220,7 +224,7 @@ def monitored(spark: SparkSession, sf_dir: str, service: Column | None = None) -
     if service is None:
         service = F.concat(F.lit("svc-"), (F.col("user_id") % 8).cast("string"))
     keyed = data.select(
-        F.col("event_type").alias("scenario"), F.floor(F.col("us") / WINDOW_MICROS).alias("window_id"),
+        F.col("event_type").alias("scenario"), window_of(WINDOW_MICROS).alias("window_id"),
         service.alias("service"), "value", "k",
     )
     keys = ["scenario", "window_id", "service"]
@@ -233,7 +237,7 @@ def monitored(spark: SparkSession, sf_dir: str, service: Column | None = None) -
     if layout.split:
         wanted = {"p95_latency": ("value", 0.95), "p90_latency": ("value", 0.90)}
         sums = sums.join(exact_quantiles(keyed, layout, wanted), keys)
-    first = data.agg(F.floor(F.min("us") / WINDOW_MICROS)).scalar()
+    first = data.agg(F.min(window_of(WINDOW_MICROS))).scalar()
     steps = sums.withColumns({
         "step": F.col("window_id") - first,
         "resource_pressure": F.col("cpu_total") + F.col("memory_total"),

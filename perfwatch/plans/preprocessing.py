@@ -31,25 +31,31 @@ class Settings:
     require_measures: bool = False
 
 
+ORDER = ("sample_key", "seq", "n")
+
+
 def aggregated(telemetry: DataFrame, layout: Layout, settings: Settings = Settings()) -> DataFrame:
     """System state with dynamics, zero-filled, in file order ``seq``.
 
     ``telemetry`` has ``sample_key`` and ``seq`` (and ``n``, if it is known).
     """
-    keys = ("sample_key", "seq", "n")
-    state = add_dynamics(system_state(telemetry, keys), layout, settings.rolling_window)
-    return fill_state(state, dynamic_columns(state.columns, settings.rolling_window))
+    return _with_dynamics(system_state(telemetry, ORDER), layout, settings)
+
+
+def _with_dynamics(state: DataFrame, layout: Layout, settings: Settings) -> DataFrame:
+    moving = add_dynamics(state, layout, settings.rolling_window)
+    return fill_state(moving, dynamic_columns(moving.columns, settings.rolling_window))
 
 
 def marked(telemetry: DataFrame, layout: Layout, settings: Settings = Settings()) -> DataFrame:
     """Aggregated state with anomaly flags.
 
     Thresholds read the undecorated state, so their pass neither sorts the
-    samples nor computes dynamics.
+    samples nor computes dynamics, and scans three families only.
     """
-    plain = fill_state(system_state(telemetry, ("sample_key", "seq", "n")))
-    limits = thresholds(plain, layout, settings.anomaly_quantile, settings.train)
-    return apply_thresholds(aggregated(telemetry, layout, settings), limits, list(layout.keys))
+    state = system_state(telemetry, ORDER)
+    limits = thresholds(fill_state(state), layout, settings.anomaly_quantile, settings.train)
+    return apply_thresholds(_with_dynamics(state, layout, settings), limits, list(layout.keys))
 
 
 def predictive(telemetry: DataFrame, layout: Layout, settings: Settings = Settings()) -> DataFrame:

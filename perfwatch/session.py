@@ -22,6 +22,7 @@ def build_session(app: str = "perfwatch", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.codegen.maxFields", "400")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
     if master:
