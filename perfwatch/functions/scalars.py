@@ -24,13 +24,8 @@ def zero_if_null(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """``num / (den + eps)``; a zero or missing denominator or numerator gives 0."""
-    return zero_if_null(F.try_divide(num, F.nullif(den, F.lit(0.0)) + F.lit(RATIO_EPS)))
-
-
 def safe_ratio_sql(num: str, den: str) -> str:
-    """``safe_ratio`` as SQL text."""
+    """``num / (den + eps)`` as SQL text; a zero or missing denominator or numerator gives 0."""
     return f"coalesce(try_divide({num}, nullif({den}, 0D) + {RATIO_EPS!r}D), 0D)"
 
 
