@@ -5,9 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -79,7 +79,7 @@ class Prepared:
     """Rows with ``features``, ``y_true``, ``split`` and ``weight``, and the fitted preparation."""
 
     rows: DataFrame
-    stages: list[Model]
+    stages: list[Transformer]
     features: list[str]
 
 
@@ -101,19 +101,21 @@ def prepare(dataset: DataFrame, target: str, task: str) -> Prepared:
     y = F.col(target).cast("int" if task == "classification" else "double").cast("double")
     typed = dataset.select("split", y.alias("y_true"), *[F.col(c).cast("double").alias(c) for c in names])
     train = typed.where("split = 'train'")
-    filled = train.agg(*[F.count(c).alias(c) for c in names]).first()
-    features = [c for c in names if filled[c]]
-    pipeline = Pipeline(stages=[
-        Imputer(strategy="median", inputCols=features, outputCols=[f"{c}__imputed" for c in features]),
-        VectorAssembler(inputCols=[f"{c}__imputed" for c in features], outputCol="features"),
-    ]).fit(train)
+    # one pass: mergeable median sketches; a column without values has none
+    medians = train.agg(*[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in names]).first()
+    features = [c for c in names if medians[c] is not None]
+    filled = ", ".join(f"coalesce(`{c}`, {float(medians[c])!r}D) AS `{c}__filled`" for c in features)
+    pipeline = PipelineModel([
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"{c}__filled" for c in features], outputCol="features"),
+    ])
     assembled = pipeline.transform(typed).select("split", "y_true", "features")
     if task == "classification":
         counts = {r["y_true"]: r["count"] for r in train.groupBy("y_true").count().collect()}
         total = sum(counts.values())
         weights = [F.when(F.col("y_true") == k, F.lit(total / (2.0 * n))) for k, n in counts.items()]
         assembled = assembled.withColumn("weight", F.coalesce(*weights, F.lit(1.0)))
-    return Prepared(assembled, list(pipeline.stages), features)
+    return Prepared(assembled, pipeline.stages, features)
 
 
 def score(model: Model, rows: DataFrame, task: str) -> DataFrame:

@@ -14,7 +14,7 @@ from perfwatch.functions.scalars import grid
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
-_MODULES = ["telemetry", "files"]
+_MODULES = ["telemetry", "files", "learning", "monitoring"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -218,11 +218,18 @@ def placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(F.col("n_name").alias("service"), F.col("r_name").alias("node"))
 
 
-def monitored(spark: SparkSession, sf_dir: str, service: Column | None = None) -> DataFrame:
-    """Panel telemetry by scenario, step and service with a system anomaly flag."""
+def monitored(spark: SparkSession, sf_dir: str, by_nation: DataFrame | None = None) -> DataFrame:
+    """Panel telemetry by scenario, step and service with a system anomaly flag.
+
+    Services are ``svc-<user_id % 8>``, or the names of ``by_nation`` (key,
+    service) for ``user_id % 20``.
+    """
     data = events(spark, sf_dir)
-    if service is None:
+    if by_nation is None:
         service = F.concat(F.lit("svc-"), (F.col("user_id") % 8).cast("string"))
+    else:
+        data = data.withColumn("key", (F.col("user_id") % 20).cast("int")).join(by_nation, "key")
+        service = F.col("service")
     keyed = data.select(
         F.col("event_type").alias("scenario"), window_of(WINDOW_MICROS).alias("window_id"),
         service.alias("service"), "value", "k",
