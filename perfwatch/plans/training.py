@@ -37,10 +37,9 @@ def run_preprocessing(
     headers = src.csv_headers(chosen)
     telemetry, layout = src.read_telemetry_csv(spark, input_root, chosen)
     out.save_stage(aggregated(telemetry, layout, settings), output_root, "aggregated", part)
-    out.save_stage(marked(telemetry, layout, settings), output_root, "marked", part)
-    labelled = spark.read.parquet(f"{output_root}/{out.DATASET_DIR}").where(
-        (F.col("file_role") == "marked") & (F.col("part_name") == part)
-    ).drop("part_name", "scenario", "logical_sample_key", "file_role")
+    flags = marked(telemetry, layout, settings)
+    out.save_stage(flags, output_root, "marked", part)
+    labelled = out.load_stage(spark, flags.schema, output_root, "marked", part)
     dataset = predictive_dataset(
         labelled, layout, settings.n_lags, settings.horizon, settings.train, settings.val, settings.test
     )

@@ -30,7 +30,10 @@ def path_order(path: Column) -> Column:
 
 
 def discover(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFrame:
-    """Paths and sizes of the files under ``root``; contents are not read."""
+    """Paths and sizes of the files under ``root``; contents are not read.
+
+    Spark's file index leaves out files of zero bytes.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DATASET_DIR = "predictive_processed_dataset"
+STAGE_PARTITIONS = ["part_name", "scenario", "logical_sample_key", "file_role"]
 
 
 def save_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -67,9 +69,17 @@ def save_stage(df: DataFrame, root: str, role: str | Column, part_name: str = "p
         "logical_sample_key": F.col("sample_key"),
         "file_role": kind,
     })
-    named.write.mode(mode).partitionBy("part_name", "scenario", "logical_sample_key", "file_role").parquet(
-        f"{root}/{DATASET_DIR}"
-    )
+    named.write.mode(mode).partitionBy(*STAGE_PARTITIONS).parquet(f"{root}/{DATASET_DIR}")
+
+
+def load_stage(spark: SparkSession, schema: T.StructType, root: str, role: str, part_name: str) -> DataFrame:
+    """One stage back: the partition filters prune all other files.
+
+    Stages differ in their columns, so the schema of the wanted one is given.
+    """
+    keys = [T.StructField(c, T.StringType()) for c in STAGE_PARTITIONS]
+    stored = spark.read.schema(T.StructType([*schema.fields, *keys])).parquet(f"{root}/{DATASET_DIR}")
+    return stored.where((F.col("file_role") == role) & (F.col("part_name") == part_name)).drop(*STAGE_PARTITIONS)
 
 
 def export_report(df: DataFrame, path: str) -> None:
