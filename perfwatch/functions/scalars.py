@@ -34,11 +34,6 @@ def part_of(rows: Column, fraction: float) -> Column:
     return F.floor(rows.cast("double") * F.lit(float(fraction)))
 
 
-def grid(value: Column) -> Column:
-    """Snap to a 1e-6 grid whose ties lie off the decimal grid, to compare engines."""
-    return F.floor(value * F.lit(1e6) + F.lit(0.3183)) / F.lit(1e6)
-
-
 def mapped(value: Column, labels: dict[str, str]) -> Column:
     """Display label of a code; unknown codes pass through."""
     if not labels:

@@ -37,13 +37,14 @@ def files_index(paths: DataFrame) -> DataFrame:
     The role is the file stem or, for partitioned writes, the ``file_role=``
     directory. Files without a role are left out.
     """
-    root = F.regexp_extract("path", rf"^(.*?/{ROOT_NAME})/(.*)$", 1)
-    rel = F.regexp_extract("path", rf"^(.*?/{ROOT_NAME})/(.*)$", 2)
-    split = paths.select(F.col("path").alias("absolute_path"), root.alias("predictive_root"), rel.alias("rel"))
-    parts = F.split("rel", "/")
-    pieces = split.where("rel <> ''").select(
-        "absolute_path", "predictive_root", "rel", parts.alias("parts"),
-        F.element_at(parts, -1).alias("file_name"),
+    start = F.instr("path", f"/{ROOT_NAME}/")
+    split = paths.where(start > 0).select(
+        F.col("path").alias("absolute_path"),
+        F.substring("path", 1, start + len(ROOT_NAME)).alias("predictive_root"),
+        F.substring("path", start + len(ROOT_NAME) + 2, F.length("path")).alias("rel"),
+    )
+    pieces = split.select(
+        "*", F.split("rel", "/").alias("parts"), F.substring_index("rel", "/", -1).alias("file_name")
     )
     named = pieces.select(
         "*",

@@ -90,6 +90,12 @@ class Trained:
     metrics: DataFrame
     predictions: DataFrame
     models: dict[str, PipelineModel] = field(default_factory=dict)
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        """Free the assembled rows once metrics and predictions are stored."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
 
 def prepare(dataset: DataFrame, target: str, task: str) -> Prepared:
@@ -99,10 +105,10 @@ def prepare(dataset: DataFrame, target: str, task: str) -> Prepared:
     """
     names = feature_columns(dataset, target)
     y = F.col(target).cast("int" if task == "classification" else "double").cast("double")
-    typed = dataset.select("split", y.alias("y_true"), *[F.col(c).cast("double").alias(c) for c in names])
+    typed = dataset.withColumn("y_true", y).selectExpr("split", "y_true", *[f"double(`{c}`) AS `{c}`" for c in names])
     train = typed.where("split = 'train'")
     # one pass: mergeable median sketches; a column without values has none
-    medians = train.agg(*[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in names]).first()
+    medians = train.agg(*[F.expr(f"percentile_approx(`{c}`, 0.5D, 10000) AS `{c}`") for c in names]).first()
     features = [c for c in names if medians[c] is not None]
     filled = ", ".join(f"coalesce(`{c}`, {float(medians[c])!r}D) AS `{c}__filled`" for c in features)
     pipeline = PipelineModel([
@@ -162,6 +168,7 @@ def train_and_evaluate(
     if BASELINE in models:
         scored[BASELINE] = baseline(dataset, target, task)
     wanted = [m for m in models if m != BASELINE]
+    rows = None
     if wanted:
         prepared = prepare(dataset, target, task)
         rows = prepared.rows.persist()
@@ -171,7 +178,7 @@ def train_and_evaluate(
             fitted[name] = PipelineModel([*prepared.stages, model])
             scored[name] = score(model, rows, task)
     united = reduce(DataFrame.unionByName, [p.withColumn("model", F.lit(m)) for m, p in scored.items()])
-    return Trained(metrics_of(united, task, ["model", "split"]), united.where("split = 'test'"), fitted)
+    return Trained(metrics_of(united, task, ["model", "split"]), united.where("split = 'test'"), fitted, rows)
 
 
 def save_models(models: dict[str, PipelineModel], root: str, task: str, scenario: str) -> dict[str, str]:
@@ -183,7 +190,6 @@ def save_models(models: dict[str, PipelineModel], root: str, task: str, scenario
 
 def apply_saved(path: str, dataset: DataFrame, target: str, task: str) -> DataFrame:
     """Score rows with a stored pipeline, which imputes and assembles by itself."""
-    y = F.col(target).cast("double").alias("y_true")
-    names = [c for c in feature_columns(dataset, target)]
-    typed = dataset.select("split", y, *[F.col(c).cast("double").alias(c) for c in names])
+    names = feature_columns(dataset, target)
+    typed = dataset.selectExpr("split", f"double(`{target}`) AS y_true", *[f"double(`{c}`) AS `{c}`" for c in names])
     return score(PipelineModel.load(path), typed, task)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from perfwatch.session import stage
 
-GROUP_LIMIT = 2_000_000
+GROUP_LIMIT = 1_000_000
 CHUNK_ROWS = 250_000
 
 

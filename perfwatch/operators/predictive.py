@@ -118,13 +118,9 @@ def predictive_dataset(
 
 def flatten_lags(df: DataFrame) -> DataFrame:
     """Spread the lag structs into ``<column>_lag_<k>`` columns."""
-    plain = [c for c in df.columns if not _is_lag(df, c)]
-    lags = sorted((c for c in df.columns if _is_lag(df, c)), key=lambda c: int(c.removeprefix("lag_")))
-    spread = [
-        F.col(lag)[field].alias(f"{field}_{lag}") for lag in lags for field in df.schema[lag].dataType.names
-    ]
-    return df.select(*plain, *spread)
-
-
-def _is_lag(df: DataFrame, name: str) -> bool:
-    return name.startswith("lag_") and isinstance(df.schema[name].dataType, T.StructType)
+    fields = df.schema.fields
+    lags = [f for f in fields if f.name.startswith("lag_") and isinstance(f.dataType, T.StructType)]
+    plain = [f"`{f.name}`" for f in fields if f not in lags]
+    lags.sort(key=lambda f: int(f.name.removeprefix("lag_")))
+    spread = [f"{f.name}.`{c}` AS `{c}_{f.name}`" for f in lags for c in f.dataType.names]
+    return df.selectExpr(*plain, *spread)

@@ -223,15 +223,16 @@ def incidents(
 ) -> DataFrame:
     """Incident log: the last flagged rows, or the slowest rows if none is flagged.
 
-    Both branches end in a bounded top-k, so the severity bins and the status
-    cycle run on at most ``keep`` rows.
+    Both branches end in a bounded top-k, so the choice between them, the
+    severity bins and the status cycle run on at most ``keep + fallback`` rows.
     """
     data = with_event_time(df)
-    risky = flagged(data)
     tie = [F.desc(c) for c in order]
-    slowest = data.orderBy(F.desc("p95_latency"), *tie).limit(fallback)
-    slowest = slowest.where(risky.agg(F.count(F.lit(1))).scalar() == 0)
-    kept = last_rows(last_rows(risky, keep, order).unionByName(slowest), keep, order)
+    risky = flagged(data).orderBy(*tie).limit(keep).withColumn("_rank", F.lit(1))
+    slowest = data.orderBy(F.desc("p95_latency"), *tie).limit(fallback).withColumn("_rank", F.lit(0))
+    best = F.max("_rank").over(Window.partitionBy())
+    chosen = risky.unionByName(slowest).withColumn("_best", best).where("_rank = _best")
+    kept = last_rows(chosen, keep, order)
     place = F.row_number().over(Window.partitionBy().orderBy(*order)) - 1
     columns = ["scenario", "step", "event_time", "window_id", "service", "p95_latency", "cpu_total", "memory_total", "net_total"]
     return kept.withColumns({

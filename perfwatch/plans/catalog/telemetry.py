@@ -368,9 +368,7 @@ _RUN_SQL = """
 
 def _status(spark: SparkSession, sf: str) -> DataFrame:
     telemetry, layout = inputs.telemetry(spark, sf, sample=inputs.by_run())
-    labelled = prep.marked(telemetry, layout)
-    dataset = pre.predictive_dataset(labelled, layout)
-    return prep.status(labelled, dataset, prep.Settings(min_rows=35))
+    return prep.status(telemetry, prep.predictive(telemetry, layout), prep.Settings(min_rows=35))
 
 
 @query("v6_minimum_rows", with_ctes(_RUN_SQL, "ev"))

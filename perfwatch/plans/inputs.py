@@ -62,22 +62,19 @@ def telemetry_wide(
     combine. ``signup`` has no transmit columns in its header.
     """
     data = events(spark, sf_dir)
-
-    def of(service: int, value: Column) -> Column:
-        return F.when(F.col("user_id") % SERVICES == service, value)
-
     aggs = []
     for s in range(SERVICES):
+        mine = f"FILTER (WHERE user_id % {SERVICES} = {s})"
         aggs += [
-            F.avg(of(s, F.col("value"))).alias(f"{s}_latency"),
-            (F.min(of(s, F.col("us") % window)) / F.lit(1e6)).alias(f"{s}_start"),
-            F.sum(of(s, F.col("k"))).alias(f"{s}_container_cpu_usage_seconds_total"),
-            F.sum(of(s, F.col("value"))).alias(f"{s}_container_memory_usage_bytes"),
-            F.max(of(s, F.col("k"))).alias(f"{s}_container_network_receive_bytes_total"),
-            F.nullif(F.count_if((F.col("event_type") != "signup") & (F.col("user_id") % SERVICES == s)), F.lit(0))
-            .cast("double").alias(f"{s}_container_network_transmit_bytes_total"),
+            f"avg(value) {mine} AS `{s}_latency`",
+            f"min(us % {window}) {mine} / 1e6D AS `{s}_start`",
+            f"sum(k) {mine} AS `{s}_container_cpu_usage_seconds_total`",
+            f"sum(value) {mine} AS `{s}_container_memory_usage_bytes`",
+            f"max(k) {mine} AS `{s}_container_network_receive_bytes_total`",
+            f"double(nullif(count_if(event_type <> 'signup') {mine}, 0)) AS `{s}_container_network_transmit_bytes_total`",
         ]
-    aggs.append(F.when(F.max("value") >= SLOW, 1).otherwise(0).alias("label_trace"))
+    aggs.append(f"int(max(value) >= {SLOW}D) AS label_trace")
+    aggs = [F.expr(a) for a in aggs]
     wide = data.groupBy(
         (by_type() if sample is None else sample).alias("sample_key"), window_of(window).alias("window_id")
     ).agg(*aggs)

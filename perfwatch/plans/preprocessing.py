@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perfwatch.operators.dynamics import add_dynamics, dynamic_columns
-from perfwatch.operators.families import family_columns
+from perfwatch.operators.families import family_columns, mark_available
 from perfwatch.operators.labels import apply_thresholds, label_summary, thresholds
 from perfwatch.operators.ordering import Layout
 from perfwatch.operators.predictive import predictive_dataset
@@ -65,21 +65,17 @@ def predictive(telemetry: DataFrame, layout: Layout, settings: Settings = Settin
     )
 
 
-def status(labelled: DataFrame, dataset: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def status(telemetry: DataFrame, dataset: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per sample: rows after each stage, gate result and reason."""
-    sizes = labelled.groupBy("sample_key").agg(
-        F.count(F.lit(1)).alias("aggregated_rows"),
-        F.max(F.col("p95_latency").isNotNull().cast("int")).alias("latency_available"),
-        F.max("cpu_available").alias("cpu_available"),
-        F.max("memory_available").alias("memory_available"),
+    flags = ["latency_available", "cpu_available", "memory_available"]
+    sizes = mark_available(telemetry).groupBy("sample_key").agg(
+        F.count(F.lit(1)).alias("aggregated_rows"), *[F.max(c).alias(c) for c in flags]
     )
     made = dataset.groupBy("sample_key").agg(F.count(F.lit(1)).alias("predictive_rows"))
     joined = sizes.join(made, "sample_key", "left").withColumn(
         "predictive_rows", F.coalesce("predictive_rows", F.lit(0))
     )
-    return sample_status(joined, settings.min_rows, settings.require_measures).drop(
-        "latency_available", "cpu_available", "memory_available"
-    )
+    return sample_status(joined, settings.min_rows, settings.require_measures).drop(*flags)
 
 
 def audit(telemetry: DataFrame, labelled: DataFrame, lag_columns: int) -> DataFrame:

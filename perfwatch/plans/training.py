@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from perfwatch.operators import manifest as mf
 from perfwatch.operators import ml
 from perfwatch.operators.evaluate import metrics_document
-from perfwatch.operators.labels import label_summary
-from perfwatch.operators.ordering import measure, positions
+from perfwatch.operators.labels import label, label_summary
+from perfwatch.operators.ordering import GROUP_LIMIT, Layout
 from perfwatch.operators.predictive import flatten_lags, predictive_dataset
 from perfwatch.operators.validation import require_rows, require_success
-from perfwatch.plans.preprocessing import Settings, aggregated, marked, status
+from perfwatch.plans.preprocessing import Settings, aggregated, status
+from perfwatch.session import stage
 from perfwatch.sources import files as src
 from perfwatch.sources import writers as out
 from perfwatch.sources.tables import capped, sampled
@@ -36,14 +37,20 @@ def run_preprocessing(
     part = chosen.agg(F.max("part_name")).first()[0]
     headers = src.csv_headers(chosen)
     telemetry, layout = src.read_telemetry_csv(spark, input_root, chosen)
-    out.save_stage(aggregated(telemetry, layout, settings), output_root, "aggregated", part)
-    flags = marked(telemetry, layout, settings)
+    telemetry = stage(telemetry, "telemetry")  # typed columns: text is parsed once
+    enough = telemetry.where(F.col("n") >= settings.min_rows)
+
+    # each stage reads the stored columns of the one before
+    state = aggregated(enough, layout, settings)
+    out.save_stage(state, output_root, "aggregated", part)
+    state = out.load_stage(spark, state.schema, output_root, "aggregated", part)
+    flags = label(state, layout, settings.anomaly_quantile, settings.train)
     out.save_stage(flags, output_root, "marked", part)
     labelled = out.load_stage(spark, flags.schema, output_root, "marked", part)
     dataset = predictive_dataset(
         labelled, layout, settings.n_lags, settings.horizon, settings.train, settings.val, settings.test
     )
-    report = status(labelled, dataset, settings)
+    report = status(telemetry, dataset, settings)
     unread = headers.where("header is null").select(
         F.col("path").alias("sample_key"), F.lit(0).cast("bigint").alias("aggregated_rows"),
         F.lit(0).cast("bigint").alias("predictive_rows"), F.lit("failed").alias("status"),
@@ -82,11 +89,14 @@ def load_role(
 ) -> DataFrame:
     """Rows of a role with the per-source cap and the seeded per-source sample."""
     rows = src.read_role(spark, manifest, role, scenario)
-    layout = measure(rows, ["sample_key"])
-    rows = positions(rows.drop("_place", "_rows"), layout, ["pos"], "_place", "_rows")
+    # a split is one run of consecutive places, so its first place and size tell the rest
+    runs = rows.groupBy("sample_key").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    rows = rows.join(runs, "sample_key").withColumn("_place", F.col("pos") - F.col("_first"))
     if max_rows is not None:
         rows = capped(rows, max_rows, "_place").withColumn("_rows", F.least(F.col("_rows"), F.lit(max_rows)))
-    return sampled(rows, layout, sample_frac, seed, "_place", "_rows").drop("_place", "_rows")
+    longest = runs.agg(F.max("_rows")).first()[0] or 0
+    drawn = sampled(rows, Layout(("sample_key",), longest > GROUP_LIMIT), sample_frac, seed, "_place", "_rows")
+    return drawn.drop("_place", "_rows", "_first")
 
 
 def run_training(
@@ -113,6 +123,7 @@ def run_training(
     metrics = trained.metrics.select("model", "split", *names)
     out.save_table(metrics, f"{reports}/{task}_metrics.csv")
     stored = spark.read.schema(metrics.schema).option("header", "true").csv(f"{reports}/{task}_metrics.csv")
+    trained.release()
     document = metrics_document(stored.withColumn("scenario", F.lit(scenario)), ["scenario"], names)
     out.save_json(document.withColumn("target_col", F.lit(target)), f"{reports}/{task}_metrics.json")
     return stored

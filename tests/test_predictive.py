@@ -84,8 +84,7 @@ def test_text_label_missing_at_target_drops_the_row(spark):
 
 def test_tiny_sample_fails_and_others_go_on(spark):
     df = telemetry(spark, {"tiny": 4, "short": 12, "ok": 40})
-    labelled = marked(df, PLAIN)
-    found = {r["sample_key"]: r for r in status(labelled, predictive_dataset(labelled, PLAIN)).collect()}
+    found = {r["sample_key"]: r for r in status(df, predictive(df, PLAIN)).collect()}
     assert found["tiny"]["reason"] == "too few rows after aggregation"
     assert found["short"]["reason"] == "too few rows after predictive processing"
     assert found["ok"]["status"] == "ok" and found["ok"]["predictive_rows"] == 36
@@ -94,9 +93,8 @@ def test_tiny_sample_fails_and_others_go_on(spark):
 
 def test_suitability_gate(spark):
     df = telemetry(spark, {"ok": 40}).drop("0_container_cpu_usage_seconds_total", "0_container_memory_usage_bytes")
-    labelled = marked(df, PLAIN)
     settings = Settings(require_measures=True)
-    assert status(labelled, predictive_dataset(labelled, PLAIN), settings).first()["reason"] == "required metrics are missing"
+    assert status(df, predictive(df, PLAIN), settings).first()["reason"] == "required metrics are missing"
 
 
 def test_thresholds_ignore_rows_after_the_prefix(spark):
