@@ -22,13 +22,8 @@ ORDER = ["part_name", "scenario", "logical_sample_key", "file_role"]
 
 def dataset_roots(paths: DataFrame) -> DataFrame:
     """Distinct dataset roots among file paths, sorted."""
-    root = F.regexp_extract("path", rf"^(.*?/{ROOT_NAME})/", 1)
-    return paths.select(root.alias("predictive_root")).where("predictive_root <> ''").distinct().orderBy("predictive_root")
-
-
-def _unlabelled(part: Column) -> Column:
-    """``part_name=x`` directories of partitioned writes count as ``x``."""
-    return F.regexp_replace(part, r"^(part_name|scenario|logical_sample_key)=", "")
+    found = paths.select(F.split("path", f"/{ROOT_NAME}/", 2).alias("pieces")).where("size(pieces) = 2")
+    return found.selectExpr(f"concat(pieces[0], '/{ROOT_NAME}') AS predictive_root").distinct().orderBy("predictive_root")
 
 
 def files_index(paths: DataFrame) -> DataFrame:
@@ -37,39 +32,34 @@ def files_index(paths: DataFrame) -> DataFrame:
     The role is the file stem or, for partitioned writes, the ``file_role=``
     directory. Files without a role are left out.
     """
-    start = F.instr("path", f"/{ROOT_NAME}/")
-    split = paths.where(start > 0).select(
-        F.col("path").alias("absolute_path"),
-        F.substring("path", 1, start + len(ROOT_NAME)).alias("predictive_root"),
-        F.substring("path", start + len(ROOT_NAME) + 2, F.length("path")).alias("rel"),
-    )
-    pieces = split.select(
-        "*", F.split("rel", "/").alias("parts"), F.substring_index("rel", "/", -1).alias("file_name")
+    pieces = paths.select("path", F.split("path", f"/{ROOT_NAME}/", 2).alias("pieces")).where("size(pieces) = 2")
+    named = pieces.selectExpr(
+        "path AS absolute_path",
+        "pieces[1] AS relative_path_from_part",
+        f"concat(pieces[0], '/{ROOT_NAME}') AS predictive_root",
+        "substring_index(pieces[1], '/', -1) AS file_name",
+        "split(pieces[1], '/') AS parts",
     )
-    named = pieces.select(
-        "*",
-        F.lower(F.regexp_extract("file_name", r"(\.[^.]*)$", 1)).alias("file_suffix"),
-        F.regexp_replace("file_name", r"\.[^.]*$", "").alias("stem"),
-        F.nullif(F.regexp_extract("rel", r"(?:^|/)file_role=([^/]+)/", 1), F.lit("")).alias("written_role"),
-    ).where(F.col("file_suffix").isin(SUFFIXES))
     roles = F.create_map(*[F.lit(x) for pair in ROLE_BY_STEM.items() for x in pair])
-    dirs = F.expr("filter(slice(parts, 1, size(parts) - 1), p -> NOT startswith(p, 'file_role='))")
-    return (
-        named.select(
-            "absolute_path",
-            F.coalesce("written_role", F.try_element_at(roles, F.col("stem"))).alias("file_role"),
-            F.col("rel").alias("relative_path_from_part"),
-            "predictive_root",
-            _unlabelled(F.get("parts", F.lit(0))).alias("part_name"),
-            F.coalesce(_unlabelled(F.get("parts", F.lit(1))), F.lit("")).alias("scenario"),
-            F.when(F.size("parts") > 1, F.array_join(dirs, "/")).otherwise(F.col("stem")).alias("logical_sample_key"),
-            "file_name",
-            "file_suffix",
-            F.when(F.size("parts") > 1, F.get("parts", F.size("parts") - 2))
-            .otherwise(F.element_at(F.split("predictive_root", "/"), -1)).alias("parent_dir_name"),
-        )
-        .where("file_role is not null")
-    )
+    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    written = F.when(F.contains("relative_path_from_part", F.lit("file_role=")), F.nullif(
+        F.regexp_extract("relative_path_from_part", r"(?:^|/)file_role=([^/]+)/", 1), F.lit("")
+    ))
+    # ``part_name=x`` directories of partitioned writes count as ``x``
+    plain = r"^(part_name|scenario)="
+    return named.select(
+        "absolute_path",
+        F.coalesce(written, F.try_element_at(roles, stem)).alias("file_role"),
+        "relative_path_from_part",
+        "predictive_root",
+        F.regexp_replace(F.get("parts", F.lit(0)), plain, "").alias("part_name"),
+        F.coalesce(F.regexp_replace(F.get("parts", F.lit(1)), plain, ""), F.lit("")).alias("scenario"),
+        F.when(F.size("parts") > 1, F.regexp_replace("relative_path_from_part", r"(/file_role=[^/]*)?/[^/]*$", ""))
+        .otherwise(stem).alias("logical_sample_key"),
+        "file_name",
+        F.lower(F.regexp_extract("file_name", r"(\.[^.]*)$", 1)).alias("file_suffix"),
+        F.when(F.size("parts") > 1, F.get("parts", F.size("parts") - 2)).otherwise(F.lit(ROOT_NAME)).alias("parent_dir_name"),
+    ).where(F.col("file_role").isNotNull() & F.col("file_suffix").isin(SUFFIXES))
 
 
 def sorted_index(index: DataFrame) -> DataFrame:

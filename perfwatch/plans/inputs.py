@@ -168,15 +168,21 @@ def class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct paths of processed files."""
+    """Distinct paths of processed files.
+
+    Events fold to one representative per path before any text is built, so
+    the path expressions, and filters on them, run once per path.
+    """
+    seen = table(spark, sf_dir, "events").groupBy(
+        "event_type", (F.col("user_id") % 150).alias("_run"), (F.col("event_id") % 8).alias("_kind")
+    ).agg(F.min("user_id").alias("user_id"), F.min("event_id").alias("event_id"))
     kind = (F.col("event_id") % 8).cast("int")
     stem = F.element_at(F.array(*[F.lit(s) for s in STEMS]), kind + 1)
     suffix = F.when(kind.isin(3, 7), F.lit(".json")).otherwise(F.lit(".parquet"))
-    path = F.concat(
+    return seen.select(F.concat(
         F.lit(f"{ROOT}/part_000"), (F.col("user_id") % 3).cast("string"), F.lit("/"), F.col("event_type"),
         F.lit("/run_"), (F.col("user_id") % 50).cast("string"), F.lit("/"), stem, suffix,
-    )
-    return table(spark, sf_dir, "events").select(path.alias("path")).distinct()
+    ).alias("path"))
 
 
 def service_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
