@@ -29,7 +29,7 @@ TEN_MINUTES = 600_000_000
 
 def predictive_ten_minutes(spark, sf_dir):
     """The whole predictive dataset over 10-minute windows (21,600 rows at sf0.1)."""
-    telemetry, layout = inputs.telemetry(spark, sf_dir, TEN_MINUTES)
+    telemetry, layout = inputs.telemetry(spark, sf_dir, TEN_MINUTES, stored=True)
     return preprocessing.predictive(telemetry, layout)
 
 

@@ -74,26 +74,26 @@ def positions(
     numbered = stage(
         df.repartitionByRange(*by_range)
         .sortWithinPartitions(*by_range)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftrightunsigned("_place", 33)),
+        .withColumn("__place", F.monotonically_increasing_id())
+        .withColumn("__part", F.shiftrightunsigned("__place", 33)),
         "ordered",
     )
-    parts = numbered.groupBy(*keys, "_part").agg(
-        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    parts = numbered.groupBy(*keys, "__part").agg(
+        F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__rows")
     )
     # one row per (group, range partition): small even when the group is not
     in_group = Window.partitionBy(*keys)
-    earlier = in_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = in_group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumns({
-        "_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
-        "_total": F.sum("_rows").over(in_group),
+        "__before": F.coalesce(F.sum("__rows").over(earlier), F.lit(0)),
+        "__total": F.sum("__rows").over(in_group),
     })
-    out = numbered.join(parts, [*keys, "_part"]).withColumn(
-        pos, F.col("_place") - F.col("_first") + F.col("_before")
+    out = numbered.join(parts, [*keys, "__part"]).withColumn(
+        pos, F.col("__place") - F.col("__first") + F.col("__before")
     )
     if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.drop("_place", "_part", "_first", "_rows", "_before", "_total")
+        out = out.withColumn(total, F.col("__total"))
+    return out.drop("__place", "__part", "__first", "__rows", "__before", "__total")
 
 
 def in_order(
@@ -121,9 +121,9 @@ def in_order(
         F.when(offset >= size - before, own + 1),
         F.when((offset < after) & (own > 0), own - 1),
     ))
-    spread = df.withColumn("_chunk", F.explode(homes))
-    added = spread.withColumns(columns(Window.partitionBy(*keys, "_chunk").orderBy(pos)))
-    return added.where(F.col("_chunk") == own).drop("_chunk")
+    spread = df.withColumn("__chunk", F.explode(homes))
+    added = spread.withColumns(columns(Window.partitionBy(*keys, "__chunk").orderBy(pos)))
+    return added.where(F.col("__chunk") == own).drop("__chunk")
 
 
 def group_sizes(df: DataFrame, keys: list[str], total: str = "n") -> DataFrame:
@@ -141,14 +141,14 @@ def running_total(
         run = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
         return df.withColumn(out, F.sum(value).over(run))
     ranged = stage(
-        df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "running"
+        df.repartitionByRange(*keys, *order).withColumn("__part", F.spark_partition_id()), "running"
     )
-    parts = ranged.groupBy(*keys, "_part").agg(F.sum(value).alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(*keys, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    local = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(*upto)
+    parts = ranged.groupBy(*keys, "__part").agg(F.sum(value).alias("__sum"))
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*keys, "__part", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"))
+    local = Window.partitionBy(*keys, "__part").orderBy(*order).rowsBetween(*upto)
     return (
-        ranged.join(parts, [*keys, "_part"])
-        .withColumn(out, F.col("_before") + F.sum(value).over(local))
-        .drop("_part", "_before")
+        ranged.join(parts, [*keys, "__part"])
+        .withColumn(out, F.col("__before") + F.sum(value).over(local))
+        .drop("__part", "__before")
     )

@@ -142,7 +142,7 @@ def _(spark, sf):
 def written_dataset(spark: SparkSession, sf: str) -> str:
     """The predictive dataset written by split under a new root."""
     root = staging_path(spark, "dataset")
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     out.save_stage(prep.predictive(telemetry, layout), root, F.col("split"))
     return root
 

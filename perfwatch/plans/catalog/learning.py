@@ -28,7 +28,7 @@ LATENCIES = [f"{s}_latency" for s in range(inputs.SERVICES)]
 
 def dataset(spark: SparkSession, sf: str) -> DataFrame:
     """The flat predictive dataset, written once because fitting reads it repeatedly."""
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     return stage(flatten_lags(prep.predictive(telemetry, layout)), "dataset")
 
 
@@ -79,7 +79,7 @@ def _(spark, sf):
  SELECT CAST(target_anomaly_t_plus_1 AS BIGINT) AS majority FROM {_SPLIT_CTE} WHERE split = 'train'
  GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1""", "pos"))
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     train = prep.predictive(telemetry, layout).where("split = 'train'")
     return snapped(ml.majority_class(train, TARGETS["classification"]))
 

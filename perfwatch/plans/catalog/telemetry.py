@@ -52,11 +52,6 @@ def _dynamics(spark: SparkSession, sf: str) -> DataFrame:
     return prep.aggregated(telemetry, layout)
 
 
-def _marked(spark: SparkSession, sf: str) -> DataFrame:
-    telemetry, layout = inputs.telemetry(spark, sf)
-    return prep.marked(telemetry, layout)
-
-
 # --- scans -----------------------------------------------------------------
 
 @query("s4_parquet_scan", "SELECT event_id, event_type, value FROM events WHERE value >= 50")
@@ -168,7 +163,7 @@ def _(spark, sf):
 
 @query("p9_features_target")
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     flat = pre.flatten_lags(prep.predictive(telemetry, layout))
     return cols.features_and_target(flat, "target_p95_latency_t_plus_1")
 
@@ -247,7 +242,7 @@ def _lag_sql(lags: int) -> str:
 
 @query("w5_lags", with_ctes(_lag_sql(3), "pos"))
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     ordered = pre.ordered_by_window(prep.marked(telemetry, layout).drop("n"), layout)
     flat = pre.flatten_lags(pre.add_history(ordered, layout))
     return snapped(flat.select("sample_key", "pos", *[c for c in flat.columns if "_lag_" in c]))
@@ -267,7 +262,7 @@ _WITH_TARGETS = f"(SELECT *, {_TARGET_SQL} FROM pos WINDOW w AS (PARTITION BY sa
 
 @query("w6_future_targets", with_ctes(f"SELECT sample_key, pos, {_TARGET_OUT} FROM {_WITH_TARGETS}", "pos"))
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     ordered = pre.ordered_by_window(prep.marked(telemetry, layout).drop("n"), layout)
     return snapped(pre.add_history(ordered, layout).select("sample_key", "pos", *_TARGETS))
 
@@ -275,7 +270,7 @@ def _(spark, sf):
 @query("w7_complete_rows", with_ctes(
     f"SELECT sample_key, pos, window_id, {_TARGET_OUT} FROM {_WITH_TARGETS} WHERE pos >= 3 AND pos < n - 1", "pos"))
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     ordered = pre.ordered_by_window(prep.marked(telemetry, layout).drop("n"), layout)
     kept = pre.complete_rows(pre.add_history(ordered, layout))
     return snapped(kept.select("sample_key", "pos", "window_id", *_TARGETS))
@@ -290,7 +285,7 @@ _DATASET_SQL = with_ctes(
 
 @query("w8_chronological_split", _DATASET_SQL)
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     return snapped(prep.predictive(telemetry, layout).select(
         "sample_key", "pos", "window_id", "p95_latency", "p95_latency_diff_1", *_TARGETS, "split"))
 
@@ -331,7 +326,7 @@ def _(spark, sf):
 @query("l3_anomaly_flags", with_ctes(
     f"SELECT sample_key, seq, {', '.join(f'CAST({f} AS BIGINT) AS {f}' for f in lab.FLAGS)} FROM lab", "lab"))
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     state = fill_state(system_state(telemetry, ("sample_key", "seq", "n")))
     return snapped(lab.label(state, layout).select("sample_key", "seq", *lab.FLAGS))
 
@@ -341,7 +336,7 @@ def _(spark, sf):
         f"CAST(sum({f}) AS BIGINT) AS {f}_count, {snap(f'avg({f})', f'{f}_share')}" for f in lab.FLAGS)
     + " FROM lab GROUP BY 1", "lab"))
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     state = fill_state(system_state(telemetry, ("sample_key", "seq", "n")))
     return snapped(lab.label_summary(lab.label(state, layout), ["sample_key"]))
 
@@ -350,7 +345,7 @@ def _(spark, sf):
     f"SELECT sample_key, seq, {_snaps(['p95_latency', 'latency_threshold', 'cpu_threshold', 'memory_threshold'])} FROM state JOIN thr USING (sample_key)",
     "state", "thr"))
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     state = fill_state(system_state(telemetry, ("sample_key", "seq", "n")))
     limits = lab.thresholds(state, layout)
     return snapped(state.join(limits, "sample_key").select(
@@ -367,7 +362,7 @@ _RUN_SQL = """
 
 
 def _status(spark: SparkSession, sf: str) -> DataFrame:
-    telemetry, layout = inputs.telemetry(spark, sf, sample=inputs.by_run())
+    telemetry, layout = inputs.telemetry(spark, sf, sample=inputs.by_run(), stored=True)
     return prep.status(telemetry, prep.predictive(telemetry, layout), prep.Settings(min_rows=35))
 
 
@@ -397,7 +392,7 @@ def _matched(family: str, suffix: str) -> str:
     + ", " + ", ".join(f"CAST(sum({f}) AS BIGINT) AS {f}_count, {snap(f'avg({f})', f'{f}_share')}" for f in lab.FLAGS)
     + " FROM lab GROUP BY 1", "lab"))
 def _(spark, sf):
-    telemetry, layout = inputs.telemetry(spark, sf)
+    telemetry, layout = inputs.telemetry(spark, sf, stored=True)
     labelled = prep.marked(telemetry, layout)
     return snapped(prep.audit(telemetry, labelled, 3 * len(pre.lag_base(labelled))))
 

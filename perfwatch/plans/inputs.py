@@ -13,6 +13,7 @@ from perfwatch.operators.evaluate import classification_metrics, regression_metr
 from perfwatch.operators.families import RESOURCE_FAMILIES
 from perfwatch.operators.ordering import GROUP_LIMIT, Layout, in_order, measure, measure_nested, positions
 from perfwatch.operators.quantile import exact_quantiles
+from perfwatch.session import reused
 
 WINDOW_MICROS = 21_600_000_000  # six hours
 SERVICES = 4
@@ -84,14 +85,24 @@ def telemetry_wide(
 
 
 def telemetry(
-    spark: SparkSession, sf_dir: str, window: int = WINDOW_MICROS, sample: Column | None = None
+    spark: SparkSession, sf_dir: str, window: int = WINDOW_MICROS, sample: Column | None = None,
+    stored: bool = False,
 ) -> tuple[DataFrame, Layout]:
-    """Wide telemetry with the row order ``seq`` and the layout of its samples."""
-    wide = telemetry_wide(spark, sf_dir, window, sample)
-    # the longest sample has at most as many rows as the time span has windows
-    first, last = events(spark, sf_dir).agg(F.min("us"), F.max("us")).first()
-    windows = (last // window - first // window + 1) if first is not None else 0
-    layout = Layout(("sample_key",), windows > GROUP_LIMIT)
+    """Wide telemetry with the row order ``seq`` and the layout of its samples.
+
+    ``stored`` is for plans that read the rows more than once (thresholds and
+    labels, for one): of large events the wide rows are written first, so the
+    events are scanned a single time.
+    """
+    made = telemetry_wide(spark, sf_dir, window, sample)
+    wide = reused(made, "telemetry") if stored else made
+    if wide is not made:
+        layout = measure(wide, ["sample_key"])
+    else:
+        # the longest sample has at most as many rows as the time span has windows
+        first, last = events(spark, sf_dir).agg(F.min("us"), F.max("us")).first()
+        windows = (last // window - first // window + 1) if first is not None else 0
+        layout = Layout(("sample_key",), windows > GROUP_LIMIT)
     return positions(wide, layout, ["window_id"], "seq", "n"), layout
 
 
@@ -247,9 +258,10 @@ def monitored(spark: SparkSession, sf_dir: str, by_nation: DataFrame | None = No
     if layout.split:
         wanted = {"p95_latency": ("value", 0.95), "p90_latency": ("value", 0.90)}
         sums = sums.join(exact_quantiles(keyed, layout, wanted), keys)
-    first = data.agg(F.min(window_of(WINDOW_MICROS))).scalar()
-    steps = sums.withColumns({
-        "step": F.col("window_id") - first,
+    # the panel is small next to the events, and every later pass reads it
+    panel = reused(sums, "panel")
+    steps = panel.withColumns({
+        "step": F.col("window_id") - panel.agg(F.min("window_id")).scalar(),
         "resource_pressure": F.col("cpu_total") + F.col("memory_total"),
     })
     last = steps.groupBy("scenario").agg((F.max("step") + 1).alias("steps"))

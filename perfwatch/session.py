@@ -65,3 +65,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+STAGE_BYTES = 256 * 1024 * 1024
+
+
+def reused(df: DataFrame, label: str, limit: int | None = None) -> DataFrame:
+    """A frame that several passes read: stored if recomputing it would be costly.
+
+    The planner's size estimate (file sizes, no job) decides; small inputs are
+    cheaper to recompute than to write.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return stage(df, label) if estimate > (STAGE_BYTES if limit is None else limit) else df
