@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from perfwatch.functions import rowstats as rs
 from perfwatch.functions.scalars import finite_sql, safe_ratio_sql, zero_if_null
 from perfwatch.operators.families import PASSTHROUGH, RESOURCE_FAMILIES, family_columns
+from perfwatch.operators.ordering import Layout
+from perfwatch.operators.quantile import exact_quantiles
 
 QUANTILES = {"p50_latency": 0.50, "p90_latency": 0.90, "p95_latency": 0.95}
 LATENCY_COLUMNS = [
@@ -138,18 +140,20 @@ def with_ratios(state: DataFrame) -> DataFrame:
     return state.selectExpr("*", *ratios, *sums)
 
 
-def state_from_long(long: DataFrame, keys: list[str], available: DataFrame | None = None) -> DataFrame:
+def state_from_long(
+    long: DataFrame, keys: list[str], available: DataFrame | None = None, layout: Layout | None = None
+) -> DataFrame:
     """The same state from ``(keys, family, value)`` rows: one grouped pass.
 
     For sources that arrive in long form. A family without any value in a
     sample counts as absent unless ``available`` (sample_key, flags) says so.
-    The values of one window are gathered per family, so a window must fit a
-    task; its width is the number of services.
+    With a split ``layout`` of the keys, windows may have any number of rows.
     """
     def of(family: str) -> Column:
         return F.when(F.col("family") == family, F.col("value"))
 
-    aggs = [F.percentile(of("latency"), F.lit(p)).alias(n) for n, p in QUANTILES.items()]
+    split = layout is not None and layout.split
+    aggs = [] if split else [F.percentile(of("latency"), F.lit(p)).alias(n) for n, p in QUANTILES.items()]
     aggs += [
         F.avg(of("latency")).alias("mean_latency"), F.max(of("latency")).alias("max_latency"),
         F.min(of("latency")).alias("min_latency"),
@@ -168,6 +172,10 @@ def state_from_long(long: DataFrame, keys: list[str], available: DataFrame | Non
             F.count(of(family)).cast("int").alias(f"{family}_service_count"),
         ]
     grouped = long.groupBy(*keys).agg(*aggs)
+    if split:
+        latency = long.where("family = 'latency'")
+        found = exact_quantiles(latency, layout.by(*keys), {n: ("value", p) for n, p in QUANTILES.items()})
+        grouped = grouped.join(found, keys, "left")
     if available is None:
         available = long.groupBy(keys[0]).agg(*[
             F.coalesce(F.max(F.when(of(f).isNotNull(), 1)), F.lit(0)).alias(f"{f}_available")

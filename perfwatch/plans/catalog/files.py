@@ -90,9 +90,9 @@ def _(spark, sf):
     root = staging_path(spark, "tolerant")
     events = inputs.table(spark, sf, "events").select("event_type", "event_id", "value")
     events.write.parquet(f"{root}/good")
-    # a file that is no Parquet at all, under a Parquet name
-    events.limit(1).select("event_type").write.text(f"{root}/bad")
-    listing = src.discover(spark, root, ".parquet").union(src.discover(spark, root, ".txt"))
+    # text files under Parquet names
+    events.select("event_type").distinct().coalesce(1).write.option("extension", "parquet").csv(f"{root}/bad")
+    listing = src.discover(spark, root, ".parquet")
     rows, skipped = src.read_tolerant(spark, listing, root, events.schema)
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows")).withColumn(
         "skipped_files", skipped.agg(F.count(F.lit(1))).scalar())

@@ -11,6 +11,7 @@ from perfwatch.operators import families as fam
 from perfwatch.operators import labels as lab
 from perfwatch.operators import predictive as pre
 from perfwatch.operators.dynamics import DYNAMIC_SOURCES
+from perfwatch.operators.ordering import GROUP_LIMIT, Layout
 from perfwatch.operators.state import (
     RATIO_COLUMNS, START_COLUMNS, fill_state, state_columns, state_from_long, system_state,
 )
@@ -209,7 +210,10 @@ _state_query("a7_pressure_net_total", ["resource_pressure", "net_total"])
 def _(spark, sf):
     long = inputs.telemetry_long(spark, sf)
     names = [c for c in state_columns() if not c.endswith(("_count", "_available"))]
-    return snapped(fill_state(state_from_long(long, ["sample_key", "window_id"])).select("sample_key", "window_id", *names))
+    keys = ["sample_key", "window_id"]
+    # a window has one row per service and family
+    state = state_from_long(long, keys, layout=Layout(tuple(keys), inputs.SERVICES * 6 > GROUP_LIMIT))
+    return snapped(fill_state(state).select(*keys, *names))
 
 
 # --- windows ---------------------------------------------------------------

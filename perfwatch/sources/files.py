@@ -95,16 +95,19 @@ def read_csv_by_header(spark: SparkSession, headers: DataFrame) -> dict[str, Dat
     """One text frame per distinct header, with path and order columns.
 
     A single scan over files of different headers would put values under the
-    wrong names, so files are grouped by header first. Only paths, which the
-    driver lists anyway, are collected.
+    wrong names, so files are grouped by header first. Only paths and headers
+    reach the driver, which holds the file listing anyway; they are streamed,
+    so no task gathers the paths of a common header.
     """
-    groups = headers.where("header is not null").groupBy("header").agg(F.collect_list("path").alias("paths"))
+    paths: dict[str, list[str]] = {}
+    for row in headers.where("header is not null").toLocalIterator():
+        paths.setdefault(row["header"], []).append(row["path"])
     frames = {}
-    for row in groups.orderBy("header").collect():
-        names = next(csv.reader(io.StringIO(row["header"])))
+    for header in sorted(paths):
+        names = next(csv.reader(io.StringIO(header)))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        raw = spark.read.csv(sorted(row["paths"]), schema=schema, header=True, enforceSchema=True)
-        frames[row["header"]] = _with_source(raw)
+        raw = spark.read.csv(sorted(paths[header]), schema=schema, header=True, enforceSchema=True)
+        frames[header] = _with_source(raw)
     return frames
 
 

@@ -83,5 +83,5 @@ def load_stage(spark: SparkSession, schema: T.StructType, root: str, role: str,
 
 
 def export_report(df: DataFrame, path: str) -> None:
-    """CSV export of a report; reports are small, so one file is written."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    """CSV export of a report, in as many files as it has partitions."""
+    df.write.mode("overwrite").option("header", "true").csv(path)

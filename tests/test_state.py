@@ -123,8 +123,10 @@ def test_long_form_gives_the_same_state(spark):
     df = frame(spark, {"0_latency": "double", "1_latency": "double", f"0_{CPU}": "double"}, rows)
     wide = fill_state(system_state(df)).orderBy("seq").collect()
     long = fam.to_long(df, ["sample_key", "seq"])
-    also = fill_state(state_from_long(long, ["sample_key", "seq"])).orderBy("seq").collect()
-    for a, b in zip(wide, also):
+    plain = fill_state(state_from_long(long, ["sample_key", "seq"])).orderBy("seq").collect()
+    split = Layout(("sample_key", "seq"), True)
+    also = fill_state(state_from_long(long, ["sample_key", "seq"], layout=split)).orderBy("seq").collect()
+    for a, b in zip(wide + wide, plain + also):
         for c in ("p50_latency", "p95_latency", "std_latency", "cpu_total", "latency_to_cpu_ratio", "memory_total"):
             assert near(a[c], b[c])
         assert (a["memory_available"], a["cpu_available"]) == (b["memory_available"], b["cpu_available"]) == (0, 1)
