@@ -23,8 +23,8 @@ PERIODS = {
     "Последний час": 12, "Последние 6 часов": 72, "Последние 12 часов": 144, "Все наблюдения": None,
 }
 DEFAULT_MODEL = "hist_gradient_boosting"
-BASE_TIME_MICROS = 1_744_272_000_000_000  # 2025-04-10 08:00:00 UTC
-STEP_MICROS = 300_000_000  # five minutes
+BASE_TIME = "2025-04-10 08:00:00"
+STEP_SECONDS = 300
 QUANTILE = 0.95
 
 
@@ -44,11 +44,12 @@ def filter_period(df: DataFrame, windows: int | None = None) -> DataFrame:
 
 
 def with_event_time(df: DataFrame) -> DataFrame:
-    """Add the notional time of a step; a step that is no number counts as 0."""
+    """Add the notional (zone-free) time of a step; a step that is no number counts as 0."""
     if "event_time" in df.columns:
         return df
-    step = F.coalesce(F.col("step").try_cast("double"), F.lit(0.0)).cast("long")
-    return df.withColumn("event_time", F.timestamp_micros(F.lit(BASE_TIME_MICROS) + step * STEP_MICROS))
+    step = "bigint(coalesce(try_cast(step AS DOUBLE), 0D))"
+    offset = f"make_dt_interval(0, 0, 0, {step} * {STEP_SECONDS})"
+    return df.withColumn("event_time", F.expr(f"TIMESTAMP_NTZ '{BASE_TIME}' + {offset}"))
 
 
 def _quantile_of(df: DataFrame, column: str, q: float = QUANTILE) -> Column:
