@@ -5,10 +5,12 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from perfwatch import session
 from perfwatch.operators import ordering
 from perfwatch.plans import inputs
+from perfwatch.plans.catalog import oracles as oracle_sql
+from perfwatch.plans.catalog import queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
