@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from perfwatch.llm import decontaminate, language_id, mixing, near_duplicates, sharding
+from perfwatch.llm import (
+    decontaminate,
+    html_text,
+    language_id,
+    licenses,
+    mixing,
+    near_duplicates,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    sharding,
+    sql,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +37,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -33,18 +53,33 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 _QUERIES = (
-    op1_decontamination, op2_language_id, op5_near_duplicates, op6_mixing, op9_sharding, pipeline,
+    op1_decontamination, op2_language_id, op3_quality_rules, op4_license_scan, op5_near_duplicates, op6_mixing,
+    op7_secret_scan, op8_html_extraction, op9_sharding, op10_quality_classifier, pipeline,
 )
-_ORACLES: dict[str, str] = {}
+_ORACLES = {
+    "op3_quality_rules": sql.QUALITY_RULES, "op4_license_scan": sql.LICENSES, "op5_near_duplicates": sql.NEAR_DUPLICATES,
+}
 
 
 def queries() -> dict[str, Query]:
