@@ -10,11 +10,15 @@ are opened only until all coordinates are filled. Two documents agree on a
 coordinate with a probability equal to their weighted Jaccard similarity.
 
 *Joins.* Equal texts are one node from the start. Nodes that agree on all rows
-of a band meet in a bucket. Each bucket first compares its nodes with one
-centre. Buckets that still hold several classes are then compared across
-classes: all such pairs in small buckets, new centres in large ones, until a
-round over the large ones merges nothing. Candidates are checked on the exact
-weighted Jaccard similarity of the whole texts; connected ones form a class.
+of a band meet in a bucket. First each bucket compares its nodes with its
+first one. Buckets that still hold several classes then compare nodes of
+different classes: every pair in buckets of up to ``SMALL`` nodes, and each
+node with about ``CENTRES`` others, drawn by hash, in larger ones. Rounds go on
+with four times as many until one connects nothing. Candidates are checked on
+the exact weighted Jaccard similarity of the whole texts; connected ones form
+a class. A pair at the least similarity meets in 8 of the 20 buckets on
+average and in none with a probability of 3e-5; most of these buckets hold
+few nodes, and all their pairs across classes are compared.
 
 No step collects documents, links or classes, and no group is handled by one
 task alone: centres and class labels come from map-side aggregates.
@@ -26,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +39,7 @@ from perfwatch.session import stage
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
-SMALL_BUCKET = 24
+SMALL, CENTRES = 24, 4
 LEVEL_BITS = np.uint64(58)
 _cdf: dict[float, np.ndarray] = {}
 
@@ -162,32 +166,31 @@ def _verify(k_words: int, least: float):
     return run
 
 
-def _buckets(rows: DataFrame, salt: int) -> DataFrame:
-    """Buckets with several classes, their size, and a centre chosen by hash."""
-    choice = F.min(F.struct(F.xxhash64("node", "bucket", F.lit(salt)).alias("h"), F.col("node").alias("n"))).alias("c")
-    return (
-        rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"), choice)
-        .filter("lo <> hi").select("bucket", "size", F.col("c.n").alias("centre"))
-    )
+def _star(rows: DataFrame, similar: float) -> DataFrame:
+    """Every node with the first node of each of its buckets."""
+    first = F.min(F.struct(F.col("node").alias("other"), F.col("n").alias("m"))).alias("c")
+    return _pairs(rows, rows.groupBy("bucket").agg(first).select("bucket", "c.other", "c.m"), similar, F.lit(True))
 
 
-def _star(rows: DataFrame, buckets: DataFrame) -> DataFrame:
-    labels = rows.select("bucket", F.col("node").alias("centre"), F.col("label").alias("centre_label"))
-    centres = buckets.join(labels, ["bucket", "centre"])
+def _pairs(rows: DataFrame, centres: DataFrame, similar: float, condition: Column) -> DataFrame:
+    """Different nodes that meet in a bucket and are near enough in size to be similar."""
+    sizes = F.least("n", "m") >= F.greatest("n", "m") * (similar - 1e-9)
     return (
-        rows.join(centres, "bucket").filter("label <> centre_label")
-        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        rows.join(centres, "bucket").filter((F.col("node") != F.col("other")) & sizes & condition)
+        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     )
 
 
-def _within(rows: DataFrame, buckets: DataFrame) -> DataFrame:
-    """All pairs across classes of buckets of at most SMALL_BUCKET nodes."""
-    small = rows.join(buckets.filter(F.col("size") <= SMALL_BUCKET).select("bucket"), "bucket")
-    other = small.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    return (
-        small.withColumnRenamed("node", "a").join(other, "bucket").filter("a < b AND label <> label_b")
-        .select("a", "b").distinct()
-    )
+def _across(rows: DataFrame, similar: float, centres: int) -> DataFrame:
+    """Pairs of different classes in mixed buckets.
+
+    Every pair in a bucket of up to SMALL nodes, in the first round; in a
+    larger one each node with about ``centres`` others, drawn by hash.
+    """
+    u = F.shiftrightunsigned(F.xxhash64("node", "bucket", F.lit(centres)), 11) * F.lit(2.0**-53)
+    drawn = F.when(F.col("size") <= SMALL, F.lit(centres == CENTRES)).otherwise(u < F.lit(float(centres)) / F.col("size"))
+    others = rows.filter(drawn).select("bucket", F.col("node").alias("other"), F.col("n").alias("m"), F.col("label").alias("other_label"))
+    return _pairs(rows, others, similar, F.col("label") != F.col("other_label"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -215,6 +218,14 @@ def _key(text: str = "text"):
     return F.unhex(F.md5(text))
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after the classes that ``links`` connect have become one."""
+    a, b = labels.toDF("a", "la"), labels.toDF("b", "lb")
+    between = links.join(a, "a").join(b, "b").filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    roots = components(between).toDF("label", "root")
+    return stage(labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "classes")
+
+
 def near_duplicates(
     docs: DataFrame, k_words: int = WORDS, similar: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -242,39 +253,37 @@ def _classes(
     sketch = stage(base.mapInArrow(_sketch(k_words, bands, rows), schema), "sketch")
     nodes = stage(
         sketch.filter("n_words > 0").groupBy("key")
-        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.max("n_words").alias("n_words"))
+        .select("key", "doc_id", "copies", "bands", F.greatest(F.lit(1), F.col("n_words") - (k_words - 1)).alias("n"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    placed = nodes.select("node", F.explode("bands").alias("bucket"), F.col("node").alias("label"))
+    placed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
+    placed = stage(placed.join(shared, "bucket"), "placed")
+    wanted = nodes.join(placed.select("node").distinct(), "node").select("node", "key", "doc_id")
+    match = (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
+    texts = stage(base.alias("d").join(wanted.alias("w"), match).select("node", "text"), "texts")
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        place = nodes.join(wanted, "node").select("node", "key", "doc_id")
-        known = base.alias("d").join(place.alias("p"), (F.col("d.key") == F.col("p.key")) & F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")))
-        texts = known.select("node", "text")
         both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
         return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(k_words, similar), "a long, b long").distinct(), "links")
 
-    links = links_of(_star(placed, _buckets(placed, 0)))
-    labels = components(links)
-    salt = 1
+    labels = _merged(nodes.select("node", F.col("node").alias("label")), links_of(stage(_star(placed, similar), "pairs")))
+    centres = CENTRES
     while True:
-        known = placed.select("node", "bucket").join(labels, "node", "left").select("node", "bucket", F.coalesce("label", "node").alias("label"))
-        crowd = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-        mixed = stage(known.join(crowd, "bucket"), "mixed")
-        buckets = _buckets(mixed, salt)
-        pairs = _star(mixed, buckets.filter(F.col("size") > SMALL_BUCKET))
-        if salt == 1:
-            pairs = pairs.union(_within(mixed, buckets)).distinct()
-        found = links_of(pairs)
-        if not found.limit(1).count():
+        known = placed.join(labels, "node")
+        mixed = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo <> hi")
+        known = stage(known.join(mixed.select("bucket", "size"), "bucket"), "mixed")
+        pairs = stage(_across(known, similar, centres), "pairs")
+        if not pairs.limit(1).count():
+            break
+        links = links_of(pairs)
+        if not links.limit(1).count():
             break
-        links = links.union(found)
-        labels = components(links)
-        salt += 1
-    own = nodes.join(labels, "node", "left").select("key", "doc_id", "copies", F.coalesce("label", "node").alias("label"))
+        labels = _merged(labels, links)
+        centres *= 4
+    own = nodes.join(labels, "node").select("key", "doc_id", "copies", "label")
     classes = own.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
     known = own.select("key", "label").join(classes, "label").select("key", "class_id", "class_size")
     out = sketch.join(known, "key", "left")
