@@ -49,7 +49,7 @@ def _rules() -> str:
 def _features() -> str:
     """One SELECT for each rule over the counted rows."""
     return " UNION ALL ".join(
-        f"SELECT rid, doc_id, stratum, base_failed, '{r}' AS rule, {f.replace('greatest(', '1.0::DOUBLE * greatest(')} AS x FROM counted"
+        f"SELECT rid, doc_id, stratum, base_failed, '{r}' AS rule, {f} AS x FROM counted"
         for r, (f, _) in quality_rules.RULES.items()
     )
 
