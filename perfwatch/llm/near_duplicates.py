@@ -12,10 +12,11 @@ coordinate with a probability equal to their weighted Jaccard similarity.
 *Joins.* Equal texts are one node from the start. Nodes that agree on all rows
 of a band meet in a bucket. First each bucket compares its nodes with its
 first one. Buckets that still hold several classes then compare nodes of
-different classes: every pair in buckets of up to ``SMALL`` nodes, and each
-node with about ``CENTRES`` others, drawn by hash, in larger ones. Rounds go on
-with four times as many until one connects nothing. Candidates are checked on
-the exact weighted Jaccard similarity of the whole texts; connected ones form
+different classes: every pair in buckets of up to ``SMALL`` nodes, and in
+larger ones each node outside the largest class with about ``CENTRES`` others,
+drawn by hash. Rounds go on with other draws until one connects nothing. Candidates are checked on
+the exact weighted Jaccard similarity of the whole texts, whose weighted sets
+are made once; connected ones form
 a class. A pair at the least similarity meets in 8 of the 20 buckets on
 average and in none with a probability of 3e-5; most of these buckets hold
 few nodes, and all their pairs across classes are compared.
@@ -39,7 +40,7 @@ from perfwatch.session import stage
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
-SMALL, CENTRES = 24, 4
+SMALL, CENTRES = 24, 16
 LEVEL_BITS = np.uint64(58)
 _cdf: dict[float, np.ndarray] = {}
 
@@ -131,37 +132,45 @@ def _sketch(k_words: int, bands: int, rows: int):
     return run
 
 
-def similarity(words: tx.Words, k_words: int) -> np.ndarray:
-    """Weighted Jaccard similarity of the documents 0 and 1, 2 and 3, and so on."""
-    doc, element, weight = tx.weighted_elements(words, k_words)
-    pair = doc // 2
-    key = tx.mix(element ^ (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-    order = np.argsort(key, kind="stable")
-    key, weight, pair, doc = key[order], weight[order], pair[order], doc[order]
-    both = np.flatnonzero((key[1:] == key[:-1]) & (pair[1:] == pair[:-1]) & (doc[1:] != doc[:-1]))
-    pairs = len(words.counts) // 2
-    shared = np.bincount(pair[both], np.minimum(weight[both], weight[both + 1]), pairs)
-    total = np.bincount(pair, weight, pairs)
-    return shared / np.maximum(total - shared, 1)
-
-
-def _verify(k_words: int, least: float):
+def _bags(k_words: int):
+    """The weighted set of each text, sorted by hash, as bytes."""
+    def run(batches):
+        for batch in batches:
+            hashes, weights = [], []
+            for _, _, data, offsets in tx.slices(tx.pc.utf8_lower(batch.column("text"))):
+                words = tx.Words(data, offsets, tx.NOT_SPACE)
+                doc, element, weight = tx.weighted_elements(words, k_words)
+                edges = np.searchsorted(doc, np.arange(len(words.counts) + 1))
+                weight = weight.astype(np.int32)
+                for x, y in zip(edges[:-1], edges[1:], strict=True):
+                    hashes.append(element[x:y].tobytes())
+                    weights.append(weight[x:y].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(hashes, pa.binary()), pa.array(weights, pa.binary())], names=["node", "h", "w"]
+            )
+
+    return run
+
+
+def overlap(h: np.ndarray, w: np.ndarray, g: np.ndarray, v: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two sets with sorted hashes."""
+    if len(h) > len(g):
+        h, w, g, v = g, v, h, w
+    at = np.minimum(np.searchsorted(g, h), len(g) - 1)
+    hit = g[at] == h
+    shared = int(np.minimum(w[hit], v[at[hit]]).sum())
+    return shared / (int(w.sum()) + int(v.sum()) - shared)
+
+
+def _verify(least: float):
     def run(batches):
         for batch in batches:
-            left, right = (tx.pc.utf8_lower(batch.column(c)) for c in ("text_a", "text_b"))
-            n, keep = len(batch), []
-            order = np.arange(2 * n).reshape(2, n).T.ravel()
-            texts = pa.concat_arrays([left.cast(pa.large_string()), right.cast(pa.large_string())]).take(pa.array(order))
-            size = np.cumsum(tx.pc.binary_length(texts).to_numpy(zero_copy_only=False).reshape(-1, 2).sum(axis=1))
-            row = 0
-            while row < n:
-                base = size[row - 1] if row else 0
-                to = max(row + 1, int(np.searchsorted(size, base + tx.SLICE_BYTES, "right")))
-                _, _, data, offsets = next(tx.slices(texts.slice(2 * row, 2 * (to - row)), 1 << 62))
-                keep.append(similarity(tx.Words(data, offsets, tx.NOT_SPACE), k_words) >= least)
-                row = to
-            mask = pa.array(np.concatenate(keep)) if keep else pa.array([], pa.bool_())
-            yield batch.select(["a", "b"]).filter(mask)
+            columns = [batch.column(c) for c in ("h_a", "w_a", "h_b", "w_b")]
+            keep = [
+                overlap(np.frombuffer(h.as_py(), np.uint64), np.frombuffer(w.as_py(), np.int32), np.frombuffer(g.as_py(), np.uint64), np.frombuffer(v.as_py(), np.int32)) >= least
+                for h, w, g, v in zip(*columns, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -181,16 +190,26 @@ def _pairs(rows: DataFrame, centres: DataFrame, similar: float, condition: Colum
     )
 
 
-def _across(rows: DataFrame, similar: float, centres: int) -> DataFrame:
+def _mixed(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """``placed`` in buckets of several classes, with label, bucket size, and ``main``: the largest class of the bucket."""
+    known = placed.join(labels, "node")
+    classes = known.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    buckets = classes.groupBy("bucket").agg(
+        F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("classes")
+    ).filter("classes > 1")
+    return known.join(buckets.select("bucket", "size", F.col("most.label").alias("main")), "bucket")
+
+
+def _across(rows: DataFrame, similar: float, turn: int) -> DataFrame:
     """Pairs of different classes in mixed buckets.
 
-    Every pair in a bucket of up to SMALL nodes, in the first round; in a
-    larger one each node with about ``centres`` others, drawn by hash.
+    Every pair in a bucket of up to SMALL nodes, at the first turn; in a larger
+    one each node outside the main class with about CENTRES others, drawn by hash.
     """
-    u = F.shiftrightunsigned(F.xxhash64("node", "bucket", F.lit(centres)), 11) * F.lit(2.0**-53)
-    drawn = F.when(F.col("size") <= SMALL, F.lit(centres == CENTRES)).otherwise(u < F.lit(float(centres)) / F.col("size"))
+    u = F.shiftrightunsigned(F.xxhash64("node", "bucket", F.lit(turn)), 11) * F.lit(2.0**-53)
+    drawn = F.when(F.col("size") <= SMALL, F.lit(turn == 0)).otherwise(u < F.lit(float(CENTRES)) / F.col("size"))
     others = rows.filter(drawn).select("bucket", F.col("node").alias("other"), F.col("n").alias("m"), F.col("label").alias("other_label"))
-    return _pairs(rows, others, similar, F.col("label") != F.col("other_label"))
+    return _pairs(rows.filter("label <> main"), others, similar, F.col("label") != F.col("other_label"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -263,26 +282,21 @@ def _classes(
     placed = stage(placed.join(shared, "bucket"), "placed")
     wanted = nodes.join(placed.select("node").distinct(), "node").select("node", "key", "doc_id")
     match = (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    texts = stage(base.alias("d").join(wanted.alias("w"), match).select("node", "text"), "texts")
+    texts = base.alias("d").join(wanted.alias("w"), match).select("node", "text")
+    bags = stage(texts.mapInArrow(_bags(k_words), "node long, h binary, w binary"), "bags")
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(k_words, similar), "a long, b long").distinct(), "links")
+        both = pairs.join(bags.toDF("a", "h_a", "w_a"), "a").join(bags.toDF("b", "h_b", "w_b"), "b")
+        return stage(both.select("a", "b", "h_a", "w_a", "h_b", "w_b").mapInArrow(_verify(similar), "a long, b long"), "links")
 
-    labels = _merged(nodes.select("node", F.col("node").alias("label")), links_of(stage(_star(placed, similar), "pairs")))
-    centres = CENTRES
+    labels = _merged(nodes.select("node", F.col("node").alias("label")), links_of(_star(placed, similar)))
+    turn = 0
     while True:
-        known = placed.join(labels, "node")
-        mixed = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo <> hi")
-        known = stage(known.join(mixed.select("bucket", "size"), "bucket"), "mixed")
-        pairs = stage(_across(known, similar, centres), "pairs")
-        if not pairs.limit(1).count():
-            break
-        links = links_of(pairs)
+        links = links_of(_across(stage(_mixed(placed, labels), "mixed"), similar, turn))
         if not links.limit(1).count():
             break
         labels = _merged(labels, links)
-        centres *= 4
+        turn += 1
     own = nodes.join(labels, "node").select("key", "doc_id", "copies", "label")
     classes = own.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
     known = own.select("key", "label").join(classes, "label").select("key", "class_id", "class_size")
