@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfwatch.functions.scalars import zero_if_null
-from perfwatch.operators.ordering import Layout, measure, running_total
+from perfwatch.operators.ordering import Layout, join_on, measure, running_total
 from perfwatch.operators.validation import require_columns
 
 HIGH_RISK = 0.8
@@ -95,7 +95,7 @@ def evaluate_predictions(df: DataFrame, keys: list[str], layout: Layout | None =
     metrics = classification_metrics(df, keys)
     if "anomaly_probability" not in df.columns:
         return metrics.withColumn("roc_auc", F.lit(None).cast("double"))
-    return metrics.join(roc_auc(df, keys, layout=layout), keys, "left")
+    return join_on(metrics, roc_auc(df, keys, layout=layout), keys, "left")
 
 
 def positive_share(df: DataFrame, keys: list[str], target: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfwatch.functions.scalars import finite
+from perfwatch.operators.ordering import join_on
 
 # How service columns are named.
 SERVICE_COLUMN = r"^(\d+)_(.+)$"
@@ -96,7 +97,7 @@ def gate_resources(df: DataFrame, key: str) -> DataFrame:
         F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(f"_bad_{c}")
         for c in resource
     ])
-    joined = typed.join(bad, key)
+    joined = join_on(typed, bad, [key])
     values = {c: F.when(F.col(f"_bad_{c}") == 0, F.col(c).try_cast("double")) for c in resource}
     flags = {}
     for family in RESOURCE_FAMILIES:

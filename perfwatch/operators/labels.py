@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfwatch.functions.scalars import part_of
-from perfwatch.operators.ordering import Layout, group_sizes
+from perfwatch.operators.ordering import Layout, group_sizes, join_on
 from perfwatch.operators.quantile import exact_quantiles
 from perfwatch.operators.validation import check_prefix_fraction
 
@@ -69,7 +69,7 @@ def apply_thresholds(df: DataFrame, limits: DataFrame, keys: list[str]) -> DataF
     when it is small and otherwise splits skewed samples.
     """
     names = [f"{name}_threshold" for name in INDICATORS]
-    joined = df.join(limits.select(*keys, *names), keys, "left")
+    joined = join_on(df, limits.select(*keys, *names), keys, "left")
     chosen = indicators(df)
     flags = {}
     for name in INDICATORS:

@@ -91,6 +91,7 @@ class Trained:
     predictions: DataFrame
     models: dict[str, PipelineModel] = field(default_factory=dict)
     cached: DataFrame | None = None
+    features: list[str] = field(default_factory=list)
 
     def release(self) -> None:
         """Free the assembled rows once metrics and predictions are stored."""
@@ -168,17 +169,17 @@ def train_and_evaluate(
     if BASELINE in models:
         scored[BASELINE] = baseline(dataset, target, task)
     wanted = [m for m in models if m != BASELINE]
-    rows = None
+    rows, features = None, []
     if wanted:
         prepared = prepare(dataset, target, task)
-        rows = prepared.rows.persist()
+        rows, features = prepared.rows.persist(), prepared.features
         for name in wanted:
             estimator = ESTIMATORS[task][name](seed, *[sizes[name]] if name in sizes else [])
             model = estimator.fit(rows.where("split = 'train'"))
             fitted[name] = PipelineModel([*prepared.stages, model])
             scored[name] = score(model, rows, task)
     united = reduce(DataFrame.unionByName, [p.withColumn("model", F.lit(m)) for m, p in scored.items()])
-    return Trained(metrics_of(united, task, ["model", "split"]), united.where("split = 'test'"), fitted, rows)
+    return Trained(metrics_of(united, task, ["model", "split"]), united.where("split = 'test'"), fitted, rows, features)
 
 
 def save_models(models: dict[str, PipelineModel], root: str, task: str, scenario: str) -> dict[str, str]:

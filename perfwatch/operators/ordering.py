@@ -10,8 +10,9 @@ order that carry the few neighbouring rows their frames need.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -34,22 +35,35 @@ class Layout:
         return Layout(keys, self.split, self.chunk)
 
 
-def measure(df: DataFrame, keys: list[str] | tuple[str, ...], limit: int = GROUP_LIMIT) -> Layout:
+def join_on(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys meet each other, as they do in a window or a grouping."""
+    keys = list(keys)
+    other = right.withColumnsRenamed({k: f"__on_{k}" for k in keys})
+    met = reduce(Column.__and__, [left[k].eqNullSafe(other[f"__on_{k}"]) for k in keys], F.lit(True))
+    return left.join(other, met, how).drop(*[f"__on_{k}" for k in keys])
+
+
+def fits_task(rows: int, limit: int | None = None) -> bool:
+    """True if that many rows may stand in one window partition."""
+    return rows <= (GROUP_LIMIT if limit is None else limit)
+
+
+def measure(df: DataFrame, keys: list[str] | tuple[str, ...], limit: int | None = None) -> Layout:
     """Count the largest group (map-side combined; one number reaches the driver)."""
     if keys:
         biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     else:
         biggest = df.count()
-    return Layout(tuple(keys), biggest > limit)
+    return Layout(tuple(keys), not fits_task(biggest, limit))
 
 
 def measure_nested(
-    df: DataFrame, outer: list[str], inner: list[str], limit: int = GROUP_LIMIT
+    df: DataFrame, outer: list[str], inner: list[str], limit: int | None = None
 ) -> tuple[Layout, Layout]:
     """Layouts of the inner groups, and of the outer groups over one row per inner group."""
     sizes = df.groupBy(*inner).count().groupBy(*outer).agg(F.max("count").alias("a"), F.count("count").alias("b"))
     rows, groups = sizes.agg(F.max("a"), F.max("b")).first()
-    return Layout(tuple(inner), (rows or 0) > limit), Layout(tuple(outer), (groups or 0) > limit)
+    return Layout(tuple(inner), not fits_task(rows or 0, limit)), Layout(tuple(outer), not fits_task(groups or 0, limit))
 
 
 def positions(
@@ -88,7 +102,7 @@ def positions(
         "__before": F.coalesce(F.sum("__rows").over(earlier), F.lit(0)),
         "__total": F.sum("__rows").over(in_group),
     })
-    out = numbered.join(parts, [*keys, "__part"]).withColumn(
+    out = join_on(numbered, parts, [*keys, "__part"]).withColumn(
         pos, F.col("__place") - F.col("__first") + F.col("__before")
     )
     if total:
@@ -128,7 +142,7 @@ def in_order(
 
 def group_sizes(df: DataFrame, keys: list[str], total: str = "n") -> DataFrame:
     """Add the group size by a pre-aggregated count and an equi-join."""
-    return df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(total)), keys)
+    return join_on(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(total)), keys)
 
 
 def running_total(
@@ -148,7 +162,7 @@ def running_total(
     parts = parts.select(*keys, "__part", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"))
     local = Window.partitionBy(*keys, "__part").orderBy(*order).rowsBetween(*upto)
     return (
-        ranged.join(parts, [*keys, "__part"])
+        join_on(ranged, parts, [*keys, "__part"])
         .withColumn(out, F.col("__before") + F.sum(value).over(local))
         .drop("__part", "__before")
     )

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfwatch.operators.ordering import Layout, positions
+from perfwatch.operators.ordering import Layout, join_on, positions
 from perfwatch.session import stage
 
 SKETCH_ACCURACY = 20_000
@@ -51,7 +51,7 @@ def _by_bracket(values: DataFrame, keys: list[str], wanted: dict[str, float]) ->
         )
     ])
     if keys:
-        joined = values.join(bounds, keys)
+        joined = join_on(values, bounds, keys)
     else:
         joined = values.withColumn("_b", bounds.select(F.struct("*")).scalar()).select("*", "_b.*")
     entries = F.explode(F.array(*[
@@ -99,7 +99,7 @@ def _by_sort(values: DataFrame, keys: list[str], missed: DataFrame) -> DataFrame
         values.select(*keys, F.lit(name).alias("name"), F.col(name).alias("value")) for name in names
     ]).where("value is not null")
     todo = missed.select(*keys, "name", "q", "n")
-    rows = long.join(todo, [*keys, "name"]).withColumn("tie", F.monotonically_increasing_id())
+    rows = join_on(long, todo, [*keys, "name"]).withColumn("tie", F.monotonically_increasing_id())
     ranked = positions(rows, Layout((*keys, "name"), split=True), ["value", "tie"])
     place = (F.col("n") - 1).cast("double") * F.col("q")
     picked = ranked.where(F.col("pos").between(F.floor(place), F.ceil(place)))

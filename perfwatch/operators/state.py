@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from perfwatch.functions import rowstats as rs
 from perfwatch.functions.scalars import finite_sql, safe_ratio_sql, zero_if_null
 from perfwatch.operators.families import PASSTHROUGH, RESOURCE_FAMILIES, family_columns
-from perfwatch.operators.ordering import Layout
+from perfwatch.operators.ordering import Layout, join_on
 from perfwatch.operators.quantile import exact_quantiles
 
 QUANTILES = {"p50_latency": 0.50, "p90_latency": 0.90, "p95_latency": 0.95}
@@ -175,13 +175,13 @@ def state_from_long(
     if split:
         latency = long.where("family = 'latency'")
         found = exact_quantiles(latency, layout.by(*keys), {n: ("value", p) for n, p in QUANTILES.items()})
-        grouped = grouped.join(found, keys, "left")
+        grouped = join_on(grouped, found, keys, "left")
     if available is None:
         available = long.groupBy(keys[0]).agg(*[
             F.coalesce(F.max(F.when(of(f).isNotNull(), 1)), F.lit(0)).alias(f"{f}_available")
             for f in ("latency", "start", *RESOURCE_FAMILIES)
         ])
-    joined = grouped.join(available, keys[0])
+    joined = join_on(grouped, available, keys[:1])
     own = [c for c in (*LATENCY_COLUMNS, *START_COLUMNS)]
     own += [f"{f}_{s}" for f in RESOURCE_FAMILIES for s in RESOURCE_STATS]
     rest = [c for c in joined.columns if c not in own]

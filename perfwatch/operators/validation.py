@@ -66,9 +66,12 @@ def unexpected_values(df: DataFrame, column: str, allowed: list[str]) -> DataFra
 
 
 def require_allowed(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
-    found = [r[0] for r in unexpected_values(df, column, allowed).orderBy(column).limit(20).collect()]
-    if found:
-        raise ValueError(f"Unsupported {column}: {found}; allowed: {allowed}")
+    found = unexpected_values(df, column, allowed)
+    kinds, rows = found.agg(F.count(F.lit(1)), F.sum("row_count")).first()
+    if kinds:
+        shown = [r[0] for r in found.orderBy(F.desc("row_count"), column).limit(20).collect()]
+        more = f" and {kinds - len(shown)} more values" if kinds > len(shown) else ""
+        raise ValueError(f"Unsupported {column} in {rows} rows: {shown}{more}; allowed: {allowed}")
     return df
 
 

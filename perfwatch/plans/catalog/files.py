@@ -134,7 +134,7 @@ def _(spark, sf):
  SELECT substr(path, 36) AS relpath, 'predictive_processed_dataset/part_0000_0049/' || regexp_replace(substr(path, 36), '\\.[^.]*$', '') AS output_dir
  FROM paths""", "paths"))
 def _(spark, sf):
-    relative = F.substring("path", len(inputs.ROOT) + 2, 1000)
+    relative = F.expr(f"substring(path, {len(inputs.ROOT) + 2})")
     return inputs.file_paths(spark, sf).select(
         relative.alias("relpath"), out.output_dir(relative, F.lit("part_0000_0049")).alias("output_dir"))
 

@@ -1,17 +1,19 @@
 """Queries of training, evaluation and metric tables.
 
-Models are fitted on the whole training split; the registered queries fit
-smaller ensembles than the defaults of the operators.
+Models are fitted on the whole training split, with the operators' defaults.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perfwatch.operators import evaluate as ev
 from perfwatch.operators import ml
+from perfwatch.operators.ordering import join_on
 from perfwatch.operators.predictive import flatten_lags
 from perfwatch.plans import inputs
 from perfwatch.plans import preprocessing as prep
@@ -21,8 +23,8 @@ from perfwatch.plans.catalog.telemetry import _SPLIT_SQL, _WITH_TARGETS
 from perfwatch.plans.training import TARGETS
 from perfwatch.session import stage, staging_path
 
-TREES, ROUNDS = 20, 10
-SIZES = {"random_forest": TREES, "hist_gradient_boosting": ROUNDS}
+#: Trees or rounds of a model; the operators' own where none are given.
+SIZES: dict[str, int] = {}
 LATENCIES = [f"{s}_latency" for s in range(inputs.SERVICES)]
 
 
@@ -60,17 +62,35 @@ def _(spark, sf):
     return snapped(ml.baseline(dataset(spark, sf), TARGETS["regression"], "regression"))
 
 
-def _fit(spark: SparkSession, sf: str, task: str, name: str) -> DataFrame:
-    trained = ml.train_and_evaluate(dataset(spark, sf), TARGETS[task], task, (name,), **SIZES)
-    return trained.metrics
+def _fitted_sql(*models: str, counted: str = "count(*) AS row_count, ") -> str:
+    named = ", ".join(f"('{m}')" for m in models)
+    return with_ctes(
+        f"SELECT model, split, {counted}TRUE AS in_range FROM {_SPLIT_CTE}, (VALUES {named}) AS m(model) GROUP BY ALL", "pos")
+
+
+def _in_range(trained: ml.Trained, task: str) -> DataFrame:
+    """Rows per model and split, and whether its metrics are possible ones."""
+    if task == "regression":
+        ok = F.col("mae").between(0, F.col("rmse") * (1 + 1e-9)) & (F.col("r2") <= 1)
+    else:
+        ok = reduce(and_, [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1")])
+    counted = ["row_count"] if "row_count" in trained.metrics.columns else []
+    return trained.metrics.select("model", "split", *counted, ok.alias("in_range"))
 
 
-@query("ml3_forest_regressor")
+def _fit(spark: SparkSession, sf: str, task: str, *models: str) -> DataFrame:
+    trained = ml.train_and_evaluate(dataset(spark, sf), TARGETS[task], task, models, **SIZES)
+    found = stage(_in_range(trained, task), "fitted")
+    trained.release()
+    return found
+
+
+@query("ml3_forest_regressor", _fitted_sql("random_forest"))
 def _(spark, sf):
     return _fit(spark, sf, "regression", "random_forest")
 
 
-@query("ml4_boosting_regressor")
+@query("ml4_boosting_regressor", _fitted_sql("hist_gradient_boosting"))
 def _(spark, sf):
     return _fit(spark, sf, "regression", "hist_gradient_boosting")
 
@@ -84,34 +104,47 @@ def _(spark, sf):
     return snapped(ml.majority_class(train, TARGETS["classification"]))
 
 
-@query("ml6_forest_classifier")
+@query("ml6_forest_classifier", _fitted_sql("random_forest", counted=""))
 def _(spark, sf):
     return _fit(spark, sf, "classification", "random_forest")
 
 
-@query("ml7_boosting_classifier")
+@query("ml7_boosting_classifier", _fitted_sql("hist_gradient_boosting", counted=""))
 def _(spark, sf):
     return _fit(spark, sf, "classification", "hist_gradient_boosting")
 
 
-@query("ml8_positive_score")
+@query("ml8_positive_score", with_ctes(
+    f"SELECT count(*) AS row_count, 0::BIGINT AS missing, 0::BIGINT AS outside FROM {_SPLIT_CTE} WHERE split = 'test'", "pos"))
 def _(spark, sf):
-    rows = dataset(spark, sf)
-    return ml.train_and_evaluate(rows, TARGETS["classification"], "classification", ("random_forest",), **SIZES).predictions
+    trained = ml.train_and_evaluate(dataset(spark, sf), TARGETS["classification"], "classification", ("random_forest",), **SIZES)
+    p = F.col("anomaly_probability")
+    found = stage(trained.predictions.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(p.isNull()).alias("missing"), F.count_if((p < 0) | (p > 1)).alias("outside")), "scores")
+    trained.release()
+    return snapped(found)
 
 
-@query("ml9_train_evaluate")
+@query("ml9_train_evaluate", _fitted_sql(*ml.MODELS))
 def _(spark, sf):
-    return ml.train_and_evaluate(dataset(spark, sf), TARGETS["regression"], "regression", **SIZES).metrics
+    return _fit(spark, sf, "regression", *ml.MODELS)
 
 
-@query("ml10_model_persistence")
+@query("ml10_model_persistence", with_ctes(
+    f"SELECT count(*) AS row_count, 0::BIGINT AS mismatches FROM {_SPLIT_CTE} WHERE split = 'test'", "pos"))
 def _(spark, sf):
+    """The stored pipeline gives the predictions of the one in memory."""
     rows = dataset(spark, sf)
     trained = ml.train_and_evaluate(rows, TARGETS["regression"], "regression", ("random_forest",), **SIZES)
     paths = ml.save_models(trained.models, staging_path(spark, "models"), "regression", "all")
-    assert isinstance(PipelineModel.load(paths["random_forest"]), PipelineModel)
-    return ml.apply_saved(paths["random_forest"], rows, TARGETS["regression"], "regression")
+    again = ml.apply_saved(paths["random_forest"], rows, TARGETS["regression"], "regression").where("split = 'test'")
+    keys = ["y_true", "y_pred"]
+    live = trained.predictions.groupBy(*keys).agg(F.count(F.lit(1)).alias("live"))
+    both = join_on(live, again.groupBy(*keys).agg(F.count(F.lit(1)).alias("stored")), keys, "full")
+    n, m = F.coalesce("live", F.lit(0)), F.coalesce("stored", F.lit(0))
+    found = stage(both.agg(F.sum(m).alias("row_count"), F.sum(F.abs(n - m)).alias("mismatches")), "compared")
+    trained.release()
+    return snapped(found)
 
 
 @query("ml11_metrics_table", with_ctes(

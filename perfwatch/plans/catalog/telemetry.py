@@ -11,7 +11,7 @@ from perfwatch.operators import families as fam
 from perfwatch.operators import labels as lab
 from perfwatch.operators import predictive as pre
 from perfwatch.operators.dynamics import DYNAMIC_SOURCES
-from perfwatch.operators.ordering import GROUP_LIMIT, Layout
+from perfwatch.operators.ordering import Layout, fits_task
 from perfwatch.operators.state import (
     RATIO_COLUMNS, START_COLUMNS, fill_state, state_columns, state_from_long, system_state,
 )
@@ -145,7 +145,7 @@ def _(spark, sf):
   split_part(rel, '/', 2) AS source_level_2, split_part(rel, '/', 3) AS source_level_3
  FROM (SELECT substr(path, 36) AS rel FROM paths)""", "paths"))
 def _(spark, sf):
-    relative = F.substring("path", len(inputs.ROOT) + 2, 1000)
+    relative = F.expr(f"substring(path, {len(inputs.ROOT) + 2})")
     parts = fam.lineage(relative)
     return inputs.file_paths(spark, sf).select(*[c.alias(n) for n, c in parts.items()])
 
@@ -212,7 +212,7 @@ def _(spark, sf):
     names = [c for c in state_columns() if not c.endswith(("_count", "_available"))]
     keys = ["sample_key", "window_id"]
     # a window has one row per service and family
-    state = state_from_long(long, keys, layout=Layout(tuple(keys), inputs.SERVICES * 6 > GROUP_LIMIT))
+    state = state_from_long(long, keys, layout=Layout(tuple(keys), not fits_task(inputs.SERVICES * 6)))
     return snapped(fill_state(state).select(*keys, *names))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from perfwatch.functions.scalars import part_of
 from perfwatch.operators.evaluate import classification_metrics, regression_metrics, roc_auc
 from perfwatch.operators.families import RESOURCE_FAMILIES
-from perfwatch.operators.ordering import GROUP_LIMIT, Layout, in_order, measure, measure_nested, positions
+from perfwatch.operators.ordering import Layout, fits_task, in_order, measure, measure_nested, positions
 from perfwatch.operators.quantile import exact_quantiles
 from perfwatch.session import reused
 
@@ -102,7 +102,7 @@ def telemetry(
         # the longest sample has at most as many rows as the time span has windows
         first, last = events(spark, sf_dir).agg(F.min("us"), F.max("us")).first()
         windows = (last // window - first // window + 1) if first is not None else 0
-        layout = Layout(("sample_key",), windows > GROUP_LIMIT)
+        layout = Layout(("sample_key",), not fits_task(windows))
     return positions(wide, layout, ["window_id"], "seq", "n"), layout
 
 

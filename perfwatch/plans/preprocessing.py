@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from perfwatch.operators.dynamics import add_dynamics, dynamic_columns
 from perfwatch.operators.families import family_columns, mark_available
 from perfwatch.operators.labels import apply_thresholds, label_summary, thresholds
-from perfwatch.operators.ordering import Layout
+from perfwatch.operators.ordering import Layout, join_on
 from perfwatch.operators.predictive import predictive_dataset
 from perfwatch.operators.state import fill_state, system_state
 from perfwatch.operators.validation import sample_status
@@ -72,7 +72,7 @@ def status(telemetry: DataFrame, dataset: DataFrame, settings: Settings = Settin
         F.count(F.lit(1)).alias("aggregated_rows"), *[F.max(c).alias(c) for c in flags]
     )
     made = dataset.groupBy("sample_key").agg(F.count(F.lit(1)).alias("predictive_rows"))
-    joined = sizes.join(made, "sample_key", "left").withColumn(
+    joined = join_on(sizes, made, ["sample_key"], "left").withColumn(
         "predictive_rows", F.coalesce("predictive_rows", F.lit(0))
     )
     return sample_status(joined, settings.min_rows, settings.require_measures).drop(*flags)
@@ -89,5 +89,15 @@ def audit(telemetry: DataFrame, labelled: DataFrame, lag_columns: int) -> DataFr
         ],
     )
     summary = label_summary(labelled, ["sample_key"]).withColumnRenamed("row_count", "row_count_aggregated")
-    return matched.join(summary, "sample_key").withColumn("lag_columns_count", F.lit(lag_columns))
+    return join_on(matched, summary, ["sample_key"]).withColumn("lag_columns_count", F.lit(lag_columns))
 
+
+def sample_metadata(telemetry: DataFrame, labelled: DataFrame, limits: DataFrame, dataset: DataFrame) -> DataFrame:
+    """One document per sample: columns, thresholds, label summary, and rows of the dataset and its splits."""
+    lags = sum("_lag_" in c for c in dataset.columns)
+    rows = dataset.groupBy("sample_key").agg(
+        F.count(F.lit(1)).alias("row_count_predictive"),
+        *[F.count_if(F.col("split") == part).alias(f"{part}_rows") for part in ("train", "val", "test")],
+    )
+    described = join_on(audit(telemetry, labelled, lags), limits, ["sample_key"])
+    return join_on(described, rows, ["sample_key"])

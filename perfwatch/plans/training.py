@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from perfwatch.operators import manifest as mf
 from perfwatch.operators import ml
+from perfwatch.operators.columns import align
 from perfwatch.operators.evaluate import metrics_document
-from perfwatch.operators.labels import label, label_summary
-from perfwatch.operators.ordering import GROUP_LIMIT, Layout
+from perfwatch.operators.labels import label, label_summary, thresholds
+from perfwatch.operators.ordering import Layout, fits_task, join_on
 from perfwatch.operators.predictive import flatten_lags, predictive_dataset
 from perfwatch.operators.validation import require_rows, require_success
-from perfwatch.plans.preprocessing import Settings, aggregated, status
+from perfwatch.plans.preprocessing import Settings, aggregated, sample_metadata, status
 from perfwatch.session import stage
 from perfwatch.sources import files as src
 from perfwatch.sources import writers as out
@@ -35,23 +36,25 @@ def run_preprocessing(
     chosen = src.batch_slice(src.discover(spark, input_root), start, size)
     chosen = chosen.join(src.discover(spark, input_root), "path")
     part = chosen.agg(F.max("part_name")).first()[0]
-    headers = src.csv_headers(chosen)
-    telemetry, layout = src.read_telemetry_csv(spark, input_root, chosen)
+    lines = src.csv_lines(spark, input_root, chosen)
+    telemetry, layout = src.read_telemetry_csv(spark, input_root, chosen, lines)
     telemetry = stage(telemetry, "telemetry")  # typed columns: text is parsed once
     enough = telemetry.where(F.col("n") >= settings.min_rows)
+    samples = stage(enough.select("sample_key").distinct(), "samples")
 
-    # each stage reads the stored columns of the one before
-    state = aggregated(enough, layout, settings)
-    out.save_stage(state, output_root, "aggregated", part)
-    state = out.load_stage(spark, state.schema, output_root, "aggregated", part)
-    flags = label(state, layout, settings.anomaly_quantile, settings.train)
-    out.save_stage(flags, output_root, "marked", part)
-    labelled = out.load_stage(spark, flags.schema, output_root, "marked", part)
-    dataset = predictive_dataset(
+    def stored_stage(rows: DataFrame, role: str) -> DataFrame:
+        """Each stage reads the stored columns of the one before, of the samples of this run only."""
+        out.save_stage(rows, output_root, role, part)
+        return out.load_stage(spark, rows.schema, output_root, role, part).join(samples, "sample_key", "left_semi")
+
+    state = stored_stage(aggregated(enough, layout, settings), "aggregated")
+    labelled = stored_stage(label(state, layout, settings.anomaly_quantile, settings.train), "marked")
+    dataset = stage(flatten_lags(predictive_dataset(
         labelled, layout, settings.n_lags, settings.horizon, settings.train, settings.val, settings.test
-    )
+    )), "predictive")
     report = status(telemetry, dataset, settings)
-    unread = headers.where("header is null").select(
+    read = src.csv_headers(lines).select(F.col("path").alias("_path"))
+    unread = chosen.join(read, src.plain_path(F.col("path")) == F.col("_path"), "left_anti").select(
         F.col("path").alias("sample_key"), F.lit(0).cast("bigint").alias("aggregated_rows"),
         F.lit(0).cast("bigint").alias("predictive_rows"), F.lit("failed").alias("status"),
         F.lit("unreadable file").alias("reason"),
@@ -62,7 +65,12 @@ def run_preprocessing(
     stored = spark.read.schema(report.schema).json(path)
     require_success(stored)
     good = stored.where("status = 'ok'").select("sample_key")
-    out.save_stage(flatten_lags(dataset.join(good, "sample_key", "left_semi")), output_root, F.col("split"), part)
+    passed = dataset.join(good, "sample_key", "left_semi")
+    out.save_stage(passed, output_root, "predictive", part)
+    out.save_stage(passed, output_root, F.col("split"), part)
+    limits = thresholds(state, layout, settings.anomaly_quantile, settings.train)
+    document = sample_metadata(telemetry, labelled, limits, passed)
+    out.save_stage(document.join(good, "sample_key", "left_semi"), output_root, "metadata", part, "json")
     return stored
 
 
@@ -91,11 +99,11 @@ def load_role(
     rows = src.read_role(spark, manifest, role, scenario)
     # a split is one run of consecutive places, so its first place and size tell the rest
     runs = rows.groupBy("sample_key").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    rows = rows.join(runs, "sample_key").withColumn("_place", F.col("pos") - F.col("_first"))
+    rows = join_on(rows, runs, ["sample_key"]).withColumn("_place", F.col("pos") - F.col("_first"))
     if max_rows is not None:
         rows = capped(rows, max_rows, "_place").withColumn("_rows", F.least(F.col("_rows"), F.lit(max_rows)))
     longest = runs.agg(F.max("_rows")).first()[0] or 0
-    drawn = sampled(rows, Layout(("sample_key",), longest > GROUP_LIMIT), sample_frac, seed, "_place", "_rows")
+    drawn = sampled(rows, Layout(("sample_key",), not fits_task(longest)), sample_frac, seed, "_place", "_rows")
     return drawn.drop("_place", "_rows", "_first")
 
 
@@ -110,7 +118,7 @@ def run_training(
     train_columns = parts[0].columns
     dataset = parts[0]
     for part in parts[1:]:
-        dataset = dataset.unionByName(part.select(*[c for c in train_columns if c in part.columns]), allowMissingColumns=True)
+        dataset = dataset.unionByName(align(part, train_columns))  # a column that only train has is 0
     trained = ml.train_and_evaluate(dataset, target, task, models, seed, **sizes)
     ml.save_models(trained.models, output_root, task, scenario)
     for name in models:
@@ -125,5 +133,11 @@ def run_training(
     stored = spark.read.schema(metrics.schema).option("header", "true").csv(f"{reports}/{task}_metrics.csv")
     trained.release()
     document = metrics_document(stored.withColumn("scenario", F.lit(scenario)), ["scenario"], names)
-    out.save_json(document.withColumn("target_col", F.lit(target)), f"{reports}/{task}_metrics.json")
+    sizes = {r["split"]: r["count"] for r in dataset.groupBy("split").count().collect()}
+    facts = {"target_col": F.lit(target), "feature_count": F.lit(len(trained.features))}
+    facts |= {f"{part}_rows": F.lit(sizes.get(part, 0)).cast("bigint") for part in ("train", "val", "test")}
+    if task == "classification":
+        share = dataset.where("split = 'train'").agg(F.avg(F.col(target).cast("double"))).first()[0]
+        facts["positive_share_train"] = F.lit(share).cast("double")
+    out.save_json(document.withColumns(facts), f"{reports}/{task}_metrics.json")
     return stored

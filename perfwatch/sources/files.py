@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import csv
 import io
+import os
+import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perfwatch.operators.families import gate_resources, lineage, mark_available
-from perfwatch.operators.ordering import GROUP_LIMIT, Layout, measure, positions
+from perfwatch.operators.families import family_columns, gate_resources, lineage
+from perfwatch.operators.ordering import Layout, fits_task, measure, positions
 from perfwatch.operators.validation import MANIFEST_COLUMNS, require_columns, require_rows
+from perfwatch.session import stage
 from perfwatch.sources.tables import unite
 
 # Cell texts that count as missing.
@@ -20,7 +22,6 @@ MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
     "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-HEADER_BYTES = 1 << 20
 TABLE_READERS = {".csv": "csv", ".parquet": "parquet"}
 
 
@@ -55,33 +56,31 @@ def batch_slice(files: DataFrame, start: int = 0, size: int | None = None) -> Da
     )
 
 
-def _open(path: str):
-    from pyarrow import fs
+def csv_lines(spark: SparkSession, root: str, files: DataFrame | None = None) -> DataFrame:
+    """(path, block, line, value) of the non-blank lines of the CSV files under ``root``, stored.
 
-    if path.startswith("file:"):
-        path = "file://" + "/" + path.removeprefix("file:").lstrip("/")
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_stream(inner)
-
-
-def csv_headers(files: DataFrame) -> DataFrame:
-    """(path, header) of CSV files: each task reads the first line of its files only.
-
-    A file that cannot be opened or has no line gets a NULL header.
+    Text is read once, by Spark's own reader, so any store that Spark reads
+    will do. ``files`` (path) restricts the files. (block, line) is the order
+    of the lines in a file however it is split.
     """
-    def first_lines(batches):
-        for batch in batches:
-            headers = []
-            for path in batch["path"]:
-                try:
-                    with _open(path) as stream:
-                        text = stream.read(HEADER_BYTES).decode("utf-8-sig", "replace")
-                    headers.append(text.splitlines()[0] if text.strip() else None)
-                except OSError:
-                    headers.append(None)
-            yield pd.DataFrame({"path": batch["path"], "header": headers})
+    text = (
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").option("ignoreCorruptFiles", "true")
+        .text(root)
+    )
+    lines = text.select(
+        plain_path(stored_path()).alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value",
+    ).where(F.trim("value") != "")
+    if files is not None:
+        lines = lines.join(files.select(plain_path(F.col("path")).alias("path")), "path", "left_semi")
+    return stage(lines, "lines")
 
-    return files.select("path").mapInPandas(first_lines, "path string, header string")
+
+def csv_headers(lines: DataFrame) -> DataFrame:
+    """(path, header, first): the whole first line of each file and its place. A blank file has none."""
+    starts = lines.where("block = 0").groupBy("path").agg(F.min("line").alias("line"))
+    header = F.regexp_replace("value", "^\ufeff", "")
+    return lines.join(starts, ["path", "line"]).select("path", header.alias("header"), F.col("line").alias("first"))
 
 
 def _without_missing(df: DataFrame) -> DataFrame:
@@ -91,53 +90,61 @@ def _without_missing(df: DataFrame) -> DataFrame:
     ])
 
 
-def read_csv_by_header(spark: SparkSession, headers: DataFrame) -> dict[str, DataFrame]:
-    """One text frame per distinct header, with path and order columns.
+def parse_csv(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """The rows of all files as text under the names of their own header, with ``<family>_available`` flags.
 
-    A single scan over files of different headers would put values under the
-    wrong names, so files are grouped by header first. Only paths and headers
-    reach the driver, which holds the file listing anyway; they are streamed,
-    so no task gathers the paths of a common header.
+    Files of different headers are parsed in one scan: a name takes the cell
+    at the place it has in the header of the row's file. Only distinct headers
+    reach the driver. Adds _path, _block and _line.
     """
-    paths: dict[str, list[str]] = {}
-    for row in headers.where("header is not null").toLocalIterator():
-        paths.setdefault(row["header"], []).append(row["path"])
-    frames = {}
-    for header in sorted(paths):
-        names = next(csv.reader(io.StringIO(header)))
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        raw = spark.read.csv(sorted(paths[header]), schema=schema, header=True, enforceSchema=True)
-        frames[header] = _with_source(raw)
-    return frames
-
-
-def _with_source(raw: DataFrame) -> DataFrame:
-    located = raw.select(
-        "*",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
+    spark = lines.sparkSession
+    known = sorted(r[0] for r in headers.select("header").distinct().collect())
+    names = [next(csv.reader(io.StringIO(h))) for h in known]
+    width = max((len(n) for n in names), default=0)
+    if not width:
+        raise FileNotFoundError("No readable CSV file")
+    places: dict[str, dict[int, int]] = {}
+    for i, columns in enumerate(names):
+        for j, name in enumerate(columns):
+            places.setdefault(name, {}).setdefault(i, j)
+    own = F.array_position(F.array(*map(F.lit, known)), F.col("header")) - 1
+    kinds = headers.select("path", "first", own.cast("int").alias("_kind"))
+    rows = lines.join(kinds, "path").where(F.col("line") != F.col("first"))
+    cells = rows.select(
+        F.from_csv("value", ", ".join(f"c{j} string" for j in range(width))).alias("_cells"), "_kind",
+        F.col("path").alias("_path"), F.col("block").alias("_block"), F.col("line").alias("_line"),
     )
-    return _without_missing(located)
+
+    def cell(at: dict[int, int]) -> Column:
+        if len(at) == len(known) and len(set(at.values())) == 1:
+            return F.col(f"_cells.c{next(iter(at.values()))}")
+        by_place: dict[int, list[int]] = {}
+        for kind, place in at.items():
+            by_place.setdefault(place, []).append(kind)
+        return F.coalesce(*[F.when(F.col("_kind").isin(k), F.col(f"_cells.c{j}")) for j, k in by_place.items()])
+
+    has: dict[str, list[int]] = {}
+    for i, columns in enumerate(names):
+        empty = spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in dict.fromkeys(columns)]))
+        for family, found in family_columns(empty, numeric_only=False).items():
+            has.setdefault(f"{family}_available", []).extend([i] if found else [])
+    flags = [F.when(F.col("_kind").isin(k), 1).otherwise(0).alias(f) for f, k in has.items() if f not in places]
+    return _without_missing(cells.select(*[cell(at).alias(n) for n, at in places.items()], *flags, "_path", "_block", "_line"))
 
 
 def read_telemetry_csv(
-    spark: SparkSession, root: str, files: DataFrame | None = None, label_type: str | None = "bigint"
+    spark: SparkSession, root: str, files: DataFrame | None = None, lines: DataFrame | None = None
 ) -> tuple[DataFrame, Layout]:
     """Wide telemetry of a CSV tree: one sample per file, with ``seq`` in file order.
 
-    Rows of one file keep their order inside each block a task reads, so
-    (block start, line) is the file order however files are split.
+    ``label_trace`` is a whole number if all of its values are numbers, else it stays text.
     """
     files = discover(spark, root) if files is None else files
-    frames = {h: mark_available(df) for h, df in read_csv_by_header(spark, csv_headers(files)).items()}
-    if not frames:
-        raise FileNotFoundError(f"No readable CSV file under {root}")
-    wide = unite(frames, "_header").drop("_header")
-    flags = [c for c in wide.columns if c.endswith("_available")]
-    relative = F.regexp_replace("_path", "^.*?" + _regex_quote(_tail(root)) + "/", "")
+    lines = csv_lines(spark, root, files) if lines is None else lines
+    headers = csv_headers(lines)
+    wide = parse_csv(lines, headers)
+    relative = below_root(F.col("_path"), root)
     named = wide.withColumns({
-        **{c: F.coalesce(F.col(c), F.lit(0)) for c in flags},
         **lineage(relative),
         "sample_key": F.regexp_replace(relative, r"\.[^./]*$", ""),
     })
@@ -145,26 +152,23 @@ def read_telemetry_csv(
     typed = {}
     if "window_id" in gated.columns:
         typed["window_id"] = F.col("window_id").try_cast("double").cast("bigint")
-    if "label_trace" in gated.columns and label_type:
-        typed["label_trace"] = F.col("label_trace").try_cast("double").cast(label_type)
+    if "label_trace" in gated.columns:
+        number = F.col("label_trace").try_cast("double")
+        if named.where(F.col("label_trace").isNotNull() & number.isNull()).isEmpty():
+            typed["label_trace"] = number.cast("bigint")
     gated = gated.withColumns(typed) if typed else gated
-    layout = _file_layout(files, named, min(len(next(csv.reader([h]))) for h in frames))
+    layout = _file_layout(files, named)
     return positions(gated, layout, ["_block", "_line"], "seq", "n").drop("_path", "_block", "_line"), layout
 
 
-def _file_layout(files: DataFrame, rows: DataFrame, width: int) -> Layout:
-    """Row count of the longest file: bounded by its size (a row has a byte per column), else counted."""
+def _file_layout(files: DataFrame, rows: DataFrame) -> Layout:
+    """Row count of the longest file: bounded by its bytes (a row has two at least), else counted."""
     if "length" in files.columns:
-        longest = files.agg(F.max("length")).first()[0] or 0
-        if longest / max(width, 1) <= GROUP_LIMIT:
+        if fits_task((files.agg(F.max("length")).first()[0] or 0) // 2):
             return Layout(("sample_key",))
     return measure(rows, ["sample_key"])
 
 
-def _tail(root: str) -> str:
-    return root.rstrip("/").split("/")[-1]
-
-
 def _regex_quote(text: str) -> str:
     return r"\Q" + text + r"\E"
 
@@ -215,7 +219,7 @@ def read_tolerant(spark: SparkSession, listing: DataFrame, root: str, schema: T.
     rows = (
         spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet").parquet(root)
-        .withColumn("dataset_source_path", F.col("_metadata.file_path"))
+        .withColumn("dataset_source_path", stored_path())
     )
     seen = rows.select(plain_path(F.col("dataset_source_path")).alias("_seen")).distinct()
     skipped = listing.join(seen, plain_path(F.col("path")) == F.col("_seen"), "left_anti")
@@ -227,6 +231,19 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
+def stored_path() -> Column:
+    """The path a row was read from, as a listing spells it: metadata paths are percent-encoded."""
+    encoded = F.regexp_replace("_metadata.file_path", r"\+", "%2B")
+    return F.coalesce(F.try_url_decode(encoded), F.col("_metadata.file_path"))
+
+
+def below_root(path: Column, root: str) -> Column:
+    """``path`` without the whole of ``root``; a root without a scheme is a local folder."""
+    plain = re.sub("^file:/+", "/", root)
+    plain = (plain if "://" in plain else os.path.abspath(plain)).rstrip("/") + "/"
+    return F.regexp_replace(plain_path(path), "^" + _regex_quote(plain), "")
+
+
 def select_role(manifest: DataFrame, role: str, scenario: str | None = None) -> DataFrame:
     """Manifest rows of a role and scenario, one suffix per sample.
 
@@ -257,7 +274,7 @@ def read_role(
     if len(parquet) < len(paths):
         texts = [p for p in paths if p.lower().endswith(".csv")]
         frames["csv"] = spark.read.option("header", "true").option("inferSchema", "true").csv(texts)
-    named = {k: df.withColumn("dataset_source_path", F.col("_metadata.file_path")) for k, df in frames.items()}
+    named = {k: df.withColumn("dataset_source_path", stored_path()) for k, df in frames.items()}
     return require_rows(unite(named, "_format").drop("_format"), f"{role} dataset")
 
 
@@ -280,7 +297,7 @@ def load_predictions(spark: SparkSession, root: str) -> DataFrame:
     ``step`` counts rows in each prediction table in stored order.
     """
     rows = spark.read.parquet(f"{root}/*/*_test_predictions.parquet")
-    path = F.col("_metadata.file_path")
+    path = stored_path()
     rows = rows.select("*", path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     pattern = r"/([^/]+)/([^/]+)_test_predictions\.parquet"
     named = rows.withColumns(path_parts(F.col("_file"), pattern))
@@ -291,7 +308,7 @@ def load_predictions(spark: SparkSession, root: str) -> DataFrame:
 def load_metrics(spark: SparkSession, root: str, task: str, schema: str) -> DataFrame:
     """Metric tables ``<scenario>/<task>_metrics.csv`` under ``root``."""
     rows = spark.read.option("header", "true").schema(schema).csv(f"{root}/*/{task}_metrics.csv")
-    return rows.withColumn("scenario", F.regexp_extract("_metadata.file_path", rf"/([^/]+)/{task}_metrics\.csv", 1))
+    return rows.withColumn("scenario", F.regexp_extract(stored_path(), rf"/([^/]+)/{task}_metrics\.csv", 1))
 
 
 def panel_telemetry(marked: DataFrame, order: list[str]) -> DataFrame:

@@ -56,20 +56,24 @@ def output_dir(relpath: Column, part_name: Column) -> Column:
     return F.concat_ws("/", *pieces)
 
 
-def save_stage(df: DataFrame, root: str, role: str | Column, part_name: str = "part_0000_0000", mode: str = "append") -> None:
+def save_stage(df: DataFrame, root: str, role: str | Column, part_name: str = "part_0000_0000", kind: str = "parquet") -> None:
     """Write one stage under ``root`` partitioned by part, scenario, sample and role.
 
-    ``role`` is a constant (``aggregated``, ``marked``, ``predictive``) or the
-    split column. Readers of one scenario, sample or role prune the rest.
+    ``role`` is a constant (``aggregated``, ``marked``, ``predictive``,
+    ``metadata``) or the split column. Readers of one scenario, sample or role
+    prune the rest. The samples and roles of ``df`` replace what was stored of
+    them, so a second run or a retry gives the same files; all others stay.
+    ``kind`` is parquet, csv or json.
     """
-    kind = F.lit(role) if isinstance(role, str) else role
+    of_role = F.lit(role) if isinstance(role, str) else role
     named = df.withColumns({
         "part_name": F.lit(part_name),
         "scenario": F.split("sample_key", "/")[0],
         "logical_sample_key": F.col("sample_key"),
-        "file_role": kind,
+        "file_role": of_role,
     })
-    named.write.mode(mode).partitionBy(*STAGE_PARTITIONS).parquet(f"{root}/{DATASET_DIR}")
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", "true")
+    writer.partitionBy(*STAGE_PARTITIONS).format(kind).save(f"{root}/{DATASET_DIR}")
 
 
 def load_stage(spark: SparkSession, schema: T.StructType, root: str, role: str, part_name: str) -> DataFrame:
@@ -78,7 +82,8 @@ def load_stage(spark: SparkSession, schema: T.StructType, root: str, role: str,
     Stages differ in their columns, so the schema of the wanted one is given.
     """
     keys = [T.StructField(c, T.StringType()) for c in STAGE_PARTITIONS]
-    stored = spark.read.schema(T.StructType([*schema.fields, *keys])).parquet(f"{root}/{DATASET_DIR}")
+    reader = spark.read.schema(T.StructType([*schema.fields, *keys])).option("pathGlobFilter", "*.parquet")
+    stored = reader.parquet(f"{root}/{DATASET_DIR}")
     return stored.where((F.col("file_role") == role) & (F.col("part_name") == part_name)).drop(*STAGE_PARTITIONS)
 
 

@@ -170,3 +170,40 @@ def test_whole_run_from_csv_to_reports(spark, folder):
     assert document["target_col"] == "target_p95_latency_t_plus_1" and document["models"]["dummy"]["test"]["rmse"] > 0
     again = src.load_metrics(spark, f"{made}/reports/regression", "regression", "model string, split string, mae double, rmse double, r2 double")
     assert {r["scenario"] for r in again.collect()} == {"all"}
+
+
+def test_a_second_run_replaces_the_first(spark, folder):
+    raw, made = f"{folder}/in", f"{folder}/out"
+    for k in (3, 5):
+        rows = "\n".join(f"{i},{i % 2},{(i * k) % 37},{i % 5}" for i in range(40))
+        put(raw, f"compose/run {k}.csv", f"window_id,label_trace,0_latency,0_{CPU}\n{rows}\n")
+
+    def stored():
+        index = mf.files_index(src.discover(spark, made, "").select("path"))
+        sizes = {
+            role: src.read_role(spark, index, role).count() for role in ("aggregated", "marked", "predictive", "train", "val", "test")
+        }
+        return sizes, [r.asDict() for r in mf.samples_index(index).select("has_predictive", "has_metadata", "has_train").collect()]
+
+    first = training.run_preprocessing(spark, raw, made, Settings()).collect()
+    before = stored()
+    again = training.run_preprocessing(spark, raw, made, Settings()).collect()
+    assert stored()[0] == before[0] and sorted(map(str, first)) == sorted(map(str, again))
+    assert before[0]["aggregated"] == 80 and before[0]["predictive"] == sum(before[0][r] for r in ("train", "val", "test")) == 72
+    assert before[1] == [{"has_predictive": True, "has_metadata": True, "has_train": True}] * 2
+    documents = spark.read.json(f"{made}/{out.DATASET_DIR}/*/*/*/file_role=metadata/*.json").collect()
+    assert {r["row_count_predictive"] for r in documents} == {36} and all(r["latency_threshold"] > 0 for r in documents)
+
+
+def test_text_labels_spaces_and_long_headers(spark, folder):
+    wide = ",".join(f"{i}_latency" for i in range(3000)) + "," + ",".join("x" * 100_000 + str(i) for i in range(12)) + ",last_latency"
+    put(folder, "main/in/a b+c%d/one two.csv", f"window_id,label_trace,{wide}\n1,good,{','.join(str(i) for i in range(3000))},{'z,' * 12}9\n2,bad,{','.join('1' * 3000)},{'z,' * 12}8\n")
+    rows, _ = src.read_telemetry_csv(spark, f"{folder}/main/in")
+    got = rows.select("sample_key", "source_level_1", "label_trace", "2999_latency", "last_latency").orderBy("seq").collect()
+    assert [tuple(r) for r in got] == [("a b+c%d/one two", "a b+c%d", "good", 2999.0, "9"), ("a b+c%d/one two", "a b+c%d", "bad", 1.0, "8")]
+    table = spark.range(3)
+    table.write.parquet(f"{folder}/x y+z.parquet")
+    listing = src.discover(spark, folder, ".parquet")
+    read, skipped = src.read_tolerant(spark, listing.where("path not like '%_SUCCESS%'"), folder, table.schema)
+    assert read.count() == 3 and {r["dataset_source_path"].split("/")[-2] for r in read.collect()} == {"x y+z.parquet"}
+    assert skipped.join(read.selectExpr("dataset_source_path AS p").distinct(), src.plain_path(F.col("path")) == src.plain_path(F.col("p")), "left_semi").isEmpty()

@@ -124,3 +124,24 @@ def test_result_does_not_depend_on_partitions(spark, rows):
         results.append(sorted(map(tuple, placed.collect()), key=repr))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+def test_null_keys_are_groups_on_both_plans(spark):
+    from perfwatch.operators import ordering as od
+    from perfwatch.operators.labels import label, training_prefix
+    from perfwatch.operators.quantile import exact_quantiles
+
+    rows = [(k, i, float((i * 7) % 11) if i % 5 else None) for k in ("a", None) for i in range(40)]
+    df = spark.createDataFrame(rows, "sample_key string, seq long, p95_latency double")
+    plain, split = od.Layout(("sample_key",)), od.Layout(("sample_key",), True, 10)
+
+    def same(make):
+        first, second = (sorted(map(tuple, make(layout).collect()), key=repr) for layout in (plain, split))
+        assert first == second and any(r[0] is None for r in first)
+
+    same(lambda x: od.positions(df, x, ["seq"], "pos", "n").select("sample_key", "seq", "pos", "n"))
+    same(lambda x: od.running_total(df.fillna(0.0, ["p95_latency"]), x, ["seq"], "p95_latency").select("sample_key", "seq", "running"))
+    same(lambda x: exact_quantiles(df, x, {"q": ("p95_latency", 0.95)}).select("sample_key", "q"))
+    same(lambda x: label(df, x).select("sample_key", "seq", "latency_anomaly"))
+    assert od.group_sizes(df, ["sample_key"]).where("n = 40").count() == 80
+    assert training_prefix(df, ["sample_key"]).count() == 56
