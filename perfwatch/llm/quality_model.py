@@ -193,7 +193,8 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     )
     known = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
     for_calibration = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0
-    table, prior = evidence_table(base.filter(~for_calibration).join(known, "doc_id"))
+    # Labels grow with the documents, so they are not broadcast: texts meet their labels in one exchange by id.
+    table, prior = evidence_table(base.filter(~for_calibration).join(known.hint("merge"), "doc_id"))
     schema = T.StructType([*base.schema.fields[:3], T.StructField("raw", T.DoubleType())])
     scored = stage(base.mapInArrow(_score(table), schema), "scored")
     labelled = stage(scored.join(known, "doc_id"), "labelled")
