@@ -155,12 +155,15 @@ def fit(training: DataFrame, sample: int = SAMPLE, **settings) -> Model | None:
     takes part in the draw. Frequencies always count all documents.
     """
     rows = training.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    per_lang = rows.groupBy("lang").count()
-    share = per_lang.select("lang", (F.lit(sample / max(1, per_lang.count())) / F.col("count")).alias("share"))
+    # One row per language, as many as the model has columns.
+    per_lang = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not per_lang:
+        return None
+    shares = F.create_map(*[F.lit(x) for k, n in per_lang.items() for x in (k, min(1.0, sample / len(per_lang) / n))])
     order = F.xxhash64("doc_id", "text")
     u = F.shiftrightunsigned(order, 11) * F.lit(2.0**-53)
     drawn = (
-        rows.join(share, "lang").filter(u < F.col("share")).dropDuplicates(["text", "lang"])
+        rows.filter(u < shares[F.col("lang")]).dropDuplicates(["text", "lang"])
         .orderBy(order, "text", "lang").limit(2 * sample).select("text", "lang")
     )
     counted = rows.select("text").mapInArrow(_frequencies, "feature int, docs long").groupBy("feature").agg(F.sum("docs").alias("docs"))
