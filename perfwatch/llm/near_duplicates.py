@@ -14,12 +14,16 @@ of a band meet in a bucket. First each bucket compares its nodes with its
 first one. Buckets that still hold several classes then compare nodes of
 different classes: every pair in buckets of up to ``SMALL`` nodes, and in
 larger ones each node outside the largest class with about ``CENTRES`` others,
-drawn by hash. Rounds go on with other draws until one connects nothing. Candidates are checked on
+drawn by hash. The draws only save work: once a round connects few of these
+nodes, the larger buckets that still hold several classes are settled exactly.
+Similar sets share one of their first occurrences in any fixed order
+(a prefix filter; here the order is rarest first), so all nodes of these
+buckets are joined on such occurrences, across classes. Candidates are checked on
 the exact weighted Jaccard similarity of the whole texts, whose weighted sets
 are made once; connected ones form
 a class. A pair at the least similarity meets in 8 of the 20 buckets on
-average and in none with a probability of 3e-5; most of these buckets hold
-few nodes, and all their pairs across classes are compared.
+average and in none with a probability of 3e-5; all pairs across classes that
+meet are compared, or cannot be similar.
 
 No step collects documents, links or classes, and no group is handled by one
 task alone: centres and class labels come from map-side aggregates.
@@ -41,6 +45,10 @@ from perfwatch.session import stage
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 SMALL, CENTRES = 24, 16
+#: Draws go on while a round joins at least this share of the nodes outside the largest class of their bucket.
+WORTHWHILE = 0.1
+#: Nodes of a shingle that share a salt; the others meet in other tasks.
+SALTED = 1000
 LEVEL_BITS = np.uint64(58)
 _cdf: dict[float, np.ndarray] = {}
 
@@ -212,6 +220,72 @@ def _across(rows: DataFrame, similar: float, turn: int) -> DataFrame:
     return _pairs(rows.filter("label <> main"), others, similar, F.col("label") != F.col("other_label"))
 
 
+def _prefixes(similar: float):
+    """The occurrences of each weighted set that a similar set must share one of, rarest first, with their places."""
+    def run(batches):
+        for batch in batches:
+            parts = []
+            for row, (n, elements) in enumerate(zip(batch.column("n").to_pylist(), batch.column("elements"), strict=True)):
+                weight = elements.values.field("w").to_numpy(zero_copy_only=False)
+                length = n - math.ceil(similar * n - 1e-9) + 1
+                at = np.repeat(np.arange(len(weight)), weight)[:length]
+                starts = np.cumsum(weight) - weight
+                parts.append((np.full(len(at), row), elements.values.field("h").to_numpy(zero_copy_only=False)[at],
+                              np.arange(len(at)) - starts[at], np.arange(len(at)), elements.values.field("df").to_numpy(zero_copy_only=False)[at]))
+            if parts:
+                row, h, nth, place, df = (np.concatenate(x) for x in zip(*parts, strict=True))
+                columns = [batch.column(c).take(pa.array(row)) for c in ("node", "n", "label", "outside")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, *(pa.array(x.astype(np.int64)) for x in (h, nth, place, df))],
+                    names=["node", "n", "label", "outside", "h", "nth", "place", "df"],
+                )
+
+    return run
+
+
+def _elements(batches):
+    """The shingles of weighted sets, one a row."""
+    for batch in batches:
+        nodes = batch.column("node").to_numpy()
+        for low in range(0, len(batch), 500):
+            part = batch.slice(low, 500)
+            h, w = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("h", np.int64), ("w", np.int32)))
+            n = [len(x) // 8 for x in part.column("h").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes[low : low + 500], n)), pa.array(h), pa.array(w)], names=["node", "h", "w"])
+
+
+def _open_pairs(rows: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """Every pair of different classes that may be similar, one of them outside the main class of a larger mixed bucket.
+
+    Shingles of many nodes are salted: one side is dealt out, the other one repeated.
+    """
+    nodes = rows.filter(F.col("size") > SMALL).groupBy("node", "n", "label").agg(F.max(F.col("label") != F.col("main")).alias("outside"))
+    elements = stage(bags.join(nodes.select("node"), "node").mapInArrow(_elements, "node long, h long, w int"), "elements")
+    # A shingle of one node meets no other, but it takes its place in the prefix.
+    known = elements.join(elements.groupBy("h").agg(F.count("*").alias("df")), "h")
+    ordered = known.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h", "w"))).alias("elements"))
+    starts = stage(
+        ordered.join(nodes, "node").mapInArrow(
+            _prefixes(similar), "node long, n long, label long, outside boolean, h long, nth long, place long, df long"
+        ).filter("df > 1"),
+        "prefixes",
+    )
+    salts = (1 + F.floor(F.col("df") / SALTED)).cast("long")
+    left = starts.filter("outside").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+    right = starts.withColumn("salt", F.pmod(F.xxhash64("node"), salts)).select(
+        "h", "nth", "salt", F.col("node").alias("other"), F.col("n").alias("m"), F.col("label").alias("other_label"), F.col("place").alias("spot")
+    )
+    sizes = F.least("n", "m") >= F.greatest("n", "m") * (similar - 1e-9)
+    # At the first shared occurrence nothing before it is shared: what stands from there on must suffice.
+    rest = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("spot"))
+    enough = F.min_by("rest", "place") * (1 + similar) >= similar * F.max("both") - 1e-6
+    met = left.join(right, ["h", "nth", "salt"]).filter((F.col("label") != F.col("other_label")) & sizes)
+    return (
+        met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), (F.col("n") + F.col("m")).alias("both"), "place", rest.alias("rest"))
+        .groupBy("a", "b").agg(enough.alias("enough")).filter("enough").select("a", "b")
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) with label the smallest node of the component; nodes without links are absent.
 
@@ -292,11 +366,17 @@ def _classes(
     labels = _merged(nodes.select("node", F.col("node").alias("label")), links_of(_star(placed, similar)))
     turn = 0
     while True:
-        links = links_of(_across(stage(_mixed(placed, labels), "mixed"), similar, turn))
-        if not links.limit(1).count():
+        mixed = stage(_mixed(placed, labels), "mixed")
+        outside = mixed.filter((F.col("size") > SMALL) & (F.col("label") != F.col("main"))).select("node").distinct().count()
+        if turn and (not outside or before - outside < WORTHWHILE * before):
             break
-        labels = _merged(labels, links)
+        before = outside
+        links = links_of(_across(mixed, similar, turn))
+        if links.limit(1).count():
+            labels = _merged(labels, links)
         turn += 1
+    if outside:
+        labels = _merged(labels, links_of(_open_pairs(mixed, bags, similar)))
     own = nodes.join(labels, "node").select("key", "doc_id", "copies", "label")
     classes = own.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
     known = own.select("key", "label").join(classes, "label").select("key", "class_id", "class_size")

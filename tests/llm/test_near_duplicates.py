@@ -120,3 +120,29 @@ def test_chains_become_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 102), (101, 102)], "a long, b long")
     got = {r.node: r.label for r in nd.components(links).collect()}
     assert {got[i] for i in range(51)} == {0} and {got[i] for i in (100, 101, 102)} == {100}
+
+
+def test_a_single_link_in_a_large_mixed_bucket_is_found(spark):
+    core = [f"c{i}" for i in range(64)]
+    rows = [(i, " ".join(core + [f"u{i}x{j}" for j in range(40)])) for i in range(1500)]
+    rows += [(2000 + i, " ".join(rows[i][1].split()[:-4] + ["y"] * 4)) for i in range(700, 708)]
+    got = {r.doc_id: r.class_id for r in nd.near_duplicates(frame(spark, rows), bands=4, rows=1).collect()}
+    assert got == {i: i - 2000 if i >= 2000 else i for i, _ in rows}
+
+
+def test_open_pairs_hold_every_similar_pair_with_repeated_and_hot_shingles(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SALTED", 7)
+    rng = random.Random(12)
+    base = rng.choices("abcdefgh", k=60)
+    bags = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            copy[rng.randrange(60)] = rng.choice("abcdefghxyz")
+        doc, h, w = tx.weighted_elements(words([" ".join(copy)]), 2)
+        bags.append((i, h, w.astype(np.int32)))
+    pairs = {(i, j) for i, h, w in bags for j, g, v in bags if i < j and nd.overlap(h, w, g, v) >= 0.8}
+    mixed = spark.createDataFrame([(i, int(w.sum()), i, 60, 0) for i, _, w in bags], "node long, n long, label long, size long, main long")
+    sets = spark.createDataFrame([(i, bytearray(h.tobytes()), bytearray(w.tobytes())) for i, h, w in bags], "node long, h binary, w binary")
+    got = {(r.a, r.b) for r in nd._open_pairs(mixed, sets, 0.8).collect()}
+    assert pairs and pairs <= got
