@@ -7,9 +7,11 @@ A cell ends as its tokens times one factor for each of its three values.
 
 *Sampling.* A document is kept with a probability proportional to the factor
 of its cell, decided by a hash of its id and text, so a rerun keeps the same
-rows. The largest factor gets probability 1: the mixture then meets the
-targets in expectation and no document is needed twice. With ``share`` the
-probabilities are scaled to keep that share of all tokens and cut at 1.
+rows. Cells that would need documents twice are kept whole (probability 1), and
+one scale for all others makes up the budget. The budget is ``share`` of all
+tokens, or else the largest one at which kept-whole cells lack at most ``SHORT`` of
+the mixture: that is as far as it can be from the targets in expectation, and
+a rare cell with a large factor has no say over all others.
 
 Default targets flatten each observed marginal (its share to the power
 ``FLATTEN``), as is usual for mixtures. Sums are map-side aggregates and only
@@ -27,6 +29,8 @@ from perfwatch.session import stage
 DIMENSIONS = ("source", "lang", "topic")
 FLATTEN = 0.7
 TOLERANCE = 1e-3
+#: The share of the mixture that may be lacking in cells that are kept whole.
+SHORT = 0.01
 SWEEPS = 30
 CELLS_PER_TASK = 200_000
 NONE = "none"
@@ -103,6 +107,33 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
     return fitted.drop("off")
 
 
+def _scale(rated: DataFrame, share: float | None, short: float = SHORT) -> float:
+    """The scale s of ``rated`` (base, weight): a cell keeps least(base, s * weight) tokens.
+
+    With ``share``, they add up to that share of all tokens, or as near as
+    targets reach. Otherwise s is the largest scale at which they add up to
+    (1 - short) * s at least. Both sums are concave in s, so Newton steps come
+    from one side and end at the exact scale after a few aggregates.
+    """
+    whole, total = rated.agg(F.sum("base"), F.sum("weight")).first()
+    if not total:
+        return 0.0
+    budget = None if share is None else min(1.0, share) * float(whole)
+    scale = float(whole) / (1 - short) / total if budget is None else 0.0
+    while True:
+        clipped = F.col("base") <= F.col("weight") * scale
+        kept, open_weight = rated.agg(F.sum(F.when(clipped, F.col("base")).otherwise(0)), F.sum(F.when(clipped, 0.0).otherwise(F.col("weight")))).first()
+        if budget is not None:
+            following = (budget - kept) / open_weight if open_weight else scale
+            if following <= scale * (1 + 1e-9):
+                return scale
+        else:
+            following = kept / ((1 - short) * total - open_weight) if kept else scale
+            if following >= scale * (1 - 1e-9):
+                return scale
+        scale = following
+
+
 def mixture(
     docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, share: float | None = None,
     flatten: float = FLATTEN, seed: int = 1,
@@ -121,10 +152,8 @@ def mixture(
     rows = stage(_cells(docs), "tokens")
     cells = stage(rows.filter("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("base")), "base")
     fitted = rake(cells, {d: _targets(cells, d, given.get(d), flatten) for d in DIMENSIONS})
-    rated = fitted.select(*DIMENSIONS, "base", (F.col("weight") / F.col("base")).alias("factor"))
-    most, all_tokens = rated.agg(F.max("factor"), F.sum("base")).first()
-    scale = 1 / (most or 1.0) if share is None else share * float(all_tokens or 0)
-    factors = rated.select(*DIMENSIONS, "factor")
+    scale = _scale(fitted, share)
+    factors = fitted.select(*DIMENSIONS, (F.col("weight") / F.col("base")).alias("factor"))
     u = F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash", F.lit(seed)), 11) * F.lit(2.0**-53)
     probability = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.coalesce("factor", F.lit(0.0)) * scale)).otherwise(F.lit(0.0))
     return rows.join(factors, [*DIMENSIONS], "left").select(

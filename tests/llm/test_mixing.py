@@ -80,3 +80,26 @@ def test_nulls_empty_repeats_and_missing_targets(spark):
 def test_a_rerun_keeps_the_same_rows(spark):
     a, b = ({r.doc_id for r in mx.mixed(frame(spark, corpus(4, 500)).repartition(n)).collect()} for n in (1, 7))
     assert a == b and 0 < len(a) < 500
+
+
+def test_one_odd_document_does_not_set_the_share(spark):
+    rows = corpus(5, 6000)
+
+    def kept(rows):
+        got = mx.mixture(frame(spark, rows))
+        r = got.agg(F.sum("tokens").alias("n"), F.sum(F.col("tokens") * F.col("probability")).alias("k")).first()
+        off = sum(
+            abs(x.k / r.k - x.w) for x in got.groupBy("source", "lang", "topic").agg(F.sum(F.col("tokens") * F.col("probability")).alias("k"), F.sum("weight").alias("w")).collect()
+        )
+        return r.k / r.n, off / 2
+
+    plain, off = kept(rows)
+    odd, odd_off = kept([*rows, (9999, "w", "odd", "a", "t")])
+    assert odd > 0.95 * plain and plain > 0.5
+    assert off <= mx.SHORT + 2e-3 and odd_off <= mx.SHORT + 2e-3
+
+
+def test_a_budget_is_met_with_cells_kept_whole(spark):
+    rows = [*corpus(6, 6000), (9999, "w " * 5, "odd", "b", "u")]
+    r = mx.mixture(frame(spark, rows), share=0.6).agg(F.sum("tokens").alias("n"), F.sum(F.col("tokens") * F.col("probability")).alias("k")).first()
+    assert r.k / r.n == pytest.approx(0.6, abs=1e-6)
