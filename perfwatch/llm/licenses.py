@@ -4,8 +4,9 @@ All rolling pairs of words of every text are hashed and joined with the
 positions of the same pairs in license templates. A hit at text position p and
 template position q votes for the diagonal p - q: a copied passage puts its
 votes on one diagonal, or on neighbouring ones where words were added or lost.
-Diagonals that follow each other are merged, and a merged span is accepted if
-it covers enough of the template. Hash hits count only where both words are equal.
+Diagonals are clustered by offset, so that a distant one never stands between two
+neighbours; those of a cluster that follow each other in the text are merged, and
+a merged span is accepted if it covers enough of the template. Hash hits count only where both words are equal.
 
 The templates are a parameter of bounded size (``MOST_WORDS`` words, checked),
 so they are broadcast and the texts are not shuffled; only hits are, and they
@@ -109,11 +110,18 @@ def spans(docs: DataFrame, notices: dict[str, list[str]] | None = None, phrases:
         F.min("p").alias("lo"), F.max("p").alias("hi"), F.count("*").alias("votes"), F.collect_set("q").alias("at")
     )
     places = diagonals.filter("exact AND votes = length - 1")
-    runs = Window.partitionBy("doc_id", "text_hash", "template").orderBy("lo", "d")
-    near = (F.col("lo") - F.lag("hi").over(runs) <= GAP) & (F.abs(F.col("d") - F.lag("d").over(runs)) <= DRIFT)
-    marked = diagonals.filter("NOT exact AND (votes > 1 OR length < 4)").withColumn("new", F.when(near, 0).otherwise(1))
+    of = ["doc_id", "text_hash", "template"]
+    offsets = Window.partitionBy(*of).orderBy("d")
+    drifted = F.when(F.col("d") - F.lag("d").over(offsets) <= DRIFT, 0).otherwise(1)
+    clustered = (
+        diagonals.filter("NOT exact AND (votes > 1 OR length < 4)").withColumn("drifted", drifted)
+        .withColumn("cluster", F.sum("drifted").over(offsets.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    runs = Window.partitionBy(*of, "cluster").orderBy("lo", "d")
+    before = F.max("hi").over(runs.rowsBetween(Window.unboundedPreceding, -1))
+    marked = clustered.withColumn("new", F.when(F.col("lo") - before <= GAP, 0).otherwise(1))
     merged = (
-        marked.withColumn("run", F.sum("new").over(runs.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*keys, "run")
+        marked.withColumn("run", F.sum("new").over(runs.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*keys, "cluster", "run")
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("votes"))
     )
     columns = ["doc_id", "text_hash", "label", "exact", F.col("lo").alias("first_word"), (F.col("hi") + 1).alias("last_word")]

@@ -70,3 +70,16 @@ def test_nulls_and_repeated_rows_as_in_sql(spark, tmp_path):
     want = sorted(con.execute(sql.LICENSES).fetchall(), key=repr)
     assert sorted((tuple(r) for r in lic.scan(docs).collect()), key=repr) == want
     assert lic.scan(frame(spark, [])).collect() == []
+
+
+def test_added_words_anywhere_do_not_split_a_notice(spark):
+    w = lic.NOTICES["apache-2.0"][1].split()
+    rng = random.Random(3)
+    rows = [" ".join([*w[:i], "added", *w[i:]]) for i in range(1, len(w))]
+    for _ in range(150):
+        i, j = sorted(rng.sample(range(1, len(w)), 2))
+        rows.append(" ".join([*w[:i], "added", *w[i:j], "more", *w[j:]]))
+    rows.append(" ".join(x for i, v in enumerate(w) for x in (["dnl", v] if i % 12 == 0 else [v])))
+    got = {r.doc_id: (r.labels, r.score) for r in lic.scan(frame(spark, list(enumerate(rows)))).collect()}
+    assert {i for i, (labels, _) in got.items() if labels != "apache-2.0"} == set()
+    assert min(score for _, score in got.values()) > 0.85
