@@ -8,7 +8,10 @@ out, with all that is in them. The tree is then laid out as plain text:
 * blocks start on a line of their own, paragraphs and headings with a blank line before and after;
 * white space collapses as in inline layout, and is kept in pre and textarea;
 * list items carry a bullet or their number and are indented by depth;
-* tables are drawn with cells aligned in columns, spans included.
+* tables are drawn with cells aligned in columns, spans included;
+* a drop-down shows its selected or first option, a list box all of them;
+* formulas are their characters, with a space between parts that stand above or
+  beside each other; text labels of svg images are lines of their own.
 
 Pages are independent: they are mapped in batches, without a shuffle.
 """
@@ -26,9 +29,17 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style template noscript title meta link base iframe noembed noframes object audio video canvas svg math datalist "
-    "select colgroup col area param source track".split()
+    "head script style template noscript title meta link base iframe noembed noframes object audio video canvas datalist "
+    "colgroup col area param source track".split()
 )
+#: Parts of svg and math that are not rendered where they stand.
+FOREIGN = frozenset(["svg", "math"])
+FOREIGN_UNSEEN = frozenset(
+    "title desc metadata defs symbol clippath mask marker pattern filter lineargradient radialgradient script style "
+    "annotation annotation-xml mphantom".split()
+)
+#: Parts of formulas that stand above, below or beside each other.
+MATH_APART = frozenset("mfrac msup msub msubsup mroot munder mover munderover mmultiscripts mtr mlabeledtr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
     "h6 header hgroup hr html legend li listing main menu nav ol optgroup option p plaintext pre search section summary table tbody td "
@@ -64,8 +75,8 @@ DEEPEST = 40
 class Node:
     __slots__ = ("tag", "attributes", "children")
 
-    def __init__(self, tag: str, attributes: dict[str, str] | None = None):
-        self.tag, self.attributes, self.children = tag, attributes or {}, []
+    def __init__(self, tag: str, attributes: dict[str, str] | None = None, children: list | None = None):
+        self.tag, self.attributes, self.children = tag, attributes or {}, [] if children is None else children
 
 
 def parse(page: str) -> Node:
@@ -138,7 +149,7 @@ def parse(page: str) -> Node:
             stack.append(row)
         node = Node(tag, attributes)
         stack[-1].children.append(node)
-        if tag in VOID:
+        if tag in VOID or m[4].endswith("/") and (tag in FOREIGN or any(n.tag in FOREIGN for n in stack)):
             continue
         if tag in RAW:
             stop = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
@@ -159,6 +170,71 @@ def visible(node: Node) -> bool:
     return not ("style" in a and _HIDDEN.search(a["style"]))
 
 
+def _within(node: Node, wanted: frozenset, hidden=lambda n: not visible(n)):
+    """The outermost elements of the wanted tags in a node, in their order."""
+    work = list(reversed(node.children))
+    while work:
+        child = work.pop()
+        if isinstance(child, str) or hidden(child):
+            continue
+        if child.tag in wanted:
+            yield child
+        else:
+            work.extend(reversed(child.children))
+
+
+def _labels(svg: Node) -> list[Node]:
+    """The text of an image as blocks: only text and foreign objects are drawn, and not where they are only defined."""
+    found = _within(svg, frozenset(["text", "foreignobject"]), lambda n: n.tag in FOREIGN_UNSEEN or not visible(n))
+    return [Node("div", x.attributes, [c for c in x.children if isinstance(c, str) or c.tag not in FOREIGN_UNSEEN]) for x in found]
+
+
+def _formula(node: Node) -> list:
+    """The children of a formula without what is hidden; rows of a matrix are blocks."""
+    root = Node("span")
+    work = [(node, root)]
+    while work:
+        old, new = work.pop()
+        for child in old.children:
+            if isinstance(child, str):
+                # White space between the elements of a formula is not drawn, but in its texts.
+                if child.strip():
+                    new.children.append(child)
+                continue
+            if child.tag in FOREIGN_UNSEEN or not visible(child):
+                continue
+            if old.tag in MATH_APART and new.children:
+                new.children.append(" ")
+            copy = Node("div" if child.tag in ("mtr", "mlabeledtr") else child.tag, child.attributes)
+            new.children.append(copy)
+            work.append((child, copy))
+    return root.children
+
+
+def _options(select: Node, depth: int) -> list:
+    """What a select shows: the text of the selected or else first enabled option, or all options of a list box."""
+
+    def shown(option: Node) -> str:
+        return option.attributes.get("label") or _SPACE.sub(" ", render(Node("div", None, option.children), depth + 1)).strip()
+
+    size = select.attributes.get("size", "")
+    if "multiple" in select.attributes or size.isascii() and size.isdigit() and len(size) < 9 and int(size) > 1:
+        rows: list = []
+        for x in _within(select, frozenset(["option", "optgroup"])):
+            if x.tag == "option":
+                rows.append(shown(x))
+            else:
+                rows += [x.attributes.get("label", ""), *(shown(o) for o in _within(x, frozenset(["option"])))]
+        return [Node("div", None, [row]) for row in rows if row]
+    # A hidden or disabled option is not in the list, but it is shown where it is the selected one.
+    flat: list[tuple[Node, bool]] = []
+    for x in _within(select, frozenset(["option", "optgroup"]), lambda n: False):
+        inner = [x] if x.tag == "option" else _within(x, frozenset(["option"]), lambda n: False)
+        flat += [(o, "disabled" in x.attributes or "disabled" in o.attributes) for o in inner]
+    chosen = [o for o, _ in flat if "selected" in o.attributes][-1:] or [o for o, off in flat if not off][:1]
+    return [shown(o) for o in chosen]
+
+
 class Page:
     """Lines of text under construction. ``gap``: a blank line is due before the next text."""
 
@@ -250,7 +326,7 @@ def _grid(table: Node, depth: int) -> tuple[list[list[str]], list[str]]:
             elif child.tag in ("thead", "tbody", "tfoot"):
                 walk(child)
             else:
-                captions.append(render(child, depth + 1))
+                captions.append(render(Node("div", None, [child]) if child.tag in FOREIGN or child.tag == "select" else child, depth + 1))
 
     walk(table)
     return rows, [c for c in captions if c]
@@ -317,6 +393,16 @@ def _lay(node: Node, page: Page, kept: bool, depth: int) -> None:
                 if (node.attributes.get("type") or "text").lower() in ("submit", "button", "reset", "text", "search", "email", "url", "tel", "number"):
                     page.text(node.attributes.get("value") or node.attributes.get("placeholder", ""), False)
                 continue
+            if tag == "svg":
+                work.extend(("child", c, False, 0) for c in reversed(_labels(node)))
+                continue
+            if tag == "select":
+                work.extend(("child", c, False, 0) for c in reversed(_options(node, depth)))
+                continue
+            if tag == "math":
+                apart = node.attributes.get("display", "").lower() == "block"
+                work.append(("child", Node("div" if apart else "span", None, _formula(node)), False, 0))
+                continue
             kept = kept or tag in ("pre", "textarea", "listing", "xmp")
             if tag in BLOCK:
                 nested = tag in _LISTS and bool(page.indent)

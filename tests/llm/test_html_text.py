@@ -68,3 +68,31 @@ def test_nulls_repeats_extra_columns_and_empty_tables(spark):
     got = sorted((tuple(r) for r in extract(spark.createDataFrame(rows, schema)).collect()), key=repr)
     assert got == sorted([(1, "u", "", 0), (None, None, "a", 1), (2, "u", "", 0), (2, "u", "b", 1), (2, "u", "b", 1)], key=repr)
     assert extract(spark.createDataFrame([], schema)).collect() == []
+
+
+FOREIGN = {
+    "so <math><mi>x</mi> <mo>=</mo> <mn>3</mn></math> holds": "so x=3 holds",
+    "<p>a <math display=block><mfrac><mn>1</mn><mn>2</mn></mfrac></math> b": "a\n1 2\nb",
+    "<math><semantics><msup><mi>x</mi><mn>2</mn></msup><annotation encoding=tex>x^2</annotation></semantics><mphantom>no</mphantom></math>": "x 2",
+    "<math><mtable><mtr><mtd>a</mtd><mtd>b</mtd></mtr><mtr><mtd>c</mtd><mtd>d</mtd></mtr></mtable></math>": "a b\nc d",
+    "a<svg><title>t</title><desc>d</desc><defs><text>no</text></defs><metadata>m</metadata><path d='M0'/>raw<g><text x=1>Q1 <tspan>sales</tspan></text><text>Q2</text></g></svg>b": "a\nQ1 sales\nQ2\nb",
+    "a<svg/>b<svg><rect/></svg>c": "abc",
+    "<svg><foreignObject><p>in</p></foreignObject></svg>": "in",
+    "Size: <select><option>S<option selected>M<option>L</select> only": "Size: M only",
+    "<select><option disabled>pick<option>one<option>two</select>": "one",
+    "<select><option selected hidden disabled>Choose</option><option>one</option></select>": "Choose",
+    "<select><optgroup label=G disabled><option>a</optgroup><optgroup label=H><option label=Bee>b</select>": "Bee",
+    "x<select multiple><optgroup label=G><option>a<option>b</optgroup><option hidden>c<option>d</select>y": "x\nG\na\nb\nd\ny",
+    "<table><tr><td><select><option>one<option>two</select><td><math><mi>y</mi></math></table>": "one  y",
+    "<select hidden><option>a</select><svg style='display:none'><text>n</text></svg>z": "z",
+}
+
+
+@pytest.mark.parametrize("page", FOREIGN)
+def test_formulas_labels_and_options(page):
+    assert text_of(page) == FOREIGN[page]
+
+
+def test_deep_foreign_markup_does_not_fail():
+    assert text_of("<svg>" + "<g>" * 20_000 + "<text>deep") == "deep"
+    assert text_of("<math>" + "<mrow>" * 20_000 + "<mi>deep") == "deep"
