@@ -16,8 +16,10 @@ many whole documents are bounded at once, in vectorised steps.
 
 *Check.* A retrieved item is compared with the whole text by its runs of
 ``RUN`` words: the shares of the runs of the question and of the answer that
-the text contains. Items that have only one text are questions whose last
-sentence stands for the answer.
+the text contains. A question or answer of fewer words than a run is there if
+its words stand together within a passage of a run of the other part; if both are
+that short, within a run of each other. Items that have only one text are
+questions whose last sentence stands for the answer.
 """
 
 from __future__ import annotations
@@ -54,6 +56,8 @@ class Shard:
     block_most: np.ndarray
     question: list[np.ndarray]
     answer: list[np.ndarray]
+    #: The words of questions and answers of fewer than RUN words, in order; none for other items.
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
     known: np.ndarray
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -77,6 +81,13 @@ def _runs(words: tx.Words) -> list[np.ndarray]:
     return [np.unique(x) for x in np.split(h, np.searchsorted(doc, np.arange(1, len(words.counts))))]
 
 
+def _short(questions: tx.Words, answers: tx.Words) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The words of both parts of the items that have a part under RUN words, but RUN words in all."""
+    n, m = questions.counts, answers.counts
+    few = (np.minimum(n, m) > 0) & (np.minimum(n, m) < RUN) & (n + m >= RUN)
+    return {int(i): tuple(w.hashes[w.first[i] : w.first[i] + w.counts[i]] for w in (questions, answers)) for i in np.flatnonzero(few)}
+
+
 def _pieces(words: tx.Words) -> tuple[np.ndarray, np.ndarray]:
     """The piece of each word and the item of each piece: items over half a passage are cut into even pieces."""
     n = np.maximum(1, words.counts // (PASSAGE // 2))
@@ -107,12 +118,13 @@ def build_shard(items: list[tuple], idf: dict[int, float], mean_length: float) -
     known = np.zeros(1 << 20, bool)
     known[(terms >> np.uint64(44)).astype(np.int64)] = True
     none = np.zeros(0, np.float32)
+    questions, answers = _words([q or "" for _, q, _ in items]), _words([a or "" for *_, a in items])
     return Shard(
         items=np.array([i for i, *_ in items], object), item_of=item_of, terms=terms, start=np.append(start, len(term)), posting_item=doc, impact=impact,
         most=np.maximum.reduceat(impact, start) if len(term) else none,
         block_start=np.append(np.searchsorted(cell, start), len(cell)), block=doc[cell] // BLOCK,
         block_most=np.maximum.reduceat(impact, cell) if len(term) else none,
-        question=_runs(_words([q or "" for _, q, _ in items])), answer=_runs(_words([a or "" for *_, a in items])), known=known,
+        question=_runs(questions), answer=_runs(answers), short=_short(questions, answers), known=known,
     )
 
 
@@ -191,6 +203,37 @@ def _share(runs: np.ndarray, there: np.ndarray) -> float:
     return float(np.isin(runs, there).mean()) if len(runs) else -1.0
 
 
+def _places(words: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Where the words of a part stand together in a text."""
+    at = np.flatnonzero(words[: max(0, len(words) - len(part) + 1)] == part[0])
+    for j in range(1, len(part)):
+        at = at[words[at + j] == part[j]]
+    return at
+
+
+def _close(a: np.ndarray, a_words: int, b: np.ndarray, b_words: int, gap: int) -> bool:
+    """Is a place of one part followed by one of the other after at most ``gap`` words, either one first?"""
+
+    def follows(x: np.ndarray, length: int, y: np.ndarray) -> bool:
+        after = np.append(y, np.iinfo(np.int64).max)[np.searchsorted(y, x + length)]
+        return bool((after - x - length <= gap).any())
+
+    return bool(len(a) and len(b)) and (follows(a, a_words, b) or follows(b, b_words, a))
+
+
+def _short_shares(q: float, a: float, parts: tuple[np.ndarray, np.ndarray], words: np.ndarray, runs: np.ndarray, shard: Shard, item: int) -> tuple[float, float]:
+    """The shares with 0 or 1 for each part under RUN words; ``runs`` are those of the text in order."""
+    question, answer = parts
+    if len(question) < RUN and len(answer) < RUN:
+        there = _close(_places(words, question), len(question), _places(words, answer), len(answer), RUN)
+        return float(there), float(there)
+    if len(answer) < RUN:
+        near = _close(np.flatnonzero(np.isin(runs, shard.question[item])), RUN, _places(words, answer), len(answer), PASSAGE)
+        return q, float(near)
+    near = _close(np.flatnonzero(np.isin(runs, shard.answer[item])), RUN, _places(words, question), len(question), PASSAGE)
+    return float(near), a
+
+
 def leaks_in(column: pa.Array, shard: Shard, least: float, question: float, answer: float):
     """(row, item position, score, question share, answer share) of verified leaks."""
     for low, _, data, offsets in tx.slices(tx.pc.utf8_lower(column)):
@@ -205,15 +248,19 @@ def leaks_in(column: pa.Array, shard: Shard, least: float, question: float, answ
             if d not in runs:
                 runs[d] = np.unique(h[edges[d] : edges[d + 1]])
             q, a = _share(shard.question[i], runs[d]), _share(shard.answer[i], runs[d])
+            if i in shard.short:
+                here = words.hashes[words.first[d] : words.first[d] + words.counts[d]]
+                q, a = _short_shares(q, a, shard.short[i], here, h[edges[d] : edges[d + 1]], shard, i)
             if (q >= question or q < 0) and (a >= answer or a < 0) and max(q, a) >= 0:
                 yield low + int(d), int(i), float(s), max(q, 0.0), None if a < 0 else a
 
 
 def split_item(text: str) -> tuple[str, str | None]:
     """Question and answer of an item with one text: the last sentence is the answer if it has RUN words."""
+    # Words are counted as runs count them.
     cut = max(text.rstrip(" .\n").rfind(". "), text.rstrip(" .\n").rfind(".\n"))
     question, answer = text[: cut + 1], text[cut + 1 :]
-    if cut < 0 or len(question.split()) < RUN or len(answer.split()) < RUN:
+    if cut < 0 or _words([question, answer]).counts.min() < RUN:
         return text, None
     return question, answer
 

@@ -110,3 +110,26 @@ def test_nulls_empty_and_repeated_rows(spark):
     nothing, none = frames(spark, [], [])
     assert dc.leaks(nothing, b).collect() == [] and dc.leaks(d, none).collect() == []
     assert dc.decontaminated(d, none).count() == 5 and dc.decontaminated(nothing, b).columns == d.columns
+
+
+def test_short_answers_and_questions(spark):
+    rng = random.Random(6)
+    q, a = prose(rng, 30), prose(rng, 12)
+    items = spark.createDataFrame(
+        [(1, q, "Paris"), (2, "Name it", a), (3, "Capital of France?", "Paris"), (4, "Is it", "so")], "item_id long, question string, answer string"
+    )
+    docs, _ = frames(spark, [
+        (1, f"{prose(rng, 300)} {q} paris. {prose(rng, 300)}"), (2, f"Q: {q} A: Paris"), (3, f"{q} London {prose(rng, 200)} Paris"),
+        (4, f"{q} Par is"), (5, f"{prose(rng, 90)} name it: {a}"), (6, f"Name {a} it"), (7, "Q: Capital of France? A: Paris"),
+        (8, f"Capital of France {prose(rng, 40)} Paris"), (9, "is it so"), (10, "Paris"), (11, None),
+    ], [])
+    got = {(r.doc_id, r.item_id) for r in dc.leaks(docs, items).collect()}
+    assert got == {(1, 1), (2, 1), (5, 2), (7, 3)}
+    assert sorted(r.doc_id for r in dc.decontaminated(docs, items).collect()) == [3, 4, 6, 8, 9, 10, 11]
+
+
+def test_a_formula_as_last_sentence(spark):
+    rng = random.Random(7)
+    text = prose(rng, 30).replace(".", "") + ". x + y = 3"
+    docs, items = frames(spark, [(1, f"{prose(rng, 100)} {text}"), (2, prose(rng, 100))], [(5, text)])
+    assert [(r.doc_id, r.item_id) for r in dc.leaks(docs, items).collect()] == [(1, 5)]
