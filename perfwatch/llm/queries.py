@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from perfwatch.llm import (
     decontaminate,
+    filter_audit,
     html_text,
     language_id,
     licenses,
@@ -69,16 +70,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 _QUERIES = (
     op1_decontamination, op2_language_id, op3_quality_rules, op4_license_scan, op5_near_duplicates, op6_mixing,
-    op7_secret_scan, op8_html_extraction, op9_sharding, op10_quality_classifier, pipeline,
+    op7_secret_scan, op8_html_extraction, op9_sharding, op10_quality_classifier, op13_filter_audit, pipeline,
 )
 _ORACLES = {
     "op3_quality_rules": sql.QUALITY_RULES, "op4_license_scan": sql.LICENSES, "op5_near_duplicates": sql.NEAR_DUPLICATES,
+    "op13_filter_audit": sql.FILTER_AUDIT,
 }
 
 

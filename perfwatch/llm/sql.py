@@ -159,3 +159,58 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        coalesce(score, 0)::DOUBLE AS score
 FROM docs LEFT JOIN found USING (rid)
 """
+
+FILTER_AUDIT = rf"""
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part,
+         regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w
+  FROM documents
+),
+judged AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id
+),
+firsts AS (SELECT text, min(doc_id) AS lowest FROM base GROUP BY text),
+fails AS (
+  SELECT part, good, toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > lowest THEN 'E' ELSE '' END AS failed
+  FROM base JOIN firsts USING (text) LEFT JOIN judged USING (doc_id)
+),
+kinds AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM fails GROUP BY ALL
+),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letter a JOIN letter b ON b.f <> a.f JOIN letter c ON c.f NOT IN (a.f, b.f) JOIN letter d ON d.f NOT IN (a.f, b.f, c.f)
+       JOIN letter e ON e.f NOT IN (a.f, b.f, c.f, d.f)
+),
+placed AS (
+  SELECT part, filter_order, step, filter_order[step] AS f, failed, n, good, toxic,
+         len(regexp_replace(filter_order, '[' || failed || '].*$', '')) + 1 AS gone
+  FROM (SELECT kinds.*, filter_order, unnest(range(1, 6)) AS step FROM kinds CROSS JOIN orders WHERE failed <> '')
+),
+steps AS (
+  SELECT part, filter_order, step, f,
+         sum(n) FILTER (gone = step) AS removed, sum(n) FILTER (gone < step AND contains(failed, f)) AS redundant,
+         sum(n) FILTER (gone <= step) AS gone, sum(n) FILTER (failed = f) AS alone,
+         sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+  FROM placed GROUP BY ALL
+),
+whole AS (SELECT part, sum(n) AS n FROM kinds GROUP BY part),
+grid AS (SELECT part, n, filter_order, unnest(range(1, 6)) AS step FROM whole CROSS JOIN orders),
+filled AS (
+  SELECT part, filter_order, step, filter_order[step] AS f, n - coalesce(gone, 0) AS kept, coalesce(removed, 0) AS removed,
+         coalesce(redundant, 0) AS redundant, coalesce(alone, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost,
+         coalesce(toxic_lost, 0) AS toxic_lost
+  FROM grid LEFT JOIN steps USING (part, filter_order, step)
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM filled
+"""
