@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from perfwatch.llm import (
+    collocations,
     decontaminate,
     filter_audit,
     html_text,
@@ -70,6 +71,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -80,11 +85,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     op1_decontamination, op2_language_id, op3_quality_rules, op4_license_scan, op5_near_duplicates, op6_mixing,
-    op7_secret_scan, op8_html_extraction, op9_sharding, op10_quality_classifier, op13_filter_audit, pipeline,
+    op7_secret_scan, op8_html_extraction, op9_sharding, op10_quality_classifier, op12_collocations, op13_filter_audit, pipeline,
 )
 _ORACLES = {
     "op3_quality_rules": sql.QUALITY_RULES, "op4_license_scan": sql.LICENSES, "op5_near_duplicates": sql.NEAR_DUPLICATES,
-    "op13_filter_audit": sql.FILTER_AUDIT,
+    "op12_collocations": sql.COLLOCATIONS, "op13_filter_audit": sql.FILTER_AUDIT,
 }
 
 

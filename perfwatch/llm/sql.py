@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from perfwatch.llm import licenses, near_duplicates, quality_rules
+from perfwatch.llm import collocations, licenses, near_duplicates, quality_rules
 
 _SPACED = r"'[^\x20\x09-\x0D]+'"
 
@@ -214,3 +214,44 @@ SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIG
        (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
 FROM filled
 """
+
+COLLOCATIONS = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM lists GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+grams AS (SELECT lang, w, i, unnest(range(1, {collocations.LONGEST + 1})) AS size FROM starts),
+f AS (
+  SELECT lang, w[i : i + size - 1] AS words, count(*) AS a FROM grams WHERE i + size - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= {collocations.LEAST}
+),
+chosen AS (SELECT * FROM f WHERE len(words) > 1),
+cuts AS (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM chosen),
+scored AS (
+  SELECT cuts.lang, cuts.words, cuts.a, k, x.a AS l, y.a AS r, n, (1000::HUGEINT * cuts.a * n) // (x.a::HUGEINT * y.a) AS score
+  FROM cuts JOIN totals USING (lang) JOIN f x ON x.lang = cuts.lang AND x.words = cuts.words[1 : k]
+       JOIN f y ON y.lang = cuts.lang AND y.words = cuts.words[k + 1 : len(cuts.words)]
+),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, words[i : i + size - 1] AS words, a
+  FROM (SELECT lang, words, a, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM (SELECT lang, words, a, unnest(range(2, len(words))) AS size FROM chosen))
+),
+alone AS (
+  SELECT * FROM weakest t WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts p WHERE p.lang = t.lang AND p.words = t.words AND 100 * p.a >= {collocations.WITHIN} * t.a
+  )
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank FROM alone
+)
+SELECT lang, rank::BIGINT AS rank, array_to_string(words, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= {collocations.TOP}
+"""
