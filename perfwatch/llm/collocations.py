@@ -30,11 +30,13 @@ from perfwatch.session import stage
 
 LONGEST, LEAST, WITHIN, TOP = 5, 100, 100, 2000
 #: Occurrences of a hash partition, about; its summary has a hundredth of it in counters at a threshold of 100.
-MASS = 8_000_000
+MASS = 1_000_000
 #: Bits of the bitmap of surviving phrases (4 MB); a fixed bound of what is sent to tasks.
 FILTER_BITS = 1 << 25
 #: Partial counts that a task holds before it passes them on.
 HELD = 1 << 21
+#: Each phrase sets two bits, taken from these places of its hash.
+_SHIFTS = 0, 30
 
 _IS_SEPARATOR = np.array([chr(b) in ".,;:!?" or 0x0A <= b <= 0x0D for b in range(256)])
 _IS_WORD = ~_IS_SEPARATOR & np.array([b not in (0x20, 0x09) for b in range(256)])
@@ -65,6 +67,7 @@ class _Grams:
         self.words = tx.Words(self.data, offsets, _IS_WORD)
         self.piece = np.cumsum(_IS_SEPARATOR[self.data])[self.words.start] if len(self.words.start) else np.zeros(0, np.int64)
         self.lang = langs[self.words.doc]
+        self.parts: dict[int, np.ndarray] = {}
 
     def hashes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash of the n words from each word on, whether they stand in one piece)."""
@@ -75,14 +78,31 @@ class _Grams:
         whole = (words.doc[:size] == words.doc[n - 1 :][:size]) & (self.piece[:size] == self.piece[n - 1 :][:size])
         return tx.mix(total + self.lang[:size] * _PLACES[63 - n]), whole
 
+    def open(self, n: int, bits: np.ndarray | None) -> np.ndarray:
+        """Whether all parts of one and two words of the n words from each word on have survived."""
+        size = max(0, len(self.words.hashes) - n + 1)
+        good = np.ones(size, bool)
+        for part in (1, 2):
+            if bits is not None and part < n:
+                if part not in self.parts:
+                    h, whole = self.hashes(part)
+                    self.parts[part] = whole & _known(bits, h) & self.open(part, bits)
+                for j in range(n - part + 1):
+                    good &= self.parts[part][j : j + size]
+        return good
+
     def phrase(self, at: int, n: int) -> str:
         words = self.words
         return b" ".join(self.data[words.start[i] : words.end[i]].tobytes() for i in range(at, at + n)).decode("utf-8", "replace")
 
 
 def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(FILTER_BITS - 1)
-    return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    """Whether both bits of each hash are set."""
+    known = np.ones(len(hashes), bool)
+    for shift in _SHIFTS:
+        place = hashes >> np.uint64(shift) & np.uint64(FILTER_BITS - 1)
+        known &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    return known
 
 
 def _lang_hashes(langs: list[str]) -> np.ndarray:
@@ -103,8 +123,6 @@ def _together(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _partial(lengths: tuple[int, ...], bits: np.ndarray | None):
     """Counts of phrases of these lengths whose shorter parts survive, (h, c), summed within a task."""
-    inner = min(lengths) - 1
-
     def run(batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []
         rows = 0
@@ -116,15 +134,9 @@ def _partial(lengths: tuple[int, ...], bits: np.ndarray | None):
             langs = _lang_hashes(batch.column("lang").to_pylist())
             for row, to, data, offsets in _runs(batch.column("text")):
                 grams = _Grams(data, offsets, langs[row:to])
-                good = None
-                if inner:
-                    h, whole = grams.hashes(inner)
-                    good = whole & _known(bits, h)
                 for n in lengths:
                     h, whole = grams.hashes(n)
-                    for j in range(n - inner + 1 if inner else 0):
-                        whole &= good[j : j + len(h)]
-                    values, counts = np.unique(h[whole], return_counts=True)
+                    values, counts = np.unique(h[whole & grams.open(n, bits)], return_counts=True)
                     held.append((values, counts.astype(np.int64)))
                     rows += len(values)
                 if rows > HELD:
@@ -142,14 +154,14 @@ def _partial(lengths: tuple[int, ...], bits: np.ndarray | None):
 class Summary:
     """Misra-Gries summaries of hash partitions.
 
-    ``p, h, c`` are the counters, ``lost`` what was taken from each counter of
-    a partition at most, ``capacity`` its number of counters.
+    ``p, h, c`` are the counters, at most ``capacity`` in a partition, ``lost``
+    what was taken from each counter of a partition at most.
     """
 
-    def __init__(self):
+    def __init__(self, capacity: int):
+        self.capacity = capacity
         self.p, self.h, self.c = (np.zeros(0, np.int64) for _ in range(3))
         self.lost: dict[int, int] = {}
-        self.capacity: dict[int, int] = {}
 
     def add(self, p: np.ndarray, h: np.ndarray, c: np.ndarray) -> None:
         """Merge counters: sum equal ones, then take the first count beyond the capacity from all of an overfull partition."""
@@ -161,28 +173,26 @@ class Summary:
         first = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (h[1:] != h[:-1])))
         p, h, c = p[first], h[first], np.add.reduceat(c, first)
         starts = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
-        for lo, hi in zip(starts, np.append(starts[1:], len(p)), strict=True):
-            room = self.capacity[int(p[lo])]
-            if hi - lo > room:
-                taken = int(np.partition(c[lo:hi], hi - lo - room - 1)[hi - lo - room - 1])
-                c[lo:hi] -= taken
+        sizes = np.diff(np.append(starts, len(p)))
+        for lo, size in zip(starts[sizes > self.capacity], sizes[sizes > self.capacity], strict=True):
+            over = c[lo : lo + size]
+            taken = int(np.partition(over, size - self.capacity - 1)[size - self.capacity - 1])
+            over -= taken
+            if taken:
                 self.lost[int(p[lo])] = self.lost.get(int(p[lo]), 0) + taken
         kept = c > 0
         self.p, self.h, self.c = p[kept], h[kept], c[kept]
 
 
-def _summaries(least: int, final: bool):
-    """Summaries (p, h, c, mass, lost) of such rows; with ``final`` only the phrases that may reach ``least``.
+def _summaries(capacity: int, least: int | None):
+    """Summaries (p, h, c, lost) of such rows; with ``least`` only the hashes of the phrases that may reach it.
 
-    What a summary has lost stands on a row of its own, with a count of 0.
+    What a partition has lost stands on a row of its own, with a count of 0.
     """
     def run(batches):
-        summary, held, rows = Summary(), [], 0
-        masses: dict[int, int] = {}
+        summary, held, rows = Summary(capacity), [], 0
         for batch in batches:
-            p, h, c, mass, lost = (batch.column(i).to_numpy() for i in range(5))
-            for x, m in set(zip(p.tolist(), mass.tolist(), strict=True)):
-                masses[x], summary.capacity[x] = m, m // least + 1
+            p, h, c, lost = (batch.column(i).to_numpy() for i in range(4))
             for i in np.flatnonzero(lost):
                 summary.lost[int(p[i])] = summary.lost.get(int(p[i]), 0) + int(lost[i])
             held.append((p[c > 0], h[c > 0], c[c > 0]))
@@ -193,37 +203,41 @@ def _summaries(least: int, final: bool):
         if held:
             summary.add(*(np.concatenate(x) for x in zip(*held, strict=True)))
         p, h, c = summary.p, summary.h, summary.c
-        if final:
+        if least is not None:
             lost = np.array([summary.lost.get(x, 0) for x in p.tolist()], np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(h[c + lost >= least])], names=["h"])
             return
-        gone = sorted(summary.lost)
-        p = np.concatenate([p, np.array(gone, np.int64)])
+        gone = list(summary.lost)
         none = np.zeros(len(gone), np.int64)
-        columns = p, np.concatenate([h, none]), np.concatenate([c, none]), np.array([masses[x] for x in p.tolist()], np.int64), np.concatenate(
-            [np.zeros(len(h), np.int64), np.array([summary.lost[x] for x in gone], np.int64)]
-        )
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["p", "h", "c", "mass", "lost"])
+        lost = np.concatenate([np.zeros(len(h), np.int64), np.array([summary.lost[x] for x in gone], np.int64)])
+        columns = np.concatenate([p, np.array(gone, np.int64)]), np.concatenate([h, none]), np.concatenate([c, none]), lost
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["p", "h", "c", "lost"])
 
     return run
 
 
 def survivors(partial: DataFrame, least: int = LEAST, mass: int = MASS) -> DataFrame:
-    """(h) of every phrase whose counts in ``partial`` (h, c; stored) sum to ``least`` or more, and of some others."""
-    total = partial.agg(F.sum("c")).first()[0] or 0
+    """(h) of every phrase whose counts in ``partial`` (h, c; stored) sum to ``least`` or more, and of some others.
+
+    A count that reaches ``least`` by itself needs no counter. The rest weighs
+    under ``least`` a row, so no partition outweighs the others by one phrase.
+    """
+    rest = partial.filter(F.col("c") < least)
+    total = rest.agg(F.sum("c")).first()[0] or 0
     parts = max(1, -(-total // mass))
-    rows = partial.select(F.pmod(F.shiftright("h", 20), F.lit(parts)).cast("long").alias("p"), "h", "c")
-    masses = rows.groupBy("p").agg(F.sum("c").alias("mass"))
-    schema = "p long, h long, c long, mass long, lost long"
-    local = rows.join(masses, "p").select("p", "h", "c", "mass", F.lit(0).cast("long").alias("lost")).mapInArrow(_summaries(least, False), schema)
-    return local.repartition("p").mapInArrow(_summaries(least, True), "h long")
+    rows = rest.select(F.pmod(F.shiftright("h", 20), F.lit(parts)).cast("long").alias("p"), "h", "c", F.lit(0).cast("long").alias("lost"))
+    largest = rows.groupBy("p").agg(F.sum("c").alias("mass")).agg(F.max("mass")).first()[0] or 0
+    capacity = largest // least + 1
+    local = rows.mapInArrow(_summaries(capacity, None), "p long, h long, c long, lost long")
+    merged = local.repartition("p").mapInArrow(_summaries(capacity, least), "h long")
+    return merged.union(partial.filter(F.col("c") >= least).select("h"))
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
     """Bits of ``hashes``, summed by word on the executors: FILTER_BITS / 64 rows at most."""
-    place = F.col("h").bitwiseAND(FILTER_BITS - 1)
-    words = hashes.groupBy(F.shiftright(place, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")
+    places = hashes.select(F.explode(F.array(*(F.shiftrightunsigned("h", i).bitwiseAND(FILTER_BITS - 1) for i in _SHIFTS))).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
     ).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
@@ -253,7 +267,7 @@ def _exact(longest: int, bits: np.ndarray):
                     words[langs[row + i]] = words.get(langs[row + i], 0) + n
                 for n in range(1, longest + 1):
                     h, whole = grams.hashes(n)
-                    at = np.flatnonzero(whole & _known(bits, h))
+                    at = np.flatnonzero(whole & _known(bits, h) & grams.open(n, bits))
                     values, first, counts = np.unique(h[at], return_index=True, return_counts=True)
                     for value, i, count in zip(values.tolist(), at[first].tolist(), counts.tolist(), strict=True):
                         if value in found:

@@ -130,11 +130,9 @@ def test_summaries_keep_every_frequent_item():
         rng.shuffle(items)
         exact = Counter(items.tolist())
         capacity = len(items) // least + 1
-        merged = co.Summary()
-        merged.capacity[0] = capacity
+        merged = co.Summary(capacity)
         for part in np.array_split(items, 9):
-            summary = co.Summary()
-            summary.capacity[0] = capacity
+            summary = co.Summary(capacity)
             for chunk in np.array_split(part, 4):
                 values, counts = np.unique(chunk, return_counts=True)
                 summary.add(np.zeros(len(values), np.int64), values, counts)
