@@ -14,8 +14,9 @@ its false hits, or a full bitmap, cost work and lose nothing.
 *Second pass.* Occurrences of surviving phrases are counted exactly, by their
 words, and scores are decimal arithmetic.
 
-Texts are read in whole pieces, a megabyte at a time; only partial counts are
-shuffled, so a word that is a third of all words is a row of each task.
+Texts are read in whole pieces, a megabyte at a time; only counts summed within
+a task are shuffled, packed by hash partition, so a word that is a third of all
+words is one entry of each task.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from perfwatch.session import stage
 LONGEST, LEAST, WITHIN, TOP = 5, 100, 100, 2000
 #: Occurrences of a hash partition, about; its summary has a hundredth of it in counters at a threshold of 100.
 MASS = 1_000_000
+BYTES_A_WORD = 4
 #: Bits of the bitmap of surviving phrases (4 MB); a fixed bound of what is sent to tasks.
 FILTER_BITS = 1 << 25
 #: Partial counts that a task holds before it passes them on.
@@ -91,9 +93,9 @@ class _Grams:
                     good &= self.parts[part][j : j + size]
         return good
 
-    def phrase(self, at: int, n: int) -> str:
+    def phrase(self, at: int, n: int) -> bytes:
         words = self.words
-        return b" ".join(self.data[words.start[i] : words.end[i]].tobytes() for i in range(at, at + n)).decode("utf-8", "replace")
+        return b" ".join(self.data[words.start[i] : words.end[i]].tobytes() for i in range(at, at + n))
 
 
 def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -121,15 +123,40 @@ def _together(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values, np.bincount(at, c, len(values)).astype(np.int64)
 
 
-def _partial(lengths: tuple[int, ...], bits: np.ndarray | None):
-    """Counts of phrases of these lengths whose shorter parts survive, (h, c), summed within a task."""
+def _packed(p: np.ndarray, h: np.ndarray, c: np.ndarray, least: int, lost: dict[int, int] | None = None) -> pa.RecordBatch:
+    """One row for each partition, its hashes and counts as bytes; ``light`` sums the counts under ``least``."""
+    order = np.argsort(p, kind="stable")
+    p, h, c = p[order], h[order], c[order].astype(np.int64)
+    lost = lost or {}
+    parts = np.union1d(p, np.array(list(lost), np.int64))
+    edges = np.searchsorted(p, parts), np.searchsorted(p, parts, "right")
+    spans = list(zip(*edges, strict=True))
+    columns = (
+        pa.array(parts), pa.array([h[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([c[x:y].tobytes() for x, y in spans], pa.binary()),
+        pa.array([int(c[x:y][c[x:y] < least].sum()) for x, y in spans], pa.int64()), pa.array([lost.get(int(x), 0) for x in parts], pa.int64()),
+    )
+    return pa.RecordBatch.from_arrays(list(columns), names=["p", "h", "c", "light", "lost"])
+
+
+_PACKED = "p long, h binary, c binary, light long, lost long"
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    h, c = (b"".join(batch.column(i).to_pylist()) for i in ("h", "c"))
+    sizes = np.array([len(x) // 8 for x in batch.column("h").to_pylist()], np.int64)
+    return np.repeat(batch.column("p").to_numpy(), sizes), np.frombuffer(h, np.uint64), np.frombuffer(c, np.int64)
+
+
+def _part(h: np.ndarray, parts: int) -> np.ndarray:
+    return ((h >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+
+
+def _partial(lengths: tuple[int, ...], bits: np.ndarray | None, parts: int, least: int):
+    """Counts of phrases of these lengths whose shorter parts survive, summed within a task, by hash partition."""
     def run(batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []
         rows = 0
 
-        def batch_of(h, c):
-            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], names=["h", "c"])
-
         for batch in batches:
             langs = _lang_hashes(batch.column("lang").to_pylist())
             for row, to, data, offsets in _runs(batch.column("text")):
@@ -143,10 +170,11 @@ def _partial(lengths: tuple[int, ...], bits: np.ndarray | None):
                     held = [_together(*(np.concatenate(x) for x in zip(*held, strict=True)))]
                     rows = len(held[0][0])
                     if rows > HELD // 2:
-                        yield batch_of(*held[0])
+                        yield _packed(_part(held[0][0], parts), *held[0], least)
                         held, rows = [], 0
         if held:
-            yield batch_of(*_together(*(np.concatenate(x) for x in zip(*held, strict=True))))
+            h, c = _together(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield _packed(_part(h, parts), h, c, least)
 
     return run
 
@@ -160,7 +188,7 @@ class Summary:
 
     def __init__(self, capacity: int):
         self.capacity = capacity
-        self.p, self.h, self.c = (np.zeros(0, np.int64) for _ in range(3))
+        self.p, self.h, self.c = (np.zeros(0, t) for t in (np.int64, np.uint64, np.int64))
         self.lost: dict[int, int] = {}
 
     def add(self, p: np.ndarray, h: np.ndarray, c: np.ndarray) -> None:
@@ -184,53 +212,54 @@ class Summary:
         self.p, self.h, self.c = p[kept], h[kept], c[kept]
 
 
-def _summaries(capacity: int, least: int | None):
-    """Summaries (p, h, c, lost) of such rows; with ``least`` only the hashes of the phrases that may reach it.
+def _summaries(capacity: int, least: int, final: bool):
+    """Summaries of packed counts; with ``final`` the hashes (h) of the phrases that may reach ``least``.
 
-    What a partition has lost stands on a row of its own, with a count of 0.
+    A count that reaches ``least`` by itself needs no counter and passes at once.
     """
     def run(batches):
-        summary, held, rows = Summary(capacity), [], 0
+        summary, held, rows, sure = Summary(capacity), [], 0, []
+
+        def merge():
+            summary.add(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held.clear()
+
         for batch in batches:
-            p, h, c, lost = (batch.column(i).to_numpy() for i in range(4))
-            for i in np.flatnonzero(lost):
-                summary.lost[int(p[i])] = summary.lost.get(int(p[i]), 0) + int(lost[i])
-            held.append((p[c > 0], h[c > 0], c[c > 0]))
+            for x, n in zip(batch.column("p").to_pylist(), batch.column("lost").to_pylist(), strict=True):
+                if n:
+                    summary.lost[x] = summary.lost.get(x, 0) + n
+            p, h, c = _unpacked(batch)
+            light = c < least
+            sure.append((p[~light], h[~light], c[~light]))
+            held.append((p[light], h[light], c[light]))
             rows += len(p)
             if rows > HELD:
-                summary.add(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                held, rows = [], 0
+                merge()
+                rows = 0
         if held:
-            summary.add(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            merge()
         p, h, c = summary.p, summary.h, summary.c
-        if least is not None:
+        if final:
             lost = np.array([summary.lost.get(x, 0) for x in p.tolist()], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h[c + lost >= least])], names=["h"])
+            found = np.concatenate([h[c + lost >= least], *(x[1] for x in sure)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(found).view(np.int64))], names=["h"])
             return
-        gone = list(summary.lost)
-        none = np.zeros(len(gone), np.int64)
-        lost = np.concatenate([np.zeros(len(h), np.int64), np.array([summary.lost[x] for x in gone], np.int64)])
-        columns = np.concatenate([p, np.array(gone, np.int64)]), np.concatenate([h, none]), np.concatenate([c, none]), lost
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["p", "h", "c", "lost"])
+        columns = [np.concatenate(x) for x in zip((p, h, c), *sure, strict=True)]
+        yield _packed(*columns, least, summary.lost)
 
     return run
 
 
-def survivors(partial: DataFrame, least: int = LEAST, mass: int = MASS) -> DataFrame:
-    """(h) of every phrase whose counts in ``partial`` (h, c; stored) sum to ``least`` or more, and of some others.
+def survivors(partial: DataFrame, least: int = LEAST) -> DataFrame:
+    """(h) of every phrase whose counts in ``partial`` (packed and stored) sum to ``least`` or more, and of some others.
 
-    A count that reaches ``least`` by itself needs no counter. The rest weighs
-    under ``least`` a row, so no partition outweighs the others by one phrase.
+    Counts under ``least`` alone take part in summaries, so no partition
+    outweighs the others by one phrase.
     """
-    rest = partial.filter(F.col("c") < least)
-    total = rest.agg(F.sum("c")).first()[0] or 0
-    parts = max(1, -(-total // mass))
-    rows = rest.select(F.pmod(F.shiftright("h", 20), F.lit(parts)).cast("long").alias("p"), "h", "c", F.lit(0).cast("long").alias("lost"))
-    largest = rows.groupBy("p").agg(F.sum("c").alias("mass")).agg(F.max("mass")).first()[0] or 0
+    largest = partial.groupBy("p").agg(F.sum("light").alias("mass")).agg(F.max("mass")).first()[0] or 0
     capacity = largest // least + 1
-    local = rows.mapInArrow(_summaries(capacity, None), "p long, h long, c long, lost long")
-    merged = local.repartition("p").mapInArrow(_summaries(capacity, least), "h long")
-    return merged.union(partial.filter(F.col("c") >= least).select("h"))
+    local = partial.mapInArrow(_summaries(capacity, least, False), _PACKED)
+    return local.repartition("p").mapInArrow(_summaries(capacity, least, True), "h long")
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -244,19 +273,29 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return bits.view(np.uint8)
 
 
-def _exact(longest: int, bits: np.ndarray):
-    """(lang, phrase, size, a) of the surviving phrases, counted within a task; size 0 stands for all words."""
+def _exact(longest: int, bits: np.ndarray, parts: int):
+    """Surviving phrases counted within a task: a row for each hash partition and language.
+
+    ``phrases`` are joined by line ends, which no phrase holds. The empty one stands for all words.
+    """
     def run(batches):
         found: dict[int, list] = {}
         words: dict[str, int] = {}
 
         def flush():
-            rows = [*found.values(), *((lang, "", 0, n) for lang, n in words.items())]
+            rows = [(0, lang, b"", [n]) for lang, n in words.items()]
+            grouped: dict[tuple[int, str], tuple[list[bytes], list[int]]] = {}
+            values = np.fromiter(found, np.uint64, len(found))
+            for p, (lang, phrase, n) in zip(_part(values, parts).tolist(), found.values(), strict=True):
+                phrases, counts = grouped.setdefault((p, lang), ([], []))
+                phrases.append(phrase)
+                counts.append(n)
+            rows += [(p, lang, b"\n".join(phrases), counts) for (p, lang), (phrases, counts) in grouped.items()]
             found.clear()
             words.clear()
             columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            types = pa.string(), pa.string(), pa.int32(), pa.int64()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["lang", "phrase", "size", "a"])
+            types = pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["p", "lang", "phrases", "counts"])
 
         for batch in batches:
             langs = batch.column("lang").to_pylist()
@@ -271,30 +310,50 @@ def _exact(longest: int, bits: np.ndarray):
                     values, first, counts = np.unique(h[at], return_index=True, return_counts=True)
                     for value, i, count in zip(values.tolist(), at[first].tolist(), counts.tolist(), strict=True):
                         if value in found:
-                            found[value][3] += count
+                            found[value][2] += count
                         else:
-                            found[value] = [langs[row + int(grams.words.doc[i])], grams.phrase(i, n), n, count]
-                if len(found) > HELD // 8:
+                            found[value] = [langs[row + int(grams.words.doc[i])], grams.phrase(i, n), count]
+                if len(found) > HELD // 4:
                     yield flush()
         yield flush()
 
     return run
 
 
-def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+def _added(least: int):
+    """(lang, phrase, size, a): the sums of such counts, for phrases with ``least`` or more and for all words (size 0)."""
+    def run(batches):
+        sums: dict[str, dict[bytes, int]] = {}
+        for batch in batches:
+            for lang, phrases, counts in zip(*(batch.column(i).to_pylist() for i in ("lang", "phrases", "counts")), strict=True):
+                own = sums.setdefault(lang, {})
+                for phrase, n in zip(phrases.split(b"\n"), counts, strict=True):
+                    own[phrase] = own.get(phrase, 0) + n
+        rows = [
+            (lang, phrase.decode("utf-8", "replace"), phrase.count(b" ") + 1 if phrase else 0, n)
+            for lang, own in sums.items() for phrase, n in own.items() if n >= least or not phrase
+        ]
+        columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+        types = pa.string(), pa.string(), pa.int32(), pa.int64()
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["lang", "phrase", "size", "a"])
+
+    return run
+
+
+def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, mass: int = MASS) -> DataFrame:
     """(lang, phrase, size, a): all phrases of 1 to ``longest`` words that occur ``least`` times or more in a language, exactly.
 
     A row of size 0 and an empty phrase has the words of each language.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    parts = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (BYTES_A_WORD * mass)
     bits = None
     for lengths in [x for x in ((1,), (2,), tuple(range(3, longest + 1))) if x and max(x) <= longest]:
-        partial = stage(texts.mapInArrow(_partial(lengths, bits), "h long, c long"), "grams")
+        partial = stage(texts.mapInArrow(_partial(lengths, bits, parts, least), _PACKED), "grams")
         found = _bitmap(survivors(partial, least))
         bits = found if bits is None else bits | found
-    counted = texts.mapInArrow(_exact(longest, bits), "lang string, phrase string, size int, a long")
-    whole = counted.groupBy("lang", "phrase", "size").agg(F.sum("a").alias("a"))
-    return whole.filter((F.col("a") >= least) | (F.col("size") == 0))
+    counted = texts.mapInArrow(_exact(longest, bits, parts), "p long, lang string, phrases binary, counts array<long>")
+    return counted.repartition("p").mapInArrow(_added(least), "lang string, phrase string, size int, a long")
 
 
 def collocations(

@@ -79,7 +79,7 @@ def test_same_rows_with_many_partitions_and_small_summaries(spark, monkeypatch):
     docs = corpus(3, 200)
     expected = brute_force(docs, 5, 10, 100, 2000)
     monkeypatch.setattr(co, "HELD", 64)
-    monkeypatch.setattr(co.survivors, "__defaults__", (co.LEAST, 300))
+    monkeypatch.setattr(co.frequent_phrases, "__defaults__", (co.LONGEST, co.LEAST, 100))
     assert result(spark, docs, least=10) == expected
 
 
@@ -135,7 +135,7 @@ def test_summaries_keep_every_frequent_item():
             summary = co.Summary(capacity)
             for chunk in np.array_split(part, 4):
                 values, counts = np.unique(chunk, return_counts=True)
-                summary.add(np.zeros(len(values), np.int64), values, counts)
+                summary.add(np.zeros(len(values), np.int64), values.astype(np.uint64), counts)
                 assert len(summary.h) <= capacity
             merged.lost[0] = merged.lost.get(0, 0) + summary.lost.get(0, 0)
             merged.add(summary.p, summary.h, summary.c)
