@@ -21,6 +21,7 @@ from perfwatch.llm import (
     secret_scan,
     sharding,
     sql,
+    vector_graph,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
@@ -85,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     op1_decontamination, op2_language_id, op3_quality_rules, op4_license_scan, op5_near_duplicates, op6_mixing,
-    op7_secret_scan, op8_html_extraction, op9_sharding, op10_quality_classifier, op12_collocations, op13_filter_audit, pipeline,
+    op7_secret_scan, op8_html_extraction, op9_sharding, op10_quality_classifier, op11_vector_duplicates, op12_collocations, op13_filter_audit, pipeline,
 )
 _ORACLES = {
     "op3_quality_rules": sql.QUALITY_RULES, "op4_license_scan": sql.LICENSES, "op5_near_duplicates": sql.NEAR_DUPLICATES,
