@@ -37,8 +37,10 @@ BYTES_A_WORD = 4
 FILTER_BITS = 1 << 25
 #: Partial counts that a task holds before it passes them on.
 HELD = 1 << 21
-#: Each phrase sets two bits, taken from these places of its hash.
-_SHIFTS = 0, 30
+#: Each phrase sets two bits, taken from these places of its hash. Counters are kept by the 48 bits that both
+#: have; phrases that share them share a counter, which loses none. The exact pass uses whole hashes and words.
+_SHIFTS = 0, 23
+_KEPT = np.uint64((1 << 48) - 1)
 
 _IS_SEPARATOR = np.array([chr(b) in ".,;:!?" or 0x0A <= b <= 0x0D for b in range(256)])
 _IS_WORD = ~_IS_SEPARATOR & np.array([b not in (0x20, 0x09) for b in range(256)])
@@ -131,8 +133,10 @@ def _packed(p: np.ndarray, h: np.ndarray, c: np.ndarray, least: int, lost: dict[
     parts = np.union1d(p, np.array(list(lost), np.int64))
     edges = np.searchsorted(p, parts), np.searchsorted(p, parts, "right")
     spans = list(zip(*edges, strict=True))
+    six = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    short = np.minimum(c, (1 << 32) - 1).astype("<u4")
     columns = (
-        pa.array(parts), pa.array([h[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([c[x:y].tobytes() for x, y in spans], pa.binary()),
+        pa.array(parts), pa.array([six[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([short[x:y].tobytes() for x, y in spans], pa.binary()),
         pa.array([int(c[x:y][c[x:y] < least].sum()) for x, y in spans], pa.int64()), pa.array([lost.get(int(x), 0) for x in parts], pa.int64()),
     )
     return pa.RecordBatch.from_arrays(list(columns), names=["p", "h", "c", "light", "lost"])
@@ -143,8 +147,11 @@ _PACKED = "p long, h binary, c binary, light long, lost long"
 
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, c = (b"".join(batch.column(i).to_pylist()) for i in ("h", "c"))
-    sizes = np.array([len(x) // 8 for x in batch.column("h").to_pylist()], np.int64)
-    return np.repeat(batch.column("p").to_numpy(), sizes), np.frombuffer(h, np.uint64), np.frombuffer(c, np.int64)
+    counts = np.frombuffer(c, "<u4").astype(np.int64)
+    hashes = np.zeros((len(counts), 8), np.uint8)
+    hashes[:, :6] = np.frombuffer(h, np.uint8).reshape(-1, 6)
+    sizes = np.array([len(x) // 4 for x in batch.column("c").to_pylist()], np.int64)
+    return np.repeat(batch.column("p").to_numpy(), sizes), hashes.view("<u8").ravel(), counts
 
 
 def _part(h: np.ndarray, parts: int) -> np.ndarray:
@@ -163,7 +170,7 @@ def _partial(lengths: tuple[int, ...], bits: np.ndarray | None, parts: int, leas
                 grams = _Grams(data, offsets, langs[row:to])
                 for n in lengths:
                     h, whole = grams.hashes(n)
-                    values, counts = np.unique(h[whole & grams.open(n, bits)], return_counts=True)
+                    values, counts = np.unique(h[whole & grams.open(n, bits)] & _KEPT, return_counts=True)
                     held.append((values, counts.astype(np.int64)))
                     rows += len(values)
                 if rows > HELD:
