@@ -35,15 +35,14 @@ _letters: list[np.ndarray] = []
 
 def _is_letter() -> np.ndarray:
     if not _letters:
-        _letters.append(np.array([chr(c).isalpha() for c in range(0x30000)] + [False]))
+        _letters.append(np.array([chr(c).isalpha() for c in range(0x110000)]))
     return _letters[0]
 
 
 def grams(text: str) -> np.ndarray | None:
     """Hashed 1-, 2- and 3-grams of a text; None if it has no letter."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    table = _is_letter()
-    letter = table[np.minimum(codes, len(table) - 1)]
+    letter = _is_letter()[codes]
     if not letter.any():
         return None
     c = np.zeros(len(codes) + 2, np.uint32)

@@ -39,7 +39,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def tokens(text: str = "text") -> Column:
     """Words between ASCII white space."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", "")
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, r"[\x20\x09-\x0D]+"))).cast("long")
 
 

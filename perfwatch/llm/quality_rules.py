@@ -37,7 +37,7 @@ RULES: dict[str, tuple[str, list[float]]] = {
 
 
 def words(text: str = "text") -> Column:
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"\A{SPACE}+|{SPACE}+\z", "")
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{SPACE}+"))
 
 

@@ -75,3 +75,10 @@ def test_temperature_recovers_the_scale():
     logits = rng.normal(0, 2, (20000, 3))
     truth = np.array([rng.choice(3, p=p) for p in li._softmax(logits)])
     assert li.temperature(3 * logits, truth) == pytest.approx(3, rel=0.1)
+
+
+def test_letters_of_all_planes():
+    for letter in ("\U00030000", "\U00031350", "a", "é", "中"):
+        assert letter.isalpha() and li.grams(letter) is not None
+    for other in ("", "12 .", "\U0010ffff", "\U000e0001"):
+        assert li.grams(other) is None

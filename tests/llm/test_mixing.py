@@ -103,3 +103,9 @@ def test_a_budget_is_met_with_cells_kept_whole(spark):
     rows = [*corpus(6, 6000), (9999, "w " * 5, "odd", "b", "u")]
     r = mx.mixture(frame(spark, rows), share=0.6).agg(F.sum("tokens").alias("n"), F.sum(F.col("tokens") * F.col("probability")).alias("k")).first()
     assert r.k / r.n == pytest.approx(0.6, abs=1e-6)
+
+
+def test_other_line_ends_are_words(spark):
+    texts = [f"abc {end}" for end in "\u0085\u2028\u2029"] + ["a\u2028", " a \n", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["n"] for r in frame.orderBy("doc_id").select(mx.tokens().alias("n")).collect()] == [2, 2, 2, 1, 1, 0]

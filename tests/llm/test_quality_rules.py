@@ -38,7 +38,7 @@ def brute(text):
 
 def test_counts_equal_brute_force(spark):
     rng = random.Random(6)
-    texts = [None, "", " \n ", "a", "a b c", "a b c a b c", "a a a a a", "x\n\nx\n x\nx", "é|ü b\tc\x0bd\r\ne#", " x　y"]
+    texts = [None, "", " \n ", "a", "a b c", "a b c a b c", "a a a a a", "x\n\nx\n x\nx", "é|ü b\tc\x0bd\r\ne#", "\u2028x　y"]
     for _ in range(60):
         texts.append("".join(rng.choice(["a ", "b ", "c\n", "d\n", "é#* ", "\t"]) for _ in range(rng.randrange(120))))
     texts.append("long " + " ".join(str(rng.randrange(300)) for _ in range(60_000)))
@@ -92,3 +92,10 @@ def test_nulls_repeats_and_empty_tables_as_in_sql(spark, tmp_path):
     assert any(not r[-1] and not r[-2] for r in want)
     none = frame(spark, [])
     assert q.judge(none, marks).collect() == [] and q.judge(docs, labels(spark, [])).count() == docs.count()
+
+
+def test_other_line_ends_are_words(spark):
+    """U+0085, U+2028 and U+2029 at the end of a text are no white space of the rules."""
+    texts = [f"abc {end}" for end in "\u0085\u2028\u2029"] + ["a b \u2028 ", "\u2029 a", "a\u2028", " a \n", "\u2028"]
+    found = q.counts(frame(spark, [(i, t, "en") for i, t in enumerate(texts)]), "doc_id").collect()
+    assert {r["doc_id"]: r["n_words"] for r in found} == {i: brute(t)[0] for i, t in enumerate(texts)}
