@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfwatch.functions.scalars import part_of
-from perfwatch.operators.ordering import Layout, group_sizes, join_on
+from perfwatch.operators.ordering import Layout, by_group_size, group_sizes, join_on
 from perfwatch.operators.quantile import exact_quantiles
 from perfwatch.operators.validation import check_prefix_fraction
 
@@ -38,6 +38,7 @@ def training_prefix(df: DataFrame, keys: list[str], fraction: float = 0.70, pos:
     return sized.where(in_prefix(F.col("n"), F.col(pos), fraction))
 
 
+@by_group_size
 def thresholds(
     df: DataFrame, layout: Layout, quantile: float = 0.95, fraction: float = 0.70, pos: str = "seq"
 ) -> DataFrame:
@@ -84,6 +85,7 @@ def apply_thresholds(df: DataFrame, limits: DataFrame, keys: list[str]) -> DataF
     )
 
 
+@by_group_size
 def label(
     df: DataFrame, layout: Layout, quantile: float = 0.95, fraction: float = 0.70, pos: str = "seq"
 ) -> DataFrame:

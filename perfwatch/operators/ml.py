@@ -22,14 +22,18 @@ BASELINE = "dummy"
 MODELS = (BASELINE, "random_forest", "hist_gradient_boosting")
 
 
+def medians_of(rows: DataFrame, columns: list[str], layout: Layout | None = None) -> dict[str, float | None]:
+    """The exact median of each column; None for one without values."""
+    found = exact_quantiles(rows, layout or measure(rows, []), {c: (c, 0.5) for c in columns}).first()
+    return found.asDict()
+
+
 def median_impute(df: DataFrame, columns: list[str], fit_rows: Column, layout: Layout | None = None) -> DataFrame:
     """Replace NULLs by the exact median of the ``fit_rows``.
 
     A column without any value among the fit rows is dropped.
     """
-    fitted = df.where(fit_rows)
-    layout = layout or measure(fitted, [])
-    medians = exact_quantiles(fitted.select(*columns), layout, {c: (c, 0.5) for c in columns}).first()
+    medians = medians_of(df.where(fit_rows).select(*columns), columns, layout)
     kept = [c for c in columns if medians[c] is not None]
     gone = [c for c in columns if medians[c] is None]
     return df.drop(*gone).withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in kept})
@@ -108,8 +112,8 @@ def prepare(dataset: DataFrame, target: str, task: str) -> Prepared:
     y = F.col(target).cast("int" if task == "classification" else "double").cast("double")
     typed = dataset.withColumn("y_true", y).selectExpr("split", "y_true", *[f"double(`{c}`) AS `{c}`" for c in names])
     train = typed.where("split = 'train'")
-    # one pass: mergeable median sketches; a column without values has none
-    medians = train.agg(*[F.expr(f"percentile_approx(`{c}`, 0.5D, 10000) AS `{c}`") for c in names]).first()
+    # exact; a column without values has none
+    medians = medians_of(train.select(*names), names) if names else {}
     features = [c for c in names if medians[c] is not None]
     filled = ", ".join(f"coalesce(`{c}`, {float(medians[c])!r}D) AS `{c}__filled`" for c in features)
     pipeline = PipelineModel([

@@ -1,17 +1,20 @@
 """Ordered work inside a sample without putting a whole sample in one task.
 
 A sample (one trace or run) is the unit of time order, and one sample may hold
-a large part of all rows. ``measure`` counts the largest group once. When every
-group fits a task, a plain window over the key is the cheapest plan (one
-exchange). Otherwise rows are range-partitioned on (key, order), numbered from
-the partition offsets, and window functions run on fixed-length chunks of the
-order that carry the few neighbouring rows their frames need.
+a large part of all rows. ``measure`` counts the groups once. Groups that fit a
+task take a plain window over the key, the cheapest plan (one exchange). The
+others are listed, and only their rows are range-partitioned on (key, order),
+numbered from the partition offsets, and windowed on fixed-length chunks of the
+order that carry the few neighbouring rows their frames need. ``by_group_size``
+sends each row down its way once, for a whole chain of such steps.
 """
 
 from __future__ import annotations
 
+import functools
+import inspect
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -25,16 +28,52 @@ CHUNK_ROWS = 250_000
 
 @dataclass(frozen=True)
 class Layout:
-    """How the rows of one group are spread: one window partition, or chunks."""
+    """How the rows of one group are spread: one window partition, or chunks.
+
+    With ``heavy`` (one row of keys for each large group) only these groups are
+    split; without it a split layout splits all.
+    """
 
     keys: tuple[str, ...]
     split: bool = False
     chunk: int = CHUNK_ROWS
+    heavy: DataFrame | None = field(default=None, compare=False)
 
     def by(self, *keys: str) -> "Layout":
         return Layout(keys, self.split, self.chunk)
 
 
+def by_group_size(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Decorator: small groups take the plain layout, large ones the split one, and the results are united.
+
+    ``build(df, layout, ...)`` must treat each group by itself. Steps called
+    within it find their layout settled, so a chain of steps is routed once.
+    The list of large groups has at most rows / limit entries.
+    """
+    place = list(inspect.signature(build).parameters).index("layout")
+
+    @functools.wraps(build)
+    def routed(df: DataFrame, *args, **named) -> DataFrame:
+        args = [df, *args]
+        layout = named["layout"] if "layout" in named else args[place] if place < len(args) else None
+        if layout is None or not layout.split or layout.heavy is None:
+            return build(*args, **named)
+
+        def over(rows: DataFrame, own: Layout) -> DataFrame:
+            given = [rows, *args[1:]]
+            if "layout" in named:
+                return build(*given, **(named | {"layout": own}))
+            given[place] = own
+            return build(*given, **named)
+
+        keys = list(layout.keys)
+        small = over(join_on(df, layout.heavy, keys, "left_anti"), Layout(layout.keys))
+        large = over(join_on(df, layout.heavy, keys, "left_semi"), replace(layout, heavy=None))
+        return small.unionByName(large)
+
+    return routed
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys meet each other, as they do in a window or a grouping."""
     keys = list(keys)
@@ -48,24 +87,34 @@ def fits_task(rows: int, limit: int | None = None) -> bool:
     return rows <= (GROUP_LIMIT if limit is None else limit)
 
 
+def _layout(counts: DataFrame, keys: tuple[str, ...], size: str, limit: int | None) -> Layout:
+    """Plain if the largest count fits a task; else with the stored keys of those that do not."""
+    biggest = counts.agg(F.max(size)).first()[0] or 0
+    if fits_task(biggest, limit):
+        return Layout(keys)
+    over = counts.where(F.col(size) > (GROUP_LIMIT if limit is None else limit)).select(*keys)
+    return Layout(keys, True, heavy=stage(over, "heavy"))
+
+
 def measure(df: DataFrame, keys: list[str] | tuple[str, ...], limit: int | None = None) -> Layout:
-    """Count the largest group (map-side combined; one number reaches the driver)."""
+    """Count the groups (map-side combined; one number reaches the driver)."""
     if keys:
-        biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    else:
-        biggest = df.count()
-    return Layout(tuple(keys), not fits_task(biggest, limit))
+        return _layout(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")), tuple(keys), "count", limit)
+    return Layout((), not fits_task(df.count(), limit))
 
 
 def measure_nested(
     df: DataFrame, outer: list[str], inner: list[str], limit: int | None = None
 ) -> tuple[Layout, Layout]:
     """Layouts of the inner groups, and of the outer groups over one row per inner group."""
-    sizes = df.groupBy(*inner).count().groupBy(*outer).agg(F.max("count").alias("a"), F.count("count").alias("b"))
+    counts = df.groupBy(*inner).agg(F.count(F.lit(1)).alias("count"))
+    sizes = counts.groupBy(*outer).agg(F.max("count").alias("a"), F.count("count").alias("b"))
     rows, groups = sizes.agg(F.max("a"), F.max("b")).first()
-    return Layout(tuple(inner), not fits_task(rows or 0, limit)), Layout(tuple(outer), not fits_task(groups or 0, limit))
+    inside = Layout(tuple(inner)) if fits_task(rows or 0, limit) else _layout(counts, tuple(inner), "count", limit)
+    return inside, Layout(tuple(outer)) if fits_task(groups or 0, limit) else _layout(sizes, tuple(outer), "b", limit)
 
 
+@by_group_size
 def positions(
     df: DataFrame,
     layout: Layout,
@@ -110,6 +159,7 @@ def positions(
     return out.drop("__place", "__part", "__first", "__rows", "__before", "__total")
 
 
+@by_group_size
 def in_order(
     df: DataFrame,
     layout: Layout,
@@ -145,6 +195,7 @@ def group_sizes(df: DataFrame, keys: list[str], total: str = "n") -> DataFrame:
     return join_on(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(total)), keys)
 
 
+@by_group_size
 def running_total(
     df: DataFrame, layout: Layout, order: list[str], value: str, out: str = "running"
 ) -> DataFrame:

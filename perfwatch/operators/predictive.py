@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from perfwatch.functions.scalars import part_of
 from perfwatch.operators.families import numeric_columns
-from perfwatch.operators.ordering import Layout, in_order, positions
+from perfwatch.operators.ordering import Layout, by_group_size, in_order, positions
 from perfwatch.operators.validation import check_split_fractions
 
 # Target name of each source; the names keep t_plus_1 for any horizon.
@@ -20,6 +20,7 @@ TARGETS = {
     "p95_latency": "target_p95_latency_t_plus_1",
     "label_trace": "target_label_trace_t_plus_1",
 }
+# Columns that get no lags.
 NOT_LAGGED = [
     "window_id", "trace_id", "label_trace",
     "latency_anomaly", "cpu_anomaly", "memory_anomaly", "system_anomaly",
@@ -101,6 +102,7 @@ def chronological_split(
     return df.withColumn("split", split_of(F.col("pos") - n_lags, rows, train, val))
 
 
+@by_group_size
 def predictive_dataset(
     labelled: DataFrame,
     layout: Layout,

@@ -1,25 +1,26 @@
 """Exact linear-interpolated quantiles of groups of any size.
 
-Groups that fit a task use the built-in exact ``percentile``. Larger ones are
-solved in two passes over the data: a sketch brackets the wanted rank, then
-only the values inside the bracket are counted, so no task ever holds a group.
-A bracket that misses its rank is detected and solved by a distributed sort.
+Groups that fit a task use the built-in exact ``percentile``. The ranks of
+larger ones are found by refining histograms: values between the least and the
+greatest candidate are counted in ``BINS`` bins, the bin that holds the rank
+gives the next candidates, and so on until only equal values are left. A round
+is a map-side combined count of at most BINS rows a task, group and quantile;
+from the second round on it reads only the values of the chosen bins. No task
+holds a group, and nothing is sorted but the bins of one quantile.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfwatch.operators.ordering import Layout, join_on, positions
+from perfwatch.operators.ordering import Layout, by_group_size, join_on
 from perfwatch.session import stage
 
-SKETCH_ACCURACY = 20_000
-BRACKET = 0.0005
+BINS = 1024
 
 
+@by_group_size
 def exact_quantiles(
     df: DataFrame, layout: Layout, wanted: dict[str, tuple[str, float]]
 ) -> DataFrame:
@@ -30,82 +31,57 @@ def exact_quantiles(
             *[F.percentile(column, F.lit(float(q))).alias(name) for name, (column, q) in wanted.items()]
         )
     values = df.select(*keys, *[F.col(c).cast("double").alias(n) for n, (c, _) in wanted.items()])
-    found = stage(_by_bracket(values, keys, {n: q for n, (_, q) in wanted.items()}), "quantiles")
-    missed = found.where("missed")
-    if not missed.isEmpty():
-        found = found.where("not missed").unionByName(_by_sort(values, keys, missed), allowMissingColumns=True)
-    return found.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in wanted]
-    )
+    ends = _ranks(values, keys, wanted)
+    place = (F.col("n") - 1).cast("double") * F.col("q")
+    met = ends.groupBy(*keys, "name", "q", "n").agg(F.min("value").alias("a"), F.max("value").alias("b"))
+    between = F.col("a") + (place - F.floor(place)) * (F.col("b") - F.col("a"))
+    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(between)
+    return met.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, value)).alias(n) for n in wanted])
 
 
-def _by_bracket(values: DataFrame, keys: list[str], wanted: dict[str, float]) -> DataFrame:
-    bounds = values.groupBy(*keys).agg(*[
-        agg
-        for name, q in wanted.items()
-        for agg in (
-            F.count(name).alias(f"{name}_n"),
-            F.percentile_approx(
-                name, [max(0.0, q - BRACKET), min(1.0, q + BRACKET)], SKETCH_ACCURACY
-            ).alias(f"{name}_bounds"),
-        )
-    ])
-    if keys:
-        joined = join_on(values, bounds, keys)
-    else:
-        joined = values.withColumn("_b", bounds.select(F.struct("*")).scalar()).select("*", "_b.*")
-    entries = F.explode(F.array(*[
+def _ranks(values: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """(keys, name, q, n, rank, value): the values at the two ranks around each quantile; NULL for a group without values."""
+    groups = values.groupBy(*keys).agg(*[
         F.struct(
-            F.lit(name).alias("name"),
-            F.lit(float(q)).alias("q"),
-            F.col(name).alias("value"),
-            F.col(f"{name}_n").alias("n"),
-            F.col(f"{name}_bounds")[0].alias("low"),
-            F.col(f"{name}_bounds")[1].alias("high"),
-        )
-        for name, q in wanted.items()
-    ]))
-    long = joined.select(*keys, entries.alias("e")).select(*keys, "e.*").where("value <= high or n = 0")
-    # everything under the bracket folds to one row per group, map side first
-    counted = long.groupBy(*keys, "name", "q", "n", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("value")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    run = Window.partitionBy(*keys, "name").orderBy(F.col("value").asc_nulls_first())
-    ends = counted.withColumn("end", F.sum("rows").over(run.rowsBetween(Window.unboundedPreceding, 0)))
+            F.lit(name).alias("name"), F.lit(float(q)).alias("q"), F.count(name).alias("n"),
+            F.min(name).alias("lo"), F.max(name).alias("hi"),
+        ).alias(name)
+        for name, (_, q) in wanted.items()
+    ])
     place = (F.col("n") - 1).cast("double") * F.col("q")
-    low_rank = F.floor(place)
-    inside = F.col("value").isNotNull()
-    return (
-        ends.groupBy(*keys, "name", "q", "n")
-        .agg(
-            F.min(F.when(inside & (F.col("end") > low_rank), F.col("value"))).alias("at_low"),
-            F.min(F.when(inside & (F.col("end") > F.ceil(place)), F.col("value"))).alias("at_high"),
-            F.coalesce(F.max(F.when(~inside, F.col("rows"))), F.lit(0)).alias("below"),
+    asked = groups.select(*keys, F.inline(F.array(*map(F.col, wanted)))).withColumn(
+        "rank", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place))))
+    )
+    asked = stage(asked.withColumn("below", F.lit(0).cast("bigint")), "ranks")
+    settled = asked.where("lo = hi or n = 0")
+    asked = asked.where("lo < hi")
+    rows = values.select(*keys, F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in wanted])))
+    while not asked.isEmpty():
+        inside = join_on(rows, asked, [*keys, "name"]).where("value between lo and hi").withColumn("bin", _bin())
+        bins = inside.groupBy(*keys, "name", "q", "n", "rank", "below", "bin").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")
         )
-        .select(
-            *keys, "name", "q", "n",
-            (F.col("at_low") + (place - low_rank) * (F.col("at_high") - F.col("at_low"))).alias("value"),
-            (
-                (F.col("n") > 0)
-                & ((F.col("below") > low_rank) | F.col("at_low").isNull() | F.col("at_high").isNull())
-            ).alias("missed"),
+        # at most BINS rows for each rank of a group
+        run = Window.partitionBy(*keys, "name", "q", "rank").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        upto = bins.withColumn("upto", F.col("below") + F.sum("rows").over(run))
+        chosen = upto.where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("rows") <= F.col("rank")))
+        found = stage(
+            chosen.select(*keys, "name", "q", "n", "lo", "hi", "rank", (F.col("upto") - F.col("rows")).alias("below")), "ranks"
         )
-    )
+        settled = settled.unionByName(found.where("lo = hi"))
+        asked = found.where("lo < hi")
+        if not asked.isEmpty():
+            spans = asked.groupBy(*keys, "name").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+            left = join_on(rows, spans, [*keys, "name"])
+            rows = stage(left.where("exists(spans, s -> value between s.lo and s.hi)").drop("spans"), "candidates")
+    return settled.select(*keys, "name", "q", "n", "rank", F.col("lo").alias("value"))
 
 
-def _by_sort(values: DataFrame, keys: list[str], missed: DataFrame) -> DataFrame:
-    names = [c for c in values.columns if c not in keys]
-    long = reduce(DataFrame.unionByName, [
-        values.select(*keys, F.lit(name).alias("name"), F.col(name).alias("value")) for name in names
-    ]).where("value is not null")
-    todo = missed.select(*keys, "name", "q", "n")
-    rows = join_on(long, todo, [*keys, "name"]).withColumn("tie", F.monotonically_increasing_id())
-    ranked = positions(rows, Layout((*keys, "name"), split=True), ["value", "tie"])
-    place = (F.col("n") - 1).cast("double") * F.col("q")
-    picked = ranked.where(F.col("pos").between(F.floor(place), F.ceil(place)))
-    ends = picked.groupBy(*keys, "name", "q", "n").agg(F.min("value").alias("a"), F.max("value").alias("b"))
-    return ends.select(
-        *keys, "name", "q", "n",
-        (F.col("a") + (place - F.floor(place)) * (F.col("b") - F.col("a"))).alias("value"),
-        F.lit(False).alias("missed"),
+def _bin() -> Column:
+    """The bin of a value: growing with it, the first for ``lo`` alone of the ends and the last for ``hi``, so each round narrows the span."""
+    share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+    inner = F.when(share.isNull() | F.isnan(share), F.lit(1)).otherwise(F.floor(share * BINS))
+    return (
+        F.when(F.col("value") == F.col("lo"), F.lit(0)).when(F.col("value") == F.col("hi"), F.lit(BINS - 1))
+        .otherwise(F.greatest(F.lit(0), F.least(inner, F.lit(BINS - 1)))).cast("int")
     )

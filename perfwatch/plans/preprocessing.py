@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from perfwatch.operators.dynamics import add_dynamics, dynamic_columns
 from perfwatch.operators.families import family_columns, mark_available
 from perfwatch.operators.labels import apply_thresholds, label_summary, thresholds
-from perfwatch.operators.ordering import Layout, join_on
+from perfwatch.operators.ordering import Layout, by_group_size, join_on
 from perfwatch.operators.predictive import predictive_dataset
 from perfwatch.operators.state import fill_state, system_state
 from perfwatch.operators.validation import sample_status
@@ -34,6 +34,7 @@ class Settings:
 ORDER = ("sample_key", "seq", "n")
 
 
+@by_group_size
 def aggregated(telemetry: DataFrame, layout: Layout, settings: Settings = Settings()) -> DataFrame:
     """System state with dynamics, zero-filled, in file order ``seq``.
 
@@ -47,6 +48,7 @@ def _with_dynamics(state: DataFrame, layout: Layout, settings: Settings) -> Data
     return fill_state(moving, dynamic_columns(moving.columns, settings.rolling_window))
 
 
+@by_group_size
 def marked(telemetry: DataFrame, layout: Layout, settings: Settings = Settings()) -> DataFrame:
     """Aggregated state with anomaly flags.
 
@@ -58,6 +60,7 @@ def marked(telemetry: DataFrame, layout: Layout, settings: Settings = Settings()
     return apply_thresholds(_with_dynamics(state, layout, settings), limits, list(layout.keys))
 
 
+@by_group_size
 def predictive(telemetry: DataFrame, layout: Layout, settings: Settings = Settings()) -> DataFrame:
     return predictive_dataset(
         marked(telemetry, layout, settings), layout, settings.n_lags, settings.horizon,

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import random
+import re
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import near
-from perfwatch.operators.ordering import Layout, in_order, measure, measure_nested, positions, running_total
+from perfwatch.operators import ordering, quantile
+from perfwatch.operators.ordering import Layout, by_group_size, in_order, measure, measure_nested, positions, running_total
 from perfwatch.operators.quantile import exact_quantiles
 
 PLAIN = Layout(("key",))
@@ -104,16 +107,53 @@ def test_quantile_of_whole_frame_and_of_nothing(spark, rows):
     assert got == {"a": None, "b": 1.0}
 
 
-def test_missed_brackets_are_solved_by_sorting(rows, monkeypatch):
-    from perfwatch.operators import quantile
-
-    # a bracket of the wrong place misses the rank of every larger group
-    monkeypatch.setattr(quantile, "BRACKET", -0.2)
-    expected = {}
-    for r in rows.where("value is not null").collect():
-        expected.setdefault(r["key"], []).append(r["value"])
-    found = {r["key"]: r["v"] for r in exact_quantiles(rows, SPLIT, {"v": ("value", 0.5)}).collect()}
-    assert {k: near(found[k], float(np.quantile(v, 0.5))) for k, v in expected.items()} == {k: True for k in expected}
+@pytest.mark.parametrize("bins", [16, 1024])
+def test_histograms_refine_to_the_rank(spark, monkeypatch, bins):
+    """Ties, huge spans, infinite ends and few bins."""
+    monkeypatch.setattr(quantile, "BINS", bins)
+    rng = random.Random(8)
+    groups = {
+        "ties": [1.0] * 50 + [2.0] * 50, "span": [-1.7e308, 1.7e308] + [rng.gauss(0, 1e-300) for _ in range(60)],
+        "ends": [float("-inf"), float("inf")] + [rng.random() for _ in range(41)], "one": [3.5], "zeros": [0.0, -0.0, 0.0],
+        "none": [None, None], "skew": [2.0 ** -i for i in range(40)],
+    }
+    rows = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "key string, value double").repartition(4)
+    wanted = {"low": 0.25, "mid": 0.5, "top": 1.0}
+    found = {r["key"]: r for r in exact_quantiles(rows, SPLIT, {n: ("value", q) for n, q in wanted.items()}).collect()}
+    assert found["none"]["mid"] is None and set(found) == set(groups)
+    assert found["ends"]["top"] == float("inf")
+    for key, values in groups.items():
+        for name, q in wanted.items():
+            if key != "none" and (key, name) != ("ends", "top"):
+                assert near(found[key][name], float(np.quantile(values, q))), (key, q)
+
+
+def test_no_task_sorts_a_whole_frame(rows):
+    plan = exact_quantiles(rows, Layout((), split=True), {"v": ("value", 0.5)})._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan.replace("WindowGroupLimit", "")
+
+
+def test_only_large_groups_are_split(spark, rows, monkeypatch):
+    """One large group among many: the others take one exchange by key and meet no range partition."""
+    many = rows.unionByName(spark.range(3000).selectExpr("concat('k', id % 600) AS key", "id % 7 AS window_id", "id AS seq", "cast(id AS double) AS value"))
+    layout = measure(many, ["key"], 100)
+    assert layout.split and [r[0] for r in layout.heavy.collect()] == ["hot"]
+
+    staged = []
+    original = ordering.stage
+    monkeypatch.setattr(ordering, "stage", lambda df, label: staged.append((label, df.count())) or original(df, label))
+
+    def chain(df, layout):
+        placed = positions(df, layout, ["window_id", "seq"], "pos", "n")
+        return in_order(placed, layout, "pos", 3, 1, lambda w: {"back": F.lag("seq", 3).over(w), "ahead": F.lead("value", 1).over(w)})
+
+    routed = by_group_size(chain)(many, replace(layout, chunk=50))
+    plain = chain(many, PLAIN)
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, routed.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    assert staged == [("ordered", 400)]
+    by_key = [x for x in plan.splitlines() if re.search(r"Exchange hashpartitioning\(key#\d+, \d+\)", x)]
+    assert len(by_key) == 2  # the rows of small groups, and one row for each range partition of a large one
 
 
 def test_result_does_not_depend_on_partitions(spark, rows):
@@ -129,8 +169,6 @@ def test_result_does_not_depend_on_partitions(spark, rows):
 def test_null_keys_are_groups_on_both_plans(spark):
     from perfwatch.operators import ordering as od
     from perfwatch.operators.labels import label, training_prefix
-    from perfwatch.operators.quantile import exact_quantiles
-
     rows = [(k, i, float((i * 7) % 11) if i % 5 else None) for k in ("a", None) for i in range(40)]
     df = spark.createDataFrame(rows, "sample_key string, seq long, p95_latency double")
     plain, split = od.Layout(("sample_key",)), od.Layout(("sample_key",), True, 10)

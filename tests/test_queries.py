@@ -43,6 +43,7 @@ def test_query_matches_sql(spark, sf, duck, name, monkeypatch):
 @pytest.mark.parametrize("name", [
     "w5_lags", "w8_chronological_split", "l2_train_thresholds", "l3_anomaly_flags", "e3_roc_auc", "ml11_metrics_table",
     "s2_batch_slice", "s10_seeded_sample", "r6_risk_windows", "r16_incident_log", "r14_service_risk", "w10_running_step",
+    "a8_state_from_long", "w1_difference", "w7_complete_rows", "l4_label_summary", "ml1_median_imputation",
 ])
 def test_large_input_plans_give_the_same(spark, sf, duck, name, monkeypatch):
     """Groups over a few rows are split and reused frames are stored."""
