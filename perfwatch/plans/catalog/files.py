@@ -27,17 +27,18 @@ TX = fam.RESOURCE_FAMILIES["net_tx"]
 
 
 def csv_tree(spark: SparkSession, sf: str) -> str:
-    """Wide telemetry as a CSV tree: one directory per sample, ``signup`` with a shorter header."""
+    """Wide telemetry as a CSV tree: one directory per sample, ``signup`` with a shorter header, notes of two lines."""
     root = staging_path(spark, "csv")
     wide = inputs.telemetry_wide(spark, sf)
     wide = wide.drop(*[f"{f}_available" for f in fam.family_columns(wide)])
+    wide = wide.withColumn("note", F.format_string('line one\nwindow %d said "x", twice', "window_id"))
     # one staged table feeds both writes
     ordered = wide.repartition("sample_key").sortWithinPartitions("sample_key", "window_id")
     for rows, name in (
         (ordered.where("sample_key <> 'signup'"), "full"),
         (ordered.where("sample_key = 'signup'").drop(*fam.token_columns(wide, TX)), "short"),
     ):
-        rows.write.partitionBy("sample_key").option("header", "true").csv(f"{root}/{name}")
+        rows.write.partitionBy("sample_key").option("header", "true").option("escape", '"').csv(f"{root}/{name}")
     return root
 
 
@@ -64,13 +65,13 @@ def _(spark, sf):
 
 
 @query("s3_csv_scan", with_ctes(
-    "SELECT w.*, seq, CASE WHEN w.sample_key = 'signup' THEN 0::BIGINT ELSE 1::BIGINT END AS net_tx_available "
+    "SELECT w.*, seq, printf('line one%swindow %d said \"x\", twice', chr(10), w.window_id) AS note, CASE WHEN w.sample_key = 'signup' THEN 0::BIGINT ELSE 1::BIGINT END AS net_tx_available "
     f"FROM ({_wide_sql()}) w JOIN raw_state USING (sample_key, window_id)", "raw_state"))
 def _(spark, sf):
     wide, _ = src.read_telemetry_csv(spark, csv_tree(spark, sf))
     named = wide.withColumn("sample_key", _sample_of(F.col("sample_key")))
     values = [c for cols in fam.family_columns(wide).values() for c in cols]
-    return snapped(named.select("sample_key", "window_id", "seq", "net_tx_available", *values))
+    return snapped(named.select("sample_key", "window_id", "seq", "note", "net_tx_available", *values))
 
 
 @query("s5_json_scan", with_ctes(f"""

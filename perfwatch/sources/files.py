@@ -7,7 +7,7 @@ import io
 import os
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,11 +57,12 @@ def batch_slice(files: DataFrame, start: int = 0, size: int | None = None) -> Da
 
 
 def csv_lines(spark: SparkSession, root: str, files: DataFrame | None = None) -> DataFrame:
-    """(path, block, line, value) of the non-blank lines of the CSV files under ``root``, stored.
+    """(path, block, line, value) of the non-blank records of the CSV files under ``root``, stored.
 
     Text is read once, by Spark's own reader, so any store that Spark reads
     will do. ``files`` (path) restricts the files. (block, line) is the order
-    of the lines in a file however it is split.
+    of the records in a file however it is split. A quoted line break is part
+    of its record.
     """
     text = (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").option("ignoreCorruptFiles", "true")
@@ -70,10 +71,51 @@ def csv_lines(spark: SparkSession, root: str, files: DataFrame | None = None) ->
     lines = text.select(
         plain_path(stored_path()).alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"), "value",
-    ).where(F.trim("value") != "")
+    )
     if files is not None:
         lines = lines.join(files.select(plain_path(F.col("path")).alias("path")), "path", "left_semi")
-    return stage(lines, "lines")
+    return csv_records(stage(lines, "lines")).where(F.trim("value") != "")
+
+
+def csv_records(lines: DataFrame) -> DataFrame:
+    """Lines (path, block, line, value; stored) with those of a quoted line break joined to one record.
+
+    A line with an odd number of quotes opens or closes a quoted stretch. The
+    number of such lines before a line is the sum over the blocks before its
+    own, one row each, and a running count within its block, so a file of any
+    length is scanned block by block. A quote that never closes opens nothing.
+    Files without such lines pass as they are.
+    """
+    odd = (F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))) % 2
+    blocks = lines.where(odd == 1).groupBy("path", "block").agg(F.count(F.lit(1)).alias("odd"))
+    if blocks.isEmpty():
+        return lines
+    of_file = Window.partitionBy("path")
+    earlier = of_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.select("path", "block").distinct().join(blocks, ["path", "block"], "left").fillna(0, ["odd"]).select(
+        "path", "block", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("before"), F.sum("odd").over(of_file).alias("total"),
+    ).where("total > 1")
+    whole = lines.join(blocks.select("path").distinct(), "path", "left_anti")
+    in_block = Window.partitionBy("path", "block").orderBy("line")
+    upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    counted = lines.withColumn("odd", odd).join(blocks, ["path", "block"]).withColumn(
+        "count", F.col("before") + F.sum("odd").over(upto)
+    )
+    closing = F.col("total") - F.col("total") % 2  # a last odd line without a partner does not count
+    before, after = (F.least(n, closing) for n in (F.col("count") - F.col("odd"), F.col("count")))
+    starts = counted.select("path", "block", "line", "value", (before % 2 == 0).alias("starts"), (after % 2 == 1).alias("goes_on"))
+    # The place of the record a line belongs to: its own block's last start, else that of the blocks before.
+    place = F.when(F.col("starts"), F.struct("block", "line"))
+    own = starts.withColumn("own", F.last(place, True).over(upto))
+    last = own.groupBy("path", "block").agg(F.max("own").alias("last"))
+    carried = last.withColumn("carried", F.last("last", True).over(earlier)).select("path", "block", "carried")
+    placed = stage(own.join(carried, ["path", "block"]).withColumn("at", F.coalesce("own", "carried")), "records")
+    alone = placed.where("starts AND NOT goes_on").select(lines.columns)
+    parts = placed.where("NOT starts OR goes_on").groupBy("path", "at").agg(
+        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts")
+    )
+    joined = parts.select("path", "at.block", "at.line", F.array_join("parts.value", "\n").alias("value"))
+    return stage(whole.unionByName(alone).unionByName(joined.select(lines.columns)), "lines")
 
 
 def csv_headers(lines: DataFrame) -> DataFrame:
@@ -111,7 +153,7 @@ def parse_csv(lines: DataFrame, headers: DataFrame) -> DataFrame:
     kinds = headers.select("path", "first", own.cast("int").alias("_kind"))
     rows = lines.join(kinds, "path").where(F.col("line") != F.col("first"))
     cells = rows.select(
-        F.from_csv("value", ", ".join(f"c{j} string" for j in range(width))).alias("_cells"), "_kind",
+        F.from_csv("value", ", ".join(f"c{j} string" for j in range(width)), {"escape": '"'}).alias("_cells"), "_kind",
         F.col("path").alias("_path"), F.col("block").alias("_block"), F.col("line").alias("_line"),
     )
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 import tempfile
 
 import pytest
@@ -63,6 +64,41 @@ def test_large_file_order_across_blocks(spark, folder):
         spark.conf.set("spark.sql.files.openCostInBytes", "4194304")
 
 
+def small_blocks(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.mark.parametrize("size", [134217728, 700])
+def test_quoted_line_breaks_across_blocks(spark, folder, size):
+    """Records over several lines and blocks, doubled quotes, blank lines in a cell, a header of two lines, a quote that never closes."""
+    rng = random.Random(4)
+    tables = {}
+    for name, unclosed in (("x/one", False), ("x/two", True), ("plain", False)):
+        rows = [["window_id", "0_latency", "no\nte"] if name == "x/one" else ["window_id", "0_latency", "note"]]
+        for i in range(120):
+            note = f"n{i}" if name == "plain" else rng.choice(["plain", 'say ""hi""', "a\nb", "a\n\n\nb,c", "long\n" * 60 + "end", '""\n""', ""])
+            rows.append([str(i), str(i % 7), note])
+        tables[name] = [[c.replace('""', '"') for c in r] for r in rows]
+        body = "\n".join(",".join(f'"{c}"' if set(c) & set('\n,"') else c for c in r) for r in rows) + "\n"
+        put(folder, f"{name}.csv", body + ('120,3,"never closed\n121,4,plain\n' if unclosed else ""))
+    small_blocks(spark, size)
+    try:
+        wide, _ = src.read_telemetry_csv(spark, folder)
+        got = {}
+        for r in wide.orderBy("seq").collect():
+            got.setdefault(r["sample_key"], []).append(r)
+        for name, rows in tables.items():
+            found = got[name]
+            note = rows[0][2]
+            assert [(r["window_id"], r["0_latency"]) for r in found[:120]] == [(int(a), float(b)) for a, b, _ in rows[1:]]
+            assert [r[note] or "" for r in found[:120]] == [c for *_, c in rows[1:]]
+            assert len(found) == (122 if name == "x/two" else 120)
+    finally:
+        small_blocks(spark, 134217728)
+        spark.conf.set("spark.sql.files.openCostInBytes", "4194304")
+
+
 def test_batch_slice(spark):
     paths = spark.createDataFrame([(f"/r/b/{i}.csv",) for i in range(3)] + [("/r/a.csv",), ("/r/b-1/x.csv",)], "path string")
     got = src.batch_slice(paths, 1, 2).orderBy("file_index").collect()
