@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Role by file stem, and the suffixes that are indexed.
@@ -17,6 +17,8 @@ ROLE_BY_STEM = {
 }
 SUFFIXES = [".parquet", ".csv", ".json"]
 ROOT_NAME = "predictive_processed_dataset"
+COMMITS_NAME = "predictive_processed_commits"
+VERSION = r"\.v(\d{20}-[0-9a-f]{8})"
 ORDER = ["part_name", "scenario", "logical_sample_key", "file_role"]
 
 
@@ -26,13 +28,34 @@ def dataset_roots(paths: DataFrame) -> DataFrame:
     return found.selectExpr(f"concat(pieces[0], '/{ROOT_NAME}') AS predictive_root").distinct().orderBy("predictive_root")
 
 
+def valid_paths(paths: DataFrame) -> DataFrame:
+    """(path) of the files that no later run has replaced.
+
+    The listing holds commit records (``<commits>/logical_sample_key=s/version=v/..``).
+    A file of a versioned part is valid if its version is the last one recorded for its sample;
+    files of other parts always are.
+    """
+    found = paths.select(
+        "path",
+        F.regexp_extract("path", f"^(.*)/(?:{ROOT_NAME}|{COMMITS_NAME})/", 1).alias("base"),
+        F.regexp_extract("path", r"/logical_sample_key=([^/]+)/", 1).alias("sample"),
+        F.regexp_extract("path", rf"/{ROOT_NAME}/[^/]*?{VERSION}/", 1).alias("own"),
+        F.regexp_extract("path", rf"/{COMMITS_NAME}/logical_sample_key=[^/]+/version=([^/]+)/", 1).alias("recorded"),
+    )
+    plain = (F.col("own") == "") & (F.col("recorded") == "")
+    group = F.when(plain, F.col("path")).otherwise(F.concat_ws("/", "base", "sample"))
+    last = F.max("recorded").over(Window.partitionBy(group))
+    return found.withColumn("last", last).where((F.col("recorded") == "") & ((F.col("own") == "") | (F.col("own") == F.col("last")))).select("path")
+
+
 def files_index(paths: DataFrame) -> DataFrame:
     """One row per processed file with its role, part, scenario and sample.
 
     The role is the file stem or, for partitioned writes, the ``file_role=``
-    directory. Files without a role are left out.
+    directory. Files without a role are left out, and files that a later run
+    of their sample has replaced (see ``valid_paths``).
     """
-    pieces = paths.select("path", F.split("path", f"/{ROOT_NAME}/", 2).alias("pieces")).where("size(pieces) = 2")
+    pieces = valid_paths(paths).select("path", F.split("path", f"/{ROOT_NAME}/", 2).alias("pieces")).where("size(pieces) = 2")
     named = pieces.selectExpr(
         "path AS absolute_path",
         "pieces[1] AS relative_path_from_part",
@@ -52,9 +75,11 @@ def files_index(paths: DataFrame) -> DataFrame:
         F.coalesce(written, F.try_element_at(roles, stem)).alias("file_role"),
         "relative_path_from_part",
         "predictive_root",
-        F.regexp_replace(F.get("parts", F.lit(0)), plain, "").alias("part_name"),
+        F.regexp_replace(F.regexp_replace(F.get("parts", F.lit(0)), plain, ""), VERSION + "$", "").alias("part_name"),
         F.coalesce(F.regexp_replace(F.get("parts", F.lit(1)), plain, ""), F.lit("")).alias("scenario"),
-        F.when(F.size("parts") > 1, F.regexp_replace("relative_path_from_part", r"(/file_role=[^/]*)?/[^/]*$", ""))
+        F.when(F.size("parts") > 1, F.regexp_replace(
+            F.regexp_replace("relative_path_from_part", r"(/file_role=[^/]*)?/[^/]*$", ""), rf"^([^/]*?){VERSION}(/|$)", "$1$3"
+        ))
         .otherwise(stem).alias("logical_sample_key"),
         "file_name",
         F.lower(F.regexp_extract("file_name", r"(\.[^.]*)$", 1)).alias("file_suffix"),

@@ -31,11 +31,14 @@ def run_preprocessing(
     """CSV tree to stage outputs; returns the status of each sample.
 
     Samples that fail a gate are reported and left out of the later stages;
-    the run fails only if no sample passes.
+    the run fails only if no sample passes. Outputs are written under a version
+    of their own and become valid together, with the commit at the end.
     """
     chosen = src.batch_slice(src.discover(spark, input_root), start, size)
     chosen = chosen.join(src.discover(spark, input_root), "path")
     part = chosen.agg(F.max("part_name")).first()[0]
+    version = out.new_version()
+    stored_part = out.versioned(part, version)
     lines = src.csv_lines(spark, input_root, chosen)
     telemetry, layout = src.read_telemetry_csv(spark, input_root, chosen, lines)
     telemetry = stage(telemetry, "telemetry")  # typed columns: text is parsed once
@@ -44,8 +47,8 @@ def run_preprocessing(
 
     def stored_stage(rows: DataFrame, role: str) -> DataFrame:
         """Each stage reads the stored columns of the one before, of the samples of this run only."""
-        out.save_stage(rows, output_root, role, part)
-        return out.load_stage(spark, rows.schema, output_root, role, part).join(samples, "sample_key", "left_semi")
+        out.save_stage(rows, output_root, role, stored_part)
+        return out.load_stage(spark, rows.schema, output_root, role, stored_part).join(samples, "sample_key", "left_semi")
 
     state = stored_stage(aggregated(enough, layout, settings), "aggregated")
     labelled = stored_stage(label(state, layout, settings.anomaly_quantile, settings.train), "marked")
@@ -66,11 +69,14 @@ def run_preprocessing(
     require_success(stored)
     good = stored.where("status = 'ok'").select("sample_key")
     passed = dataset.join(good, "sample_key", "left_semi")
-    out.save_stage(passed, output_root, "predictive", part)
-    out.save_stage(passed, output_root, F.col("split"), part)
+    out.save_stage(passed, output_root, "predictive", stored_part)
+    out.save_stage(passed, output_root, F.col("split"), stored_part)
     limits = thresholds(state, layout, settings.anomaly_quantile, settings.train)
     document = sample_metadata(telemetry, labelled, limits, passed)
-    out.save_stage(document.join(good, "sample_key", "left_semi"), output_root, "metadata", part, "json")
+    out.save_stage(document.join(good, "sample_key", "left_semi"), output_root, "metadata", stored_part, "json")
+    unread = F.col("reason") == "unreadable file"
+    of_path = F.regexp_replace(src.below_root(F.col("sample_key"), input_root), r"\.[^./]*$", "")
+    out.commit(stored.withColumn("sample_key", F.when(unread, of_path).otherwise(F.col("sample_key"))), output_root, version)
     return stored
 
 

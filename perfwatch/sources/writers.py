@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DATASET_DIR = "predictive_processed_dataset"
+COMMITS_DIR = "predictive_processed_commits"
 STAGE_PARTITIONS = ["part_name", "scenario", "logical_sample_key", "file_role"]
 
 
@@ -76,6 +80,30 @@ def save_stage(df: DataFrame, root: str, role: str | Column, part_name: str = "p
     writer.partitionBy(*STAGE_PARTITIONS).format(kind).save(f"{root}/{DATASET_DIR}")
 
 
+def new_version() -> str:
+    """A version of stage outputs; later ones sort behind earlier ones."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def versioned(part_name: str, version: str) -> str:
+    """The part directory of one run. The manifest shows it under the plain name."""
+    return f"{part_name}.v{version}"
+
+
+def commit(samples: DataFrame, root: str, version: str) -> None:
+    """Make a version the valid one of each of ``samples`` (sample_key, status), in one write after all stages.
+
+    A record is a small file whose path holds the sample and the version. The
+    files index takes files of a versioned part only if the last record of
+    their sample names that version: a run without records changes nothing,
+    and what an earlier run wrote of the same samples, in whatever part, is no
+    longer read.
+    """
+    rows = samples.select("status", F.col("sample_key").alias("logical_sample_key"), F.lit(version).alias("version"))
+    writer = rows.write.mode("append").partitionBy("logical_sample_key", "version").option("extension", "commit")
+    writer.csv(f"{root}/{COMMITS_DIR}")
+
+
 def load_stage(spark: SparkSession, schema: T.StructType, root: str, role: str, part_name: str) -> DataFrame:
     """One stage back: the partition filters prune all other files.
 

@@ -231,6 +231,53 @@ def test_a_second_run_replaces_the_first(spark, folder):
     assert {r["row_count_predictive"] for r in documents} == {36} and all(r["latency_threshold"] > 0 for r in documents)
 
 
+def test_later_runs_leave_nothing_stale_and_nothing_twice(spark, folder):
+    """An added file changes the part, a sample fails, one becomes unreadable, and a split becomes empty."""
+    raw, made = f"{folder}/in", f"{folder}/out"
+
+    def source(name, n):
+        rows = "".join(f"{i},{i % 2},{(i * 3) % 37},{i % 5}\n" for i in range(n))
+        put(raw, f"compose/{name}.csv", f"window_id,label_trace,0_latency,0_{CPU}\n{rows}")
+
+    def loaded():
+        index = training.run_manifest(spark, made, f"{folder}/manifest")
+        rows = {}
+        for role in ("aggregated", "marked", "predictive", "train", "val", "test"):
+            for r in src.read_role(spark, index, role).groupBy("sample_key").count().collect():
+                rows.setdefault(r["sample_key"].split("/")[-1], {})[role] = r["count"]
+        complete = {r["logical_sample_key"].split("%2F")[-1]: r["is_complete_for_training"] for r in mf.samples_index(index).collect()}
+        return rows, complete
+
+    def sizes(n):
+        kept = n - 4
+        train, val = int(kept * 0.7), int(kept * 0.15)
+        parts = {"train": train, "val": val, "test": kept - train - val}
+        return {"aggregated": n, "marked": n, "predictive": kept} | {k: v for k, v in parts.items() if v}
+
+    for name in ("a", "b c", "d"):
+        source(name, 40)
+    training.run_preprocessing(spark, raw, made, Settings(min_rows=5))
+    assert loaded() == ({n: sizes(40) for n in ("a", "b c", "d")}, {n: True for n in ("a", "b c", "d")})
+
+    source("e", 30)  # one more file: another part name
+    source("b c", 3)  # fails its gate now
+    source("d", 10)  # its validation split is empty now
+    put(raw, "compose/a.csv", "\n")  # unreadable now
+    report = {r["sample_key"]: r["status"] for r in training.run_preprocessing(spark, raw, made, Settings(min_rows=5)).collect()}
+    assert sum(s == "failed" for s in report.values()) == 2
+    rows, complete = loaded()
+    assert rows == {"d": sizes(10), "e": sizes(30)} and "val" not in rows["d"]
+    assert complete == {"d": False, "e": True}
+
+    # a run that dies before its commit changes nothing
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(out, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        source("e", 20)
+        with pytest.raises(RuntimeError, match="lost"):
+            training.run_preprocessing(spark, raw, made, Settings(min_rows=5))
+    assert loaded() == (rows, complete)
+
+
 def test_text_labels_spaces_and_long_headers(spark, folder):
     wide = ",".join(f"{i}_latency" for i in range(60)) + "," + ",".join("x" * 100_000 + str(i) for i in range(12)) + ",last_latency"
     put(folder, "main/in/a b+c%d/one two.csv", f"window_id,label_trace,{wide}\n1,good,{','.join(str(i) for i in range(60))},{'z,' * 12}9\n2,bad,{','.join('1' * 60)},{'z,' * 12}8\n")
