@@ -14,12 +14,13 @@ from perfwatch.operators import manifest as mf
 from perfwatch.operators import reports as rep
 from perfwatch.operators import validation as val
 from perfwatch.operators.ordering import measure, positions
-from perfwatch.plans import inputs
+from perfwatch.operators.state import system_state
+from perfwatch.plans import inputs, training
 from perfwatch.plans import preprocessing as prep
 from perfwatch.plans.catalog.registry import query, snap, snapped
 from perfwatch.plans.catalog.sql import with_ctes
 from perfwatch.plans.catalog.telemetry import _DATASET_SQL, _TARGETS, _wide_sql
-from perfwatch.session import staging_path
+from perfwatch.session import stage, staging_path
 from perfwatch.sources import files as src
 from perfwatch.sources import writers as out
 
@@ -42,6 +43,16 @@ def csv_tree(spark: SparkSession, sf: str) -> str:
     return root
 
 
+def state_tree(spark: SparkSession, sf: str) -> str:
+    """System state as another tool leaves it: a directory per sample, without places, in file order."""
+    root = staging_path(spark, "state")
+    telemetry, _ = inputs.telemetry(spark, sf)
+    state = system_state(telemetry, prep.ORDER).drop("n").withColumns({"sample": F.col("sample_key"), "file_role": F.lit("aggregated")})
+    ordered = state.repartition("sample").sortWithinPartitions("sample", "seq")
+    ordered.write.partitionBy("sample", "file_role").parquet(f"{root}/{mf.ROOT_NAME}/part_0")
+    return root
+
+
 def _relative(path, root: str):
     return F.regexp_replace(src.plain_path(path), f"^{root}/", "")
 
@@ -99,6 +110,31 @@ def _(spark, sf):
         "skipped_files", skipped.agg(F.count(F.lit(1))).scalar())
 
 
+@query("s7_role_rows", with_ctes(
+    "SELECT sample_key, count(*) AS rows, min(seq) AS first, max(seq) AS last FROM state WHERE sample_key <> 'view' GROUP BY 1", "state"))
+def _(spark, sf):
+    root = state_tree(spark, sf)
+    index = mf.files_index(src.discover(spark, root, "").select("path"))
+    rows = src.read_role(spark, index.where("relative_path_from_part not like '%sample=view/%'"), "aggregated")
+    return rows.groupBy("sample_key").agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first"), F.max("seq").alias("last"))
+
+
+@query("s9_row_cap_of_files", with_ctes("SELECT sample_key, seq, window_id FROM state WHERE seq BETWEEN 0 AND 49", "state"))
+def _(spark, sf):
+    index = mf.files_index(src.discover(spark, state_tree(spark, sf), "").select("path"))
+    return training.load_role(spark, index, "aggregated", max_rows=50).select("sample_key", "seq", "window_id")
+
+
+@query("s10_sample_of_files", with_ctes(
+    "SELECT sample_key, round_even(0.1 * least(50, count(*)), 0)::BIGINT AS rows, "
+    "count(*)::BIGINT AS of_rows FROM state GROUP BY 1", "state"))
+def _(spark, sf):
+    index = mf.files_index(src.discover(spark, state_tree(spark, sf), "").select("path"))
+    drawn = training.load_role(spark, index, "aggregated", sample_frac=0.1, max_rows=50)
+    whole = training.load_role(spark, index, "aggregated").groupBy("sample_key").agg(F.count(F.lit(1)).alias("of_rows"))
+    return drawn.groupBy("sample_key").agg(F.count(F.lit(1)).alias("rows")).join(whole, "sample_key")
+
+
 @query("s7_manifest_role_scan", with_ctes(
     "SELECT absolute_path, logical_sample_key FROM idx WHERE file_role = 'train' AND scenario = 'click'", "idx"))
 def _(spark, sf):
@@ -140,6 +176,19 @@ def _(spark, sf):
         relative.alias("relpath"), out.output_dir(relative, F.lit("part_0000_0049")).alias("output_dir"))
 
 
+def prediction_tree(spark: SparkSession, rows: DataFrame, keys: list[str], as_csv: str) -> str:
+    """Prediction tables ``<keys>/<model>_test_predictions.*`` in stored order ``step``, some as CSV, and a damaged one."""
+    root = staging_path(spark, "predictions")
+    table = [*keys, "model"]
+    ordered = stage(rows.withColumn("_csv", F.expr(as_csv)), "trees").repartition(*table).sortWithinPartitions(*table, "step")
+    for kind, of_kind in (("parquet", "NOT _csv"), ("csv", "_csv")):
+        named = ordered.where(of_kind).withColumn("model", F.concat("model", F.lit(f"_test_predictions.{kind}"))).drop("step", "_csv")
+        named.write.mode("append").partitionBy(*table).option("header", "true").format(kind).save(f"{root}/{kind}")
+    damaged = rows.limit(1).select(F.lit("no table").alias("x"), F.lit("broken_test_predictions.parquet").alias("model"))
+    damaged.write.mode("append").partitionBy("model").option("extension", "parquet").csv(f"{root}/more/{keys[-1]}=bad")
+    return root
+
+
 def written_dataset(spark: SparkSession, sf: str) -> str:
     """The predictive dataset written by split under a new root."""
     root = staging_path(spark, "dataset")

@@ -17,11 +17,13 @@ from perfwatch.operators.ordering import join_on
 from perfwatch.operators.predictive import flatten_lags
 from perfwatch.plans import inputs
 from perfwatch.plans import preprocessing as prep
+from perfwatch.plans.catalog.files import prediction_tree
 from perfwatch.plans.catalog.registry import query, snap, snapped
 from perfwatch.plans.catalog.sql import with_ctes
 from perfwatch.plans.catalog.telemetry import _SPLIT_SQL, _WITH_TARGETS
 from perfwatch.plans.training import TARGETS
 from perfwatch.session import stage, staging_path
+from perfwatch.sources import files as src
 
 #: Trees or rounds of a model; the operators' own where none are given.
 SIZES: dict[str, int] = {}
@@ -185,14 +187,23 @@ def _(spark, sf):
     return snapped(ev.roc_auc(rows, ["prediction_file"], layout=layout))
 
 
+def class_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Class predictions written as one table for each event type, CSV and Parquet, and read back as a tree."""
+    rows, _ = inputs.class_predictions(spark, sf)
+    named = rows.select(
+        F.lit("classification").alias("task"), F.col("prediction_file").alias("scenario"), F.lit("persistence").alias("model"), "step",
+        "y_true", "y_pred", "anomaly_probability",
+    )
+    root = prediction_tree(spark, named, ["task", "scenario"], "scenario IN ('click', 'signup')")
+    return src.load_predictions(spark, root).withColumn("prediction_file", F.col("scenario"))
+
+
 @query("e4_evaluate_directory", with_ctes(
     f"SELECT prediction_file, {_CLASS_SQL}, {snap('max(auc.roc_auc)', 'roc_auc')} FROM cls JOIN auc USING (prediction_file) GROUP BY 1",
     "cls", "auc"))
 def _(spark, sf):
-    rows, layout = inputs.class_predictions(spark, sf)
-    root = staging_path(spark, "predictions")
-    rows.write.partitionBy("prediction_file").parquet(root)
-    return snapped(ev.evaluate_predictions(spark.read.parquet(root), ["prediction_file"], layout))
+    found = class_tree(spark, sf)
+    return snapped(ev.evaluate_predictions(found, ["prediction_file"]))
 
 
 @query("e5_positive_share", with_ctes(
@@ -233,3 +244,11 @@ def _(spark, sf):
 def _(spark, sf):
     rows, _ = inputs.class_predictions(spark, sf)
     return snapped(ev.prediction_summary(rows, ["prediction_file"]))
+
+
+@query("r2_prediction_tree", with_ctes(f"""
+ SELECT 'classification' AS task, prediction_file, 'persistence' AS model, count(*) AS rows, {snap('avg(y_pred - y_true)', 'mean_error')}, {snap('avg(abs(y_pred - y_true))', 'mean_abs_error')},
+  {snap('avg(anomaly_probability)', 'mean_anomaly_probability')}, count(*) FILTER (anomaly_probability >= 0.8::DOUBLE) AS high_risk_count_0_8
+ FROM cls GROUP BY prediction_file""", "cls"))
+def _(spark, sf):
+    return snapped(ev.prediction_summary(class_tree(spark, sf), ["task", "prediction_file", "model"]))

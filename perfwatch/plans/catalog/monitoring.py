@@ -11,9 +11,9 @@ from perfwatch.operators import manifest as mf
 from perfwatch.operators import reports as rep
 from perfwatch.operators import services as svc
 from perfwatch.plans import inputs
+from perfwatch.plans.catalog.files import prediction_tree
 from perfwatch.plans.catalog.registry import query, snap, snapped
 from perfwatch.plans.catalog.sql import with_ctes
-from perfwatch.session import stage, staging_path
 from perfwatch.sources import files as src
 
 MODELS = {"persistence": "Persistence forecast", "median": "Median forecast"}
@@ -29,15 +29,13 @@ def nation_telemetry(spark: SparkSession, sf: str) -> DataFrame:
 # --- trees and steps -------------------------------------------------------
 
 @query("s11_prediction_trees", with_ctes(
-    f"SELECT scenario, model, step, {snap('y_true')}, {snap('y_pred')} FROM reg", "reg"))
+    f"SELECT scenario, model, step, {snap('y_true')}, {snap('y_pred')}, 1::BIGINT AS skipped_files FROM reg", "reg"))
 def _(spark, sf):
-    root = staging_path(spark, "predictions")
     rows = inputs.value_predictions(spark, sf).select("scenario", "model", "step", "y_true", "y_pred")
-    rows = stage(rows, "trees")
-    for scenario, model in [(r[0], r[1]) for r in rows.select("scenario", "model").distinct().collect()]:
-        one = rows.where((F.col("scenario") == scenario) & (F.col("model") == model))
-        one.orderBy("step").select("y_true", "y_pred").write.parquet(f"{root}/{scenario}/{model}_test_predictions.parquet")
-    return snapped(src.load_predictions(spark, root).select("scenario", "model", "step", "y_true", "y_pred"))
+    root = prediction_tree(spark, rows, ["scenario"], "scenario IN ('click', 'view') OR model = 'median'")
+    found, skipped = src.load_prediction_tree(spark, root)
+    return snapped(found.select("scenario", "model", "step", "y_true", "y_pred")).withColumn(
+        "skipped_files", skipped.agg(F.count(F.lit(1))).scalar())
 
 
 @query("w10_running_step", with_ctes(

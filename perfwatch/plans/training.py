@@ -10,7 +10,7 @@ from perfwatch.operators import ml
 from perfwatch.operators.columns import align
 from perfwatch.operators.evaluate import metrics_document
 from perfwatch.operators.labels import label, label_summary, thresholds
-from perfwatch.operators.ordering import Layout, fits_task, join_on
+from perfwatch.operators.ordering import Layout, fits_task, join_on, measure, positions
 from perfwatch.operators.predictive import flatten_lags, predictive_dataset
 from perfwatch.operators.validation import require_rows, require_success
 from perfwatch.plans.preprocessing import Settings, aggregated, sample_metadata, status
@@ -101,8 +101,20 @@ def load_role(
     spark: SparkSession, manifest: DataFrame, role: str, scenario: str | None = None,
     sample_frac: float | None = None, max_rows: int | None = None, seed: int = 42,
 ) -> DataFrame:
-    """Rows of a role with the per-source cap and the seeded per-source sample."""
-    rows = src.read_role(spark, manifest, role, scenario)
+    """Rows of a role with the per-source cap and the seeded per-source sample.
+
+    Rows of this library's own stages are placed by ``pos`` in their sample.
+    Those of any other tool are placed by stored order in their source: a
+    file, or a directory of part files.
+    """
+    rows = src.read_role(spark, manifest, role, scenario, ordered=True)
+    order = ["_file", "_block", "_row"]
+    if not {"sample_key", "pos"} <= set(rows.columns):
+        layout = measure(rows, ["_source"])
+        rows = positions(rows, layout, order, "_place", "_rows")
+        rows = capped(rows, max_rows, "_place").withColumn("_rows", F.least("_rows", F.lit(max_rows)) if max_rows is not None else F.col("_rows"))
+        return sampled(rows, layout, sample_frac, seed, "_place", "_rows").drop("_source", "_place", "_rows", *order)
+    rows = rows.drop("_source", *order)
     # a split is one run of consecutive places, so its first place and size tell the rest
     runs = rows.groupBy("sample_key").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     rows = join_on(rows, runs, ["sample_key"]).withColumn("_place", F.col("pos") - F.col("_first"))

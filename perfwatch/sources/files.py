@@ -303,9 +303,13 @@ def select_role(manifest: DataFrame, role: str, scenario: str | None = None) ->
 
 
 def read_role(
-    spark: SparkSession, manifest: DataFrame, role: str, scenario: str | None = None, tolerant: bool = True
+    spark: SparkSession, manifest: DataFrame, role: str, scenario: str | None = None, tolerant: bool = True, ordered: bool = False
 ) -> DataFrame:
-    """One scan over the files of a role; only their paths reach the driver."""
+    """One scan over the files of a role; only their paths reach the driver, which lists them for Spark anyway.
+
+    ``ordered`` adds the stored order of the rows: ``_source`` (a file, or a
+    directory of part files), ``_file``, ``_block`` and ``_row``.
+    """
     paths = [r[0] for r in select_role(manifest, role, scenario).select("absolute_path").collect()]
     if not paths:
         raise FileNotFoundError(f"No readable files for role={role}, scenario={scenario}")
@@ -317,6 +321,12 @@ def read_role(
         texts = [p for p in paths if p.lower().endswith(".csv")]
         frames["csv"] = spark.read.option("header", "true").option("inferSchema", "true").csv(texts)
     named = {k: df.withColumn("dataset_source_path", stored_path()) for k, df in frames.items()}
+    if ordered:
+        row = {"parquet": F.col("_metadata.row_index"), "csv": F.monotonically_increasing_id()}
+        named = {k: df.withColumns({
+            "_file": plain_path(F.col("dataset_source_path")), "_block": F.col("_metadata.file_block_start"), "_row": row[k],
+            "_source": F.regexp_replace(plain_path(F.col("dataset_source_path")), r"/part-[^/]*$", ""),
+        }) for k, df in named.items()}
     return require_rows(unite(named, "_format").drop("_format"), f"{role} dataset")
 
 
@@ -333,18 +343,66 @@ def path_parts(path: Column, pattern: str = _TREE) -> dict[str, Column]:
     }
 
 
-def load_predictions(spark: SparkSession, root: str) -> DataFrame:
-    """All test predictions ``<scenario>/<model>_test_predictions.parquet`` under ``root``.
+#: A prediction table, as a file or a directory of part files; directories may be spelled ``name=value``.
+_PREDICTIONS = r"^(.*?)(?:([^/]+)/)?([^/]+)/([^/]+)_test_predictions\.(parquet|csv)(?:/[^/]*)?$"
+PREDICTION_SCHEMA = "split string, y_true double, y_pred double, anomaly_probability double"
+
+
+def prediction_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, prediction_file, task, scenario, model, kind) of every prediction file under ``root``, at any depth.
 
-    ``step`` counts rows in each prediction table in stored order.
+    Scenario is the parent directory of a table and task that of the scenario
+    (below ``root``). ``prediction_file`` is the table below ``root``.
     """
-    rows = spark.read.parquet(f"{root}/*/*_test_predictions.parquet")
-    path = stored_path()
-    rows = rows.select("*", path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    pattern = r"/([^/]+)/([^/]+)_test_predictions\.parquet"
-    named = rows.withColumns(path_parts(F.col("_file"), pattern))
-    keys = ["scenario", "model"]
-    return positions(named, measure(named, keys), ["_file", "_row"], "step").drop("_file", "_row")
+    found = discover(spark, root, "").select("path", below_root(F.col("path"), root).alias("_below"))
+
+    def piece(i: int) -> Column:
+        return F.regexp_replace(F.regexp_extract(F.concat(F.lit("./"), "_below"), _PREDICTIONS, i), "^[^=/]*=", "")
+
+    named = found.where(F.concat(F.lit("./"), "_below").rlike(_PREDICTIONS)).select(
+        "path", F.regexp_replace("_below", r"(_test_predictions\.(?:parquet|csv))/[^/]*$", "$1").alias("prediction_file"),
+        F.nullif(F.nullif(piece(2), F.lit("")), F.lit(".")).alias("task"), F.nullif(piece(3), F.lit(".")).alias("scenario"),
+        piece(4).alias("model"), piece(5).alias("kind"),
+    )
+    return named.withColumn("path", plain_path(F.col("path")))
+
+
+def load_prediction_tree(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """All predictions under ``root``, and the files (path) that gave none.
+
+    Parquet and CSV tables may be mixed, in any depth and with columns in any
+    order; a column that a table lacks is NULL. Files that cannot be read, and
+    CSV files without ``y_true`` and ``y_pred``, are skipped. ``step`` counts
+    the rows of a table in stored order.
+    """
+    known = stage(prediction_files(spark, root), "listing")
+    schema = T.StructType.fromDDL(PREDICTION_SCHEMA)
+    parquet = (
+        spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet").parquet(root)
+        .select("*", plain_path(stored_path()).alias("path"), F.lit(0).cast("bigint").alias("_block"), F.col("_metadata.row_index").alias("_row"))
+    )
+    rows = parquet
+    texts = known.where("kind = 'csv'").select("path")
+    lines = csv_lines(spark, root, texts)
+    headers = csv_headers(lines)
+    if not headers.isEmpty():
+        cells = parse_csv(lines, headers)
+        csv_rows = cells.select(
+            *[(F.col(f.name) if f.name in cells.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in schema.fields],
+            F.col("_path").alias("path"), F.col("_block").alias("_block"), F.col("_line").alias("_row"),
+        )
+        named = headers.where(F.forall(F.array(F.lit("y_true"), F.lit("y_pred")), lambda c: F.array_contains(F.split("header", '"?,"?'), c)))
+        rows = rows.unionByName(csv_rows.join(named.select("path"), "path", "left_semi"))
+    rows = stage(rows.join(known, "path"), "predictions")
+    skipped = known.join(rows.select("path").distinct(), "path", "left_anti").select("path")
+    placed = positions(rows, measure(rows, ["prediction_file"]), ["path", "_block", "_row"], "step")
+    return placed.select("task", "scenario", "model", "prediction_file", "step", *schema.names), skipped
+
+
+def load_predictions(spark: SparkSession, root: str) -> DataFrame:
+    """All test predictions ``<model>_test_predictions.parquet`` or ``.csv`` under ``root``, with scenario, model and step."""
+    return load_prediction_tree(spark, root)[0]
 
 
 def load_metrics(spark: SparkSession, root: str, task: str, schema: str) -> DataFrame:

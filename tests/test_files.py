@@ -290,3 +290,49 @@ def test_text_labels_spaces_and_long_headers(spark, folder):
     read, skipped = src.read_tolerant(spark, listing.where("path not like '%_SUCCESS%'"), folder, table.schema)
     assert read.count() == 3 and {r["dataset_source_path"].split("/")[-2] for r in read.collect()} == {"x y+z.parquet"}
     assert skipped.join(read.selectExpr("dataset_source_path AS p").distinct(), src.plain_path(F.col("path")) == src.plain_path(F.col("p")), "left_semi").isEmpty()
+
+
+def test_roles_of_another_tool_are_placed_by_stored_order(spark, folder):
+    """Files without sample_key and pos, CSV and Parquet, under two roots with the same inner paths."""
+    for root in ("a", "b"):
+        base = f"{folder}/{root}/predictive_processed_dataset/part_0/compose"
+        put(base, "one/train.csv", "x,y\n" + "".join(f"{i},{root}\n" for i in range(30)))
+        rows = spark.range(100, 120).selectExpr("cast(id AS int) AS x", f"'{root}' AS y").coalesce(1)
+        rows.write.parquet(f"{base}/two/file_role=train")
+    index = mf.files_index(src.discover(spark, folder, "").select("path"))
+
+    def drawn(**settings):
+        got = {}
+        for r in training.load_role(spark, index, "train", "compose", **settings).collect():
+            got.setdefault((r["y"], r["x"] >= 100), set()).add(r["x"])
+        return got
+
+    assert {k: len(v) for k, v in drawn().items()} == {(y, z): 20 if z else 30 for y in "ab" for z in (False, True)}
+    assert drawn(max_rows=7) == {(y, z): {x + 100 * z for x in range(7)} for y in "ab" for z in (False, True)}
+    some = drawn(sample_frac=0.1, seed=3)
+    assert {k: len(v) for k, v in some.items()} == {(y, z): 2 if z else 3 for y in "ab" for z in (False, True)}
+    assert drawn(sample_frac=0.1, seed=3) == some != drawn(sample_frac=0.1, seed=4)
+    assert "_source" not in training.load_role(spark, index, "train").columns
+
+
+def test_prediction_tree_of_any_depth_with_damaged_files(spark, folder):
+    head = "y_pred,extra,y_true\n"
+    put(folder, "regression/home/forest_test_predictions.csv", head + "1.5,x,2\n" + '2.5,"a\nb",3\n')
+    put(folder, "deep/er/classification/all/forest_test_predictions.csv", "split,y_true,y_pred,anomaly_probability\ntest,1,0,0.25\n")
+    put(folder, "top_test_predictions.csv", head + "7,x,8\n")
+    put(folder, "home/lacking_test_predictions.csv", "y_true,z\n1,2\n")
+    put(folder, "home/broken_test_predictions.parquet", "no table")
+    put(folder, "home/metrics.csv", "y_true,y_pred\n1,2\n")
+    spark.createDataFrame([(1, 0.5), (0, 0.1)], "y_true int, y_pred double").coalesce(1).write.parquet(
+        f"{folder}/regression/home/tree_test_predictions.parquet")
+    rows, skipped = src.load_prediction_tree(spark, folder)
+    got = sorted(((r["prediction_file"], r["task"], r["scenario"], r["model"], r["step"], r["y_true"], r["y_pred"]) for r in rows.collect()))
+    assert got == [
+        ("deep/er/classification/all/forest_test_predictions.csv", "classification", "all", "forest", 0, 1.0, 0.0),
+        ("regression/home/forest_test_predictions.csv", "regression", "home", "forest", 0, 2.0, 1.5),
+        ("regression/home/forest_test_predictions.csv", "regression", "home", "forest", 1, 3.0, 2.5),
+        ("regression/home/tree_test_predictions.parquet", "regression", "home", "tree", 0, 1.0, 0.5),
+        ("regression/home/tree_test_predictions.parquet", "regression", "home", "tree", 1, 0.0, 0.1),
+        ("top_test_predictions.csv", None, None, "top", 0, 8.0, 7.0),
+    ]
+    assert {r["path"].split("/")[-1] for r in skipped.collect()} == {"lacking_test_predictions.csv", "broken_test_predictions.parquet"}
