@@ -36,7 +36,7 @@ BYTES_A_WORD = 4
 #: Bits of the bitmap of surviving phrases (4 MB); a fixed bound of what is sent to tasks.
 FILTER_BITS = 1 << 25
 #: Partial counts that a task holds before it passes them on.
-HELD = 1 << 21
+HELD = 1 << 20
 #: Each phrase sets two bits, taken from these places of its hash. Counters are kept by the 48 bits that both
 #: have; phrases that share them share a counter, which loses none. The exact pass uses whole hashes and words.
 _SHIFTS = 0, 23
