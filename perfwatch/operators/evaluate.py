@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfwatch.functions.scalars import zero_if_null
-from perfwatch.operators.ordering import Layout, join_on, measure, running_total
+from perfwatch.operators.ordering import Layout, by_group_size, in_order, join_on, measure, positions, running_total
 from perfwatch.operators.validation import require_columns
 
 HIGH_RISK = 0.8
@@ -89,6 +89,36 @@ def roc_auc(
     )
 
 
+def roc_curve(
+    df: DataFrame, keys: list[str], truth: str = "y_true", score: str = "anomaly_probability",
+    layout: Layout | None = None,
+) -> DataFrame:
+    """Corner points of the ROC curve per group: threshold, tp, fp, tpr, fpr, from (0, 0) with a NULL threshold.
+
+    One point for each distinct score; a point on the line between its
+    neighbours is left out. A rate is NULL if its class is missing.
+    """
+    counts = df.where(F.col(score).isNotNull()).groupBy(*keys, F.col(score).alias("threshold")).agg(
+        F.count_if(F.col(truth).cast("int") == 1).alias("_pos"), F.count_if(F.col(truth).cast("int") != 1).alias("_neg")
+    )
+    totals = counts.groupBy(*keys).agg(F.sum("_pos").alias("_all_pos"), F.sum("_neg").alias("_all_neg"))
+    points = _corners(counts, layout or measure(df, keys))
+    origin = totals.select(*keys, F.lit(None).cast(df.schema[score].dataType).alias("threshold"), *[F.lit(0).cast("bigint").alias(c) for c in ("tp", "fp")])
+    rates = {"tpr": F.try_divide(F.col("tp").cast("double"), F.col("_all_pos")), "fpr": F.try_divide(F.col("fp").cast("double"), F.col("_all_neg"))}
+    return join_on(points.unionByName(origin), totals, keys).withColumns(rates).drop("_all_pos", "_all_neg")
+
+
+@by_group_size
+def _corners(counts: DataFrame, layout: Layout) -> DataFrame:
+    """Running counts from the highest score down, where the next step turns."""
+    placed = positions(counts, layout, [F.col("threshold").desc()], "_place")
+    ahead = in_order(placed, layout, "_place", 0, 1, lambda w: {"_next": F.lead(F.struct("_pos", "_neg"), 1).over(w)})
+    rising = running_total(ahead, layout, ["_place"], "_pos", "tp")
+    both = running_total(rising, layout, ["_place"], "_neg", "fp")
+    straight = F.col("_pos") * F.col("_next._neg") == F.col("_neg") * F.col("_next._pos")
+    return both.where(F.col("_next").isNull() | ~straight).select(*layout.keys, "threshold", "tp", "fp")
+
+
 def evaluate_predictions(df: DataFrame, keys: list[str], layout: Layout | None = None) -> DataFrame:
     """Classification metrics and ROC-AUC, one row per prediction file (or other group)."""
     require_columns(df, ["y_true", "y_pred"], "Prediction table")

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from perfwatch.operators import evaluate as ev
 from perfwatch.operators import ml
+from perfwatch.operators.importance import permutation_importance
 from perfwatch.operators.ordering import join_on
 from perfwatch.operators.predictive import flatten_lags
+from perfwatch.operators.state import fill_state, system_state
 from perfwatch.plans import inputs
 from perfwatch.plans import preprocessing as prep
 from perfwatch.plans.catalog.files import prediction_tree
@@ -187,6 +189,37 @@ def _(spark, sf):
     return snapped(ev.roc_auc(rows, ["prediction_file"], layout=layout))
 
 
+@query("e3_roc_curve", with_ctes(f"""
+ SELECT prediction_file, {snap('s', 'threshold')}, tp::BIGINT AS tp, fp::BIGINT AS fp, {snap('tp / ps', 'tpr')}, {snap('fp / ns', 'fpr')}
+ FROM (SELECT *, sum(p) OVER down AS tp, sum(n) OVER down AS fp, lead(p) OVER down AS np, lead(n) OVER down AS nn,
+   sum(p) OVER (PARTITION BY prediction_file) AS ps, sum(n) OVER (PARTITION BY prediction_file) AS ns
+  FROM (SELECT prediction_file, anomaly_probability AS s, count(*) FILTER (y_true = 1) AS p, count(*) FILTER (y_true <> 1) AS n FROM cls GROUP BY 1, 2)
+  WINDOW down AS (PARTITION BY prediction_file ORDER BY s DESC))
+ WHERE np IS NULL OR p * nn <> n * np
+ UNION ALL SELECT DISTINCT prediction_file, NULL, 0, 0, {snap('0', 'tpr')}, {snap('0', 'fpr')} FROM cls""", "cls"))
+def _(spark, sf):
+    rows, layout = inputs.class_predictions(spark, sf)
+    return snapped(ev.roc_curve(rows, ["prediction_file"], layout=layout))
+
+
+@query("ml9_feature_importance", with_ctes(f"""
+ SELECT feature, {snap('avg(abs(c))', 'importance')}
+ FROM (SELECT unnest(['cpu_total', 'memory_total', 'latency_service_count']) AS feature,
+   unnest([2 * (coalesce(lead(cpu_total) OVER h, first_value(cpu_total) OVER h) - cpu_total),
+    0.25 * (coalesce(lead(memory_total) OVER h, first_value(memory_total) OVER h) - memory_total), 0]) AS c
+  FROM state WINDOW h AS (ORDER BY md5('42|' || sample_key || '|' || seq)))
+ GROUP BY 1""", "state"))
+def _(spark, sf):
+    telemetry, _ = inputs.telemetry(spark, sf, stored=True)
+    state = fill_state(system_state(telemetry, prep.ORDER))
+    rows = state.withColumn("target", 2 * F.col("cpu_total") + 0.25 * F.col("memory_total"))
+    linear = 2 * F.element_at("values", 1) + 0.25 * F.element_at("values", 2)
+    found = permutation_importance(
+        rows, ["cpu_total", "memory_total", "latency_service_count"], "target", ["sample_key", "seq"], lambda df: df.withColumn("y_pred", linear)
+    )
+    return snapped(found)
+
+
 def class_tree(spark: SparkSession, sf: str) -> DataFrame:
     """Class predictions written as one table for each event type, CSV and Parquet, and read back as a tree."""
     rows, _ = inputs.class_predictions(spark, sf)
