@@ -279,7 +279,9 @@ def _open_pairs(rows: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     # At the first shared occurrence nothing before it is shared: what stands from there on must suffice.
     rest = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("spot"))
     enough = F.min_by("rest", "place") * (1 + similar) >= similar * F.max("both") - 1e-6
-    met = left.join(right, ["h", "nth", "salt"]).filter((F.col("label") != F.col("other_label")) & sizes)
+    # The rest only shrinks along the order, so where it does not suffice the pair goes before it is grouped.
+    may = rest * (1 + similar) >= similar * (F.col("n") + F.col("m")) - 1e-6
+    met = left.join(right, ["h", "nth", "salt"]).filter((F.col("label") != F.col("other_label")) & sizes & may)
     return (
         met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), (F.col("n") + F.col("m")).alias("both"), "place", rest.alias("rest"))
         .groupBy("a", "b").agg(enough.alias("enough")).filter("enough").select("a", "b")
