@@ -13,8 +13,8 @@ coordinate with a probability equal to their weighted Jaccard similarity.
 of a band meet in a bucket. First each bucket compares its nodes with its
 first one. Buckets that still hold several classes then compare nodes of
 different classes: every pair in buckets of up to ``SMALL`` nodes, and in
-larger ones each node outside the largest class with about ``CENTRES`` others,
-drawn by hash. The draws only save work: once a round connects few of these
+larger ones each node outside the largest class with two centres of the bucket,
+drawn by hash anew each round. The draws only save work: once a round connects few of these
 nodes, the larger buckets that still hold several classes are settled exactly.
 Similar sets share one of their first occurrences in any fixed order
 (a prefix filter; here the order is rarest first), so all nodes of these
@@ -44,7 +44,7 @@ from perfwatch.session import stage
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
-SMALL, CENTRES = 24, 16
+SMALL = 24
 #: Draws go on while a round joins at least this share of the nodes outside the largest class of their bucket.
 WORTHWHILE = 0.1
 #: Nodes of a shingle that share a salt; the others meet in other tasks.
@@ -141,9 +141,13 @@ def _sketch(k_words: int, bands: int, rows: int):
 
 
 def _bags(k_words: int):
-    """The weighted set of each text, sorted by hash, as bytes."""
+    """The weighted set of each text, sorted by hash, as bytes; one for each node of a task."""
     def run(batches):
+        seen = set()
         for batch in batches:
+            # A repeated row brings its node again.
+            new = [i for i, x in enumerate(batch.column("node").to_pylist()) if not (x in seen or seen.add(x))]
+            batch = batch.take(pa.array(new, pa.int64()))
             hashes, weights = [], []
             for _, _, data, offsets in tx.slices(tx.pc.utf8_lower(batch.column("text"))):
                 words = tx.Words(data, offsets, tx.NOT_SPACE)
@@ -212,12 +216,17 @@ def _across(rows: DataFrame, similar: float, turn: int) -> DataFrame:
     """Pairs of different classes in mixed buckets.
 
     Every pair in a bucket of up to SMALL nodes, at the first turn; in a larger
-    one each node outside the main class with about CENTRES others, drawn by hash.
+    one each node outside the main class with two centres, drawn by hash: one of the main class and one of the others.
     """
-    u = F.shiftrightunsigned(F.xxhash64("node", "bucket", F.lit(turn)), 11) * F.lit(2.0**-53)
-    drawn = F.when(F.col("size") <= SMALL, F.lit(turn == 0)).otherwise(u < F.lit(float(CENTRES)) / F.col("size"))
-    others = rows.filter(drawn).select("bucket", F.col("node").alias("other"), F.col("n").alias("m"), F.col("label").alias("other_label"))
-    return _pairs(rows.filter("label <> main"), others, similar, F.col("label") != F.col("other_label"))
+    centre = F.struct("node", "n", "label")
+    dice = F.xxhash64("node", "bucket", F.lit(turn))
+    drawn = (
+        rows.filter(F.col("size") > SMALL).groupBy("bucket", (F.col("label") == F.col("main")).alias("within"))
+        .agg(F.min_by(centre, dice).alias("c")).select("bucket", "c.node", "c.n", "c.label")
+    )
+    if not turn:
+        drawn = drawn.union(rows.filter(F.col("size") <= SMALL).select("bucket", "node", "n", "label"))
+    return _pairs(rows.filter("label <> main"), drawn.toDF("bucket", "other", "m", "other_label"), similar, F.col("label") != F.col("other_label"))
 
 
 def _prefixes(similar: float):
