@@ -147,9 +147,10 @@ def _bags(k_words: int):
         for batch in batches:
             # A repeated row brings its node again.
             new = [i for i, x in enumerate(batch.column("node").to_pylist()) if not (x in seen or seen.add(x))]
-            batch = batch.take(pa.array(new, pa.int64()))
-            hashes, weights = [], []
-            for _, _, data, offsets in tx.slices(tx.pc.utf8_lower(batch.column("text"))):
+            if len(new) < len(batch):
+                batch = batch.take(pa.array(new, pa.int64()))
+            for low, high, data, offsets in tx.slices(tx.pc.utf8_lower(batch.column("text"))):
+                hashes, weights = [], []
                 words = tx.Words(data, offsets, tx.NOT_SPACE)
                 doc, element, weight = tx.weighted_elements(words, k_words)
                 edges = np.searchsorted(doc, np.arange(len(words.counts) + 1))
@@ -157,9 +158,8 @@ def _bags(k_words: int):
                 for x, y in zip(edges[:-1], edges[1:], strict=True):
                     hashes.append(element[x:y].tobytes())
                     weights.append(weight[x:y].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(hashes, pa.binary()), pa.array(weights, pa.binary())], names=["node", "h", "w"]
-            )
+                node = batch.column("node").slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([node, pa.array(hashes, pa.binary()), pa.array(weights, pa.binary())], names=["node", "h", "w"])
 
     return run
 

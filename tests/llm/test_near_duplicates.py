@@ -146,3 +146,9 @@ def test_open_pairs_hold_every_similar_pair_with_repeated_and_hot_shingles(spark
     sets = spark.createDataFrame([(i, bytearray(h.tobytes()), bytearray(w.tobytes())) for i, h, w in bags], "node long, h binary, w binary")
     got = {(r.a, r.b) for r in nd._open_pairs(mixed, sets, 0.8).collect()}
     assert pairs and pairs <= got
+
+
+def test_a_repeated_row_gives_one_bag():
+    batch = pa.RecordBatch.from_arrays([pa.array([3, 4, 3]), pa.array(["a b", "c", "a b"])], names=["node", "text"])
+    out = [x for b in nd._bags(5)([batch, batch]) for x in b.column("node").to_pylist()]
+    assert out == [3, 4]
