@@ -46,7 +46,7 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 SMALL = 24
 #: Draws go on while a round joins at least this share of the nodes outside the largest class of their bucket.
-WORTHWHILE = 0.1
+WORTHWHILE = 0.5
 #: Nodes of a shingle that share a salt; the others meet in other tasks.
 SALTED = 1000
 LEVEL_BITS = np.uint64(58)
@@ -230,17 +230,19 @@ def _across(rows: DataFrame, similar: float, turn: int) -> DataFrame:
 
 
 def _prefixes(similar: float):
-    """The occurrences of each weighted set that a similar set must share one of, rarest first, with their places."""
+    """The occurrences of each weighted set that a similar set must share one of, with their places: useful ones, rarest first."""
     def run(batches):
         for batch in batches:
             parts = []
             for row, (n, elements) in enumerate(zip(batch.column("n").to_pylist(), batch.column("elements"), strict=True)):
                 weight = elements.values.field("w").to_numpy(zero_copy_only=False)
-                length = n - math.ceil(similar * n - 1e-9) + 1
+                # What is not listed comes first in the order.
+                alone = n - int(weight.sum())
+                length = max(0, n - math.ceil(similar * n - 1e-9) + 1 - alone)
                 at = np.repeat(np.arange(len(weight)), weight)[:length]
                 starts = np.cumsum(weight) - weight
                 parts.append((np.full(len(at), row), elements.values.field("h").to_numpy(zero_copy_only=False)[at],
-                              np.arange(len(at)) - starts[at], np.arange(len(at)), elements.values.field("df").to_numpy(zero_copy_only=False)[at]))
+                              np.arange(len(at)) - starts[at], alone + np.arange(len(at)), elements.values.field("df").to_numpy(zero_copy_only=False)[at]))
             if parts:
                 row, h, nth, place, df = (np.concatenate(x) for x in zip(*parts, strict=True))
                 columns = [batch.column(c).take(pa.array(row)) for c in ("node", "n", "label", "outside")]
@@ -255,12 +257,15 @@ def _prefixes(similar: float):
 def _elements(batches):
     """The shingles of weighted sets, one a row."""
     for batch in batches:
-        nodes = batch.column("node").to_numpy()
+        nodes, outside = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "outside"))
         for low in range(0, len(batch), 500):
             part = batch.slice(low, 500)
             h, w = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("h", np.int64), ("w", np.int32)))
             n = [len(x) // 8 for x in part.column("h").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes[low : low + 500], n)), pa.array(h), pa.array(w)], names=["node", "h", "w"])
+            node, out = nodes[low : low + 500], outside[low : low + 500]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(node, n)), pa.array(np.repeat(out, n)), pa.array(h), pa.array(w)], names=["node", "outside", "h", "w"]
+            )
 
 
 def _open_pairs(rows: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
@@ -269,14 +274,15 @@ def _open_pairs(rows: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     Shingles of many nodes are salted: one side is dealt out, the other one repeated.
     """
     nodes = rows.filter(F.col("size") > SMALL).groupBy("node", "n", "label").agg(F.max(F.col("label") != F.col("main")).alias("outside"))
-    elements = stage(bags.join(nodes.select("node"), "node").mapInArrow(_elements, "node long, h long, w int"), "elements")
-    # A shingle of one node meets no other, but it takes its place in the prefix.
-    known = elements.join(elements.groupBy("h").agg(F.count("*").alias("df")), "h")
+    elements = stage(bags.join(nodes.select("node", "outside"), "node").mapInArrow(_elements, "node long, outside boolean, h long, w int"), "elements")
+    # Shingles of one node only, or of no outside node, bring no pair: they come first in the order and are not listed.
+    useful = elements.groupBy("h").agg(F.count("*").alias("df"), F.max("outside").alias("meets")).filter("df > 1 AND meets").select("h", "df")
+    known = elements.drop("outside").join(useful, "h")
     ordered = known.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h", "w"))).alias("elements"))
     starts = stage(
         ordered.join(nodes, "node").mapInArrow(
             _prefixes(similar), "node long, n long, label long, outside boolean, h long, nth long, place long, df long"
-        ).filter("df > 1"),
+        ),
         "prefixes",
     )
     salts = (1 + F.floor(F.col("df") / SALTED)).cast("long")
