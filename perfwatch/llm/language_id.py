@@ -8,7 +8,9 @@ vector has length one. Document frequencies count *all* training documents.
 *Training.* Follow-the-regularised-leader with L1 and L2 penalties (per
 coordinate step sizes, so most weights are exactly zero) over a bounded sample
 of different labelled texts (``SAMPLE`` in expectation, at most twice that),
-spread evenly over the languages and drawn by a hash. A slice of the sample is held back to fit
+spread evenly over the languages and drawn by a hash. Texts become feature
+counts where they are read; one task learns from those, and the driver sees
+neither texts nor vectors. A slice of the sample is held back to fit
 one temperature, which turns scores into calibrated probabilities.
 
 *Prediction* reads whole texts in one pass without a shuffle; the weights
@@ -74,11 +76,34 @@ def _frequencies(batches):
     )
 
 
-def _vector(g: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counts(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features of a text and how often each occurs."""
     counts = np.bincount(g, minlength=1 << BITS)
     at = np.flatnonzero(counts)
-    x = (1 + np.log(counts[at])) * idf[at]
-    return at, x / max(np.sqrt(x @ x), 1e-12)
+    return at, counts[at]
+
+
+def _vector(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = (1 + np.log(counts)) * idf[at]
+    return x / max(np.sqrt(x @ x), 1e-12)
+
+
+_SAMPLED = "place long, lang string, features binary, counts binary"
+_MODEL = "languages array<string>, used binary, weights binary, bias binary, temperature double"
+
+
+def _sampled(batches):
+    """Feature counts of the texts that have a letter: of bounded size, however long a text is."""
+    for batch in batches:
+        rows = []
+        for place, lang, text in zip(batch.column("place").to_pylist(), batch.column("lang").to_pylist(), _texts(batch), strict=True):
+            g = grams(text)
+            if g is not None:
+                at, counts = _counts(g)
+                rows.append((place, lang, at.astype(np.uint16).tobytes(), counts.astype(np.uint32).tobytes()))
+        columns = zip(*rows, strict=True) if rows else [()] * 4
+        types = (pa.int64(), pa.string(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["place", "lang", "features", "counts"])
 
 
 @dataclass
@@ -159,34 +184,55 @@ def fit(training: DataFrame, sample: int = SAMPLE, **settings) -> Model | None:
     if not per_lang:
         return None
     shares = F.create_map(*[F.lit(x) for k, n in per_lang.items() for x in (k, min(1.0, sample / len(per_lang) / n))])
-    order = F.xxhash64("doc_id", "text")
-    u = F.shiftrightunsigned(order, 11) * F.lit(2.0**-53)
+    place = F.xxhash64("doc_id", "text")
+    u = F.shiftrightunsigned(place, 11) * F.lit(2.0**-53)
     drawn = (
-        rows.filter(u < shares[F.col("lang")]).dropDuplicates(["text", "lang"])
-        .orderBy(order, "text", "lang").limit(2 * sample).select("text", "lang")
+        rows.filter(u < shares[F.col("lang")]).dropDuplicates(["text", "lang"]).select(place.alias("place"), "lang", "text")
+        .mapInArrow(_sampled, _SAMPLED).orderBy("place", "lang", "features", "counts").limit(2 * sample)
     )
     counted = rows.select("text").mapInArrow(_frequencies, "feature int, docs long").groupBy("feature").agg(F.sum("docs").alias("docs"))
-    seen = counted.toPandas()
-    docs = int(seen.loc[seen.feature < 0, "docs"].sum())
+    seen = counted.toArrow()
+    feature, n = (seen.column(c).to_numpy() for c in ("feature", "docs"))
+    docs = int(n[feature < 0].sum())
     if not docs:
         return None
     idf = np.zeros(1 << BITS, np.float32)
-    has = seen[seen.feature >= 0]
-    idf[has.feature] = np.log((1 + docs) / (1 + has.docs)) + 0.1
-    taken = [(r.text, r.lang) for r in drawn.collect()]
-    languages = sorted({lang for _, lang in taken})
-    place = {lang: i for i, lang in enumerate(languages)}
-    vectors = [(*_vector(g, idf), place[lang]) for text, lang in sorted(taken) if (g := grams(text)) is not None]
-    if not vectors:
+    has = feature >= 0
+    idf[feature[has]] = np.log((1 + docs) / (1 + n[has])) + 0.1
+    # The sample is bounded in rows and bytes, so one task learns from it; the driver gets the weights alone.
+    found = drawn.coalesce(1).mapInArrow(_learn(idf, settings), _MODEL).first()
+    if found is None:
         return None
-    held = vectors[::5] if len(vectors) >= 50 else []
-    kept = [v for i, v in enumerate(vectors) if i % 5] if held else vectors
-    weights, bias = ftrl(kept, len(languages), **settings)
-    used = np.flatnonzero(np.abs(weights).sum(axis=1))
-    model = Model(languages, idf, used, weights[used].astype(np.float32), bias)
-    scores = np.array([x @ weights[at] + bias for at, x, _ in held]).reshape(len(held), len(languages))
-    model.temperature = temperature(scores, np.array([y for *_, y in held], int))
-    return model
+    used, weights, bias = (np.frombuffer(x, t) for x, t in ((found.used, np.int32), (found.weights, np.float32), (found.bias, np.float64)))
+    return Model(found.languages, idf, used, weights.reshape(len(used), -1), bias, found.temperature)
+
+
+def _learn(idf: np.ndarray, settings: dict):
+    """One row: the model learned from all rows of the sample; none if there is none."""
+    def run(batches):
+        rows = []
+        for batch in batches:
+            rows += zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
+        if not rows:
+            return
+        rows.sort()
+        languages = sorted({lang for _, lang, _, _ in rows})
+        index = {lang: i for i, lang in enumerate(languages)}
+        vectors = []
+        for _, lang, features, counts in rows:
+            at = np.frombuffer(features, np.uint16).astype(np.int64)
+            vectors.append((at, _vector(at, np.frombuffer(counts, np.uint32), idf), index[lang]))
+        held = vectors[::5] if len(vectors) >= 50 else []
+        kept = [v for i, v in enumerate(vectors) if i % 5] if held else vectors
+        weights, bias = ftrl(kept, len(languages), **settings)
+        used = np.flatnonzero(np.abs(weights).sum(axis=1))
+        scores = np.array([x @ weights[at] + bias for at, x, _ in held]).reshape(len(held), len(languages))
+        heat = temperature(scores, np.array([y for *_, y in held], int))
+        parts = [languages, used.astype(np.int32).tobytes(), weights[used].astype(np.float32).tobytes(), bias.tobytes(), heat]
+        types = [pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(parts, types, strict=True)], names=["languages", "used", "weights", "bias", "temperature"])
+
+    return run
 
 
 def _predict(model: Model):
@@ -200,7 +246,8 @@ def _predict(model: Model):
                     names.append(NONE)
                     scores.append(0.0)
                     continue
-                at, x = _vector(g, idf)
+                at, counts = _counts(g)
+                x = _vector(at, counts, idf)
                 p = _softmax((x @ full[at] + model.bias) / model.temperature)
                 best = int(p.argmax())
                 names.append(model.languages[best])
