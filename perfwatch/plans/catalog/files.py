@@ -23,6 +23,7 @@ from perfwatch.plans.catalog.telemetry import _DATASET_SQL, _TARGETS, _wide_sql
 from perfwatch.session import stage, staging_path
 from perfwatch.sources import files as src
 from perfwatch.sources import writers as out
+from perfwatch.sources.listing import every_file
 
 TX = fam.RESOURCE_FAMILIES["net_tx"]
 
@@ -67,6 +68,13 @@ def _(spark, sf):
     return found.groupBy(_sample_of(F.col("path")).alias("sample")).agg(F.count(F.lit(1)).alias("file_count"))
 
 
+@query("s1_every_file", "SELECT event_type AS sample, NULL AS left_out, 1::BIGINT AS file_count FROM events GROUP BY 1 UNION ALL SELECT '', 'empty file', 2")
+def _(spark, sf):
+    """The files of the tree, and the two empty markers that its writes left."""
+    found = every_file(spark, csv_tree(spark, sf), "").where(F.col("path").rlike(r"(\.csv|/_SUCCESS)$"))
+    return found.groupBy(_sample_of(F.col("path")).alias("sample"), "left_out").agg(F.count(F.lit(1)).alias("file_count"))
+
+
 @query("s2_batch_slice", with_ctes("""
  SELECT path, i AS file_index, printf('part_%04d_%04d', 50, least(100, total) - 1) AS part_name
  FROM (SELECT path, row_number() OVER (ORDER BY string_split(path, '/')) - 1 AS i, count(*) OVER () AS total FROM paths)

@@ -17,25 +17,35 @@ from perfwatch.plans.preprocessing import Settings, aggregated, sample_metadata,
 from perfwatch.session import stage
 from perfwatch.sources import files as src
 from perfwatch.sources import writers as out
+from perfwatch.sources.listing import EMPTY, HIDDEN, every_file
 from perfwatch.sources.tables import capped, sampled
 
 TARGETS = {"regression": "target_p95_latency_t_plus_1", "classification": "target_anomaly_t_plus_1"}
 REGRESSION = ["mae", "rmse", "r2"]
+UNREADABLE = "unreadable file"
 CLASSIFICATION = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 
 
 def run_preprocessing(
     spark: SparkSession, input_root: str, output_root: str, settings: Settings = Settings(),
-    start: int = 0, size: int | None = None,
+    start: int = 0, size: int | None = None, every: bool = True,
 ) -> DataFrame:
     """CSV tree to stage outputs; returns the status of each sample.
 
+    Every file is accounted for: those that Spark's scans skip (no bytes, a
+    hidden name) are failed samples with that reason. ``every=False`` leaves
+    them out, for a store that only Spark reaches.
+
     Samples that fail a gate are reported and left out of the later stages;
     the run fails only if no sample passes. Outputs are written under a version
     of their own and become valid together, with the commit at the end.
     """
-    chosen = src.batch_slice(src.discover(spark, input_root), start, size)
-    chosen = chosen.join(src.discover(spark, input_root), "path")
+    if every:
+        listing = every_file(spark, input_root)
+    else:
+        listing = src.discover(spark, input_root).withColumn("left_out", F.lit(None).cast("string"))
+    listing = stage(listing, "listing")  # files that arrive meanwhile belong to the next run
+    chosen = src.batch_slice(listing, start, size).join(listing, "path")
     part = chosen.agg(F.max("part_name")).first()[0]
     version = out.new_version()
     stored_part = out.versioned(part, version)
@@ -60,7 +70,7 @@ def run_preprocessing(
     unread = chosen.join(read, src.plain_path(F.col("path")) == F.col("_path"), "left_anti").select(
         F.col("path").alias("sample_key"), F.lit(0).cast("bigint").alias("aggregated_rows"),
         F.lit(0).cast("bigint").alias("predictive_rows"), F.lit("failed").alias("status"),
-        F.lit("unreadable file").alias("reason"),
+        F.coalesce("left_out", F.lit(UNREADABLE)).alias("reason"),
     )
     path = f"{output_root}/metadata/preprocessing_{part}.json"
     summary = label_summary(labelled, ["sample_key"]).drop("row_count")
@@ -74,7 +84,7 @@ def run_preprocessing(
     limits = thresholds(state, layout, settings.anomaly_quantile, settings.train)
     document = sample_metadata(telemetry, labelled, limits, passed)
     out.save_stage(document.join(good, "sample_key", "left_semi"), output_root, "metadata", stored_part, "json")
-    unread = F.col("reason") == "unreadable file"
+    unread = F.col("reason").isin(UNREADABLE, EMPTY, HIDDEN)
     of_path = F.regexp_replace(src.below_root(F.col("sample_key"), input_root), r"\.[^./]*$", "")
     out.commit(stored.withColumn("sample_key", F.when(unread, of_path).otherwise(F.col("sample_key"))), output_root, version)
     return stored

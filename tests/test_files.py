@@ -14,6 +14,7 @@ from perfwatch.plans import training
 from perfwatch.plans.preprocessing import Settings
 from perfwatch.sources import files as src
 from perfwatch.sources import writers as out
+from perfwatch.sources.listing import every_file
 from perfwatch.sources.tables import capped, sampled
 
 CPU = "container_cpu_usage_seconds_total"
@@ -336,3 +337,40 @@ def test_prediction_tree_of_any_depth_with_damaged_files(spark, folder):
         ("top_test_predictions.csv", None, None, "top", 0, 8.0, 7.0),
     ]
     assert {r["path"].split("/")[-1] for r in skipped.collect()} == {"lacking_test_predictions.csv", "broken_test_predictions.parquet"}
+
+
+def test_every_file_is_accounted_for(spark, folder):
+    """Empty files and hidden names, of files and directories, fail with a reason and drop what an earlier run made of them."""
+    raw, made = f"{folder}/in put", f"{folder}/out"
+    rows = "".join(f"{i},{i % 2},{(i * 3) % 37},{i % 5}\n" for i in range(40))
+    table = f"window_id,label_trace,0_latency,0_{CPU}\n{rows}"
+    for name in ("top.csv", "compose/a.csv", "compose/b.csv", "compose/deep/c+d %25.csv"):
+        put(raw, name, table)
+    put(raw, "compose/note.txt", "")
+    training.run_preprocessing(spark, raw, made, Settings(min_rows=5))
+
+    put(raw, "compose/b.csv", "")
+    for name in ("_x.csv", "compose/.y.csv", "_tmp/z.csv"):
+        put(raw, name, table)
+    listed = {os.path.relpath(src_path(r["path"]), raw): (r["length"], r["left_out"]) for r in every_file(spark, raw).collect()}
+    full = len(table)
+    assert listed == {
+        "top.csv": (full, None), "compose/a.csv": (full, None), "compose/deep/c+d %25.csv": (full, None),
+        "compose/b.csv": (0, "empty file"), "_x.csv": (full, "hidden name"), "compose/.y.csv": (full, "hidden name"), "_tmp/z.csv": (full, "hidden name"),
+    }
+    report = {r["sample_key"].split("/")[-1]: (r["status"], r["reason"]) for r in training.run_preprocessing(spark, raw, made, Settings(min_rows=5)).collect()}
+    assert {k: v for k, v in report.items() if v[0] == "failed"} == {
+        "b.csv": ("failed", "empty file"), "_x.csv": ("failed", "hidden name"), ".y.csv": ("failed", "hidden name"), "z.csv": ("failed", "hidden name"),
+    }
+    assert sum(v[0] == "ok" for v in report.values()) == 3
+    index = training.run_manifest(spark, made, f"{folder}/manifest")
+    samples = {r["sample_key"] for r in src.read_role(spark, index, "aggregated").select("sample_key").distinct().collect()}
+    assert samples == {"top", "compose/a", "compose/deep/c+d %25"}
+
+
+def test_every_file_of_an_empty_tree(spark, folder):
+    assert every_file(spark, folder).collect() == []
+
+
+def src_path(path):
+    return path.removeprefix("file:")
