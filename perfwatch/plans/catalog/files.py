@@ -188,10 +188,12 @@ def prediction_tree(spark: SparkSession, rows: DataFrame, keys: list[str], as_cs
     """Prediction tables ``<keys>/<model>_test_predictions.*`` in stored order ``step``, some as CSV, and a damaged one."""
     root = staging_path(spark, "predictions")
     table = [*keys, "model"]
-    ordered = stage(rows.withColumn("_csv", F.expr(as_csv)), "trees").repartition(*table).sortWithinPartitions(*table, "step")
+    stored = stage(rows.withColumn("_csv", F.expr(as_csv)), "trees")
     for kind, of_kind in (("parquet", "NOT _csv"), ("csv", "_csv")):
-        named = ordered.where(of_kind).withColumn("model", F.concat("model", F.lit(f"_test_predictions.{kind}"))).drop("step", "_csv")
-        named.write.mode("append").partitionBy(*table).option("header", "true").format(kind).save(f"{root}/{kind}")
+        named = stored.where(of_kind).withColumn("model", F.concat("model", F.lit(f"_test_predictions.{kind}")))
+        # sorted under the final names: the writer replaces a sort by other columns with its own, which drops ``step``
+        ordered = named.repartition(*table).sortWithinPartitions(*table, "step").drop("step", "_csv")
+        ordered.write.mode("append").partitionBy(*table).option("header", "true").format(kind).save(f"{root}/{kind}")
     damaged = rows.limit(1).select(F.lit("no table").alias("x"), F.lit("broken_test_predictions.parquet").alias("model"))
     damaged.write.mode("append").partitionBy("model").option("extension", "parquet").csv(f"{root}/more/{keys[-1]}=bad")
     return root

@@ -11,6 +11,7 @@ from perfwatch.operators import manifest as mf
 from perfwatch.operators import validation as val
 from perfwatch.operators.ordering import Layout
 from perfwatch.plans import training
+from perfwatch.plans.catalog.files import prediction_tree
 from perfwatch.plans.preprocessing import Settings
 from perfwatch.sources import files as src
 from perfwatch.sources import writers as out
@@ -339,6 +340,20 @@ def test_prediction_tree_of_any_depth_with_damaged_files(spark, folder):
     assert {r["path"].split("/")[-1] for r in skipped.collect()} == {"lacking_test_predictions.csv", "broken_test_predictions.parquet"}
 
 
+def test_prediction_tree_is_written_in_stored_order(spark):
+    """Rows that lie out of order over many files, as those of large tables do."""
+    rows = spark.range(0, 4000, 1, 7).selectExpr(
+        "if(id % 2 = 0, 'a', 'b') AS scenario", "if(id % 4 < 2, 'm', 'n') AS model", "3999 - id AS step", "double(3999 - id) AS y_true",
+        "0.5D AS y_pred")
+    found, skipped = src.load_prediction_tree(spark, prediction_tree(spark, rows, ["scenario"], "scenario = 'a'"))
+    read = {}
+    for r in found.collect():
+        read.setdefault((r["scenario"], r["model"]), {})[r["step"]] = r["y_true"]
+    assert len(read) == 4 and all(len(values) == 1000 for values in read.values())
+    assert all([values[i] for i in range(1000)] == sorted(values.values()) for values in read.values())
+    assert skipped.count() == 1
+
+
 def test_every_file_is_accounted_for(spark, folder):
     """Empty files and hidden names, of files and directories, fail with a reason and drop what an earlier run made of them."""
     raw, made = f"{folder}/in put", f"{folder}/out"
