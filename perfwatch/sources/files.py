@@ -7,6 +7,8 @@ import io
 import os
 import re
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ MISSING = [
     "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 TABLE_READERS = {".csv": "csv", ".parquet": "parquet"}
+#: Bytes of a Parquet footer that Spark's reader accepts at most; a file without rows has little else.
+FOOTER_BYTES = 100 << 20
 
 
 def path_order(path: Column) -> Column:
@@ -254,9 +258,10 @@ def flatten_structs(df: DataFrame) -> DataFrame:
 
 
 def read_tolerant(spark: SparkSession, listing: DataFrame, root: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Rows of the readable Parquet files under ``root``, and the files that gave none.
+    """Rows of the readable Parquet files under ``root``, and the files that cannot be read.
 
-    The schema is passed in, so a damaged footer cannot stop the scan.
+    The schema is passed in, so a damaged footer cannot stop the scan. A table
+    without rows is readable.
     """
     rows = (
         spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
@@ -264,8 +269,37 @@ def read_tolerant(spark: SparkSession, listing: DataFrame, root: str, schema: T.
         .withColumn("dataset_source_path", stored_path())
     )
     seen = rows.select(plain_path(F.col("dataset_source_path")).alias("_seen")).distinct()
-    skipped = listing.join(seen, plain_path(F.col("path")) == F.col("_seen"), "left_anti")
-    return rows, skipped
+    silent = listing.join(seen, plain_path(F.col("path")) == F.col("_seen"), "left_anti")
+    return rows, unreadable(silent)
+
+
+def _tables_without_rows(batches):
+    """``path`` of those whose ``content`` is a Parquet table that holds no rows."""
+    for batch in batches:
+        empty = []
+        for content in batch.column("content"):
+            try:
+                empty.append(pq.read_metadata(pa.BufferReader(content.as_buffer())).num_rows == 0)
+            except (pa.ArrowException, OSError):
+                empty.append(False)
+        yield batch.filter(pa.array(empty, pa.bool_())).select(["path"])
+
+
+def unreadable(silent: DataFrame) -> DataFrame:
+    """``silent`` (path, ...; files that gave no rows) without the Parquet tables that hold none.
+
+    Writers leave such tables, Spark's first task for one. Only the paths of
+    silent files reach the driver, which lists them for Spark's scan.
+    """
+    silent = stage(silent, "silent")
+    paths = [r[0] for r in silent.where("path like '%.parquet'").select("path").collect()]
+    if not paths:
+        return silent
+    # names are taken as they are, not as patterns
+    found = silent.sparkSession.read.format("binaryFile").load([re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths])
+    whole = found.where((F.col("length") <= FOOTER_BYTES) & (F.substring("content", -4, 4) == F.lit(b"PAR1")))
+    empty = whole.select("path", "content").mapInArrow(_tables_without_rows, "path string").select(plain_path(F.col("path")).alias("_empty"))
+    return silent.join(empty, plain_path(F.col("path")) == F.col("_empty"), "left_anti")
 
 
 def plain_path(path: Column) -> Column:
@@ -368,12 +402,12 @@ def prediction_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_prediction_tree(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """All predictions under ``root``, and the files (path) that gave none.
+    """All predictions under ``root``, and the files (path) that are skipped.
 
     Parquet and CSV tables may be mixed, in any depth and with columns in any
     order; a column that a table lacks is NULL. Files that cannot be read, and
-    CSV files without ``y_true`` and ``y_pred``, are skipped. ``step`` counts
-    the rows of a table in stored order.
+    CSV files without ``y_true`` and ``y_pred``, are skipped; tables without
+    rows are not. ``step`` counts the rows of a table in stored order.
     """
     known = stage(prediction_files(spark, root), "listing")
     schema = T.StructType.fromDDL(PREDICTION_SCHEMA)
@@ -382,7 +416,7 @@ def load_prediction_tree(spark: SparkSession, root: str) -> tuple[DataFrame, Dat
         .option("pathGlobFilter", "*.parquet").parquet(root)
         .select("*", plain_path(stored_path()).alias("path"), F.lit(0).cast("bigint").alias("_block"), F.col("_metadata.row_index").alias("_row"))
     )
-    rows = parquet
+    rows, read = parquet, []
     texts = known.where("kind = 'csv'").select("path")
     lines = csv_lines(spark, root, texts)
     headers = csv_headers(lines)
@@ -393,9 +427,12 @@ def load_prediction_tree(spark: SparkSession, root: str) -> tuple[DataFrame, Dat
             F.col("_path").alias("path"), F.col("_block").alias("_block"), F.col("_line").alias("_row"),
         )
         named = headers.where(F.forall(F.array(F.lit("y_true"), F.lit("y_pred")), lambda c: F.array_contains(F.split("header", '"?,"?'), c)))
-        rows = rows.unionByName(csv_rows.join(named.select("path"), "path", "left_semi"))
+        rows, read = rows.unionByName(csv_rows.join(named.select("path"), "path", "left_semi")), [named.select("path")]
     rows = stage(rows.join(known, "path"), "predictions")
-    skipped = known.join(rows.select("path").distinct(), "path", "left_anti").select("path")
+    silent = known.select("path")
+    for files in (rows.select("path").distinct(), *read):
+        silent = silent.join(files, "path", "left_anti")
+    skipped = unreadable(silent)
     placed = positions(rows, measure(rows, ["prediction_file"]), ["path", "_block", "_row"], "step")
     return placed.select("task", "scenario", "model", "prediction_file", "step", *schema.names), skipped
 

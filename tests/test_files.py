@@ -354,6 +354,35 @@ def test_prediction_tree_is_written_in_stored_order(spark):
     assert skipped.count() == 1
 
 
+def test_tables_without_rows_are_readable(spark, folder):
+    """A writer's first task leaves a table without rows; only damaged files are skipped."""
+    some, none = spark.range(3).coalesce(1), spark.range(3).where("id > 5").coalesce(1)
+    some.write.parquet(f"{folder}/good")
+    none.write.parquet(f"{folder}/od[d] {{x}}+%41/none.parquet")
+    whole = next(f"{folder}/good/{f}" for f in os.listdir(f"{folder}/good") if f.endswith(".parquet"))
+    with open(whole, "rb") as f:
+        content = f.read()
+    put(folder, "bad/text.parquet", "no table")
+    for name, damaged in (("cut", content[:-9]), ("foot", b"PAR1" + b"\0" * 40 + b"PAR1")):
+        with open(f"{folder}/bad/{name}.parquet", "wb") as f:
+            f.write(damaged)
+    rows, skipped = src.read_tolerant(spark, src.discover(spark, folder, ".parquet"), folder, some.schema)
+    assert rows.count() == 3
+    assert sorted(r["path"].split("/")[-1] for r in skipped.collect()) == ["cut.parquet", "foot.parquet", "text.parquet"]
+    assert src.read_tolerant(spark, src.discover(spark, f"{folder}/good", ".parquet"), f"{folder}/good", some.schema)[1].isEmpty()
+
+
+def test_prediction_tables_without_rows_are_not_skipped(spark, folder):
+    put(folder, "regression/all/one_test_predictions.csv", "y_true,y_pred\n1,2\n")
+    put(folder, "regression/all/head_test_predictions.csv", "y_true,y_pred\n")
+    put(folder, "regression/all/lacking_test_predictions.csv", "y_true,z\n")
+    put(folder, "regression/all/broken_test_predictions.parquet", "no table")
+    spark.createDataFrame([], "y_true double, y_pred double").coalesce(1).write.parquet(f"{folder}/regression/all/none_test_predictions.parquet")
+    rows, skipped = src.load_prediction_tree(spark, folder)
+    assert [(r["model"], r["step"], r["y_true"]) for r in rows.collect()] == [("one", 0, 1.0)]
+    assert sorted(r["path"].split("/")[-1] for r in skipped.collect()) == ["broken_test_predictions.parquet", "lacking_test_predictions.csv"]
+
+
 def test_every_file_is_accounted_for(spark, folder):
     """Empty files and hidden names, of files and directories, fail with a reason and drop what an earlier run made of them."""
     raw, made = f"{folder}/in put", f"{folder}/out"
