@@ -36,7 +36,7 @@ BYTES_A_WORD = 4
 #: Bits of the bitmap of surviving phrases (4 MB); a fixed bound of what is sent to tasks.
 FILTER_BITS = 1 << 25
 #: Partial counts that a task holds before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 19
 #: Each phrase sets two bits, taken from these places of its hash. Counters are kept by the 48 bits that both
 #: have; phrases that share them share a counter, which loses none. The exact pass uses whole hashes and words.
 _SHIFTS = 0, 23
@@ -121,8 +121,10 @@ def _lang_hashes(langs: list[str]) -> np.ndarray:
 
 
 def _together(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values, at = np.unique(h, return_inverse=True)
-    return values, np.bincount(at, c, len(values)).astype(np.int64)
+    order = np.argsort(h)
+    h = h[order]
+    first = np.flatnonzero(np.append(len(h) > 0, h[1:] != h[:-1]))
+    return h[first], np.add.reduceat(c[order], first) if len(first) else c
 
 
 def _packed(p: np.ndarray, h: np.ndarray, c: np.ndarray, least: int, lost: dict[int, int] | None = None) -> pa.RecordBatch:
@@ -320,7 +322,7 @@ def _exact(longest: int, bits: np.ndarray, parts: int):
                             found[value][2] += count
                         else:
                             found[value] = [langs[row + int(grams.words.doc[i])], grams.phrase(i, n), count]
-                if len(found) > HELD // 4:
+                if len(found) > HELD // 2:
                     yield flush()
         yield flush()
 
